@@ -102,3 +102,31 @@ def rows_frame(
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str, chunk: Column | None = None) -> DataFrame:
     """1-based running count of rows per key (skew-safe with ``chunk``)."""
     return dense_index(df, keys, order, chunk, name=name).withColumn(name, (F.col(name) + 1).cast("int"))
+
+
+def max_before(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, chunk: Column | None = None) -> DataFrame:
+    """Maximum of ``value`` over the key's rows strictly before each row (by
+    ``order``); null for the first row.
+
+    With ``chunk``: the maximum of earlier chunks comes from a per-chunk
+    aggregate (one row per chunk), the rest from a window inside the chunk,
+    so no window spans more than one chunk of a key."""
+    before = Window.unboundedPreceding
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(before, -1)
+        return df.withColumn(name, F.max(value).over(w))
+    d = df.withColumn(_CHUNK, chunk)
+    local = F.max(value).over(Window.partitionBy(*keys, _CHUNK).orderBy(order).rowsBetween(before, -1))
+    cm = d.groupBy(*keys, _CHUNK).agg(F.max(value).alias("_cmax"))
+    earlier = cm.select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys],
+        F.col(_CHUNK).alias("_o_chunk"),
+        F.max("_cmax").over(Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(before, -1)).alias("_emax"),
+    )
+    cond = [d[k].eqNullSafe(earlier[f"_o_{k}"]) for k in keys] + [d[_CHUNK].eqNullSafe(earlier["_o_chunk"])]
+    return (
+        d.withColumn("_lmax", local)
+        .join(earlier, cond, "inner")
+        .withColumn(name, F.greatest(F.col("_lmax"), F.col("_emax")))
+        .drop("_lmax", "_emax", "_o_chunk", _CHUNK, *[f"_o_{k}" for k in keys])
+    )

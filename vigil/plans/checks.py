@@ -258,3 +258,248 @@ def alert_terminated(c: Context) -> DataFrame:
 def alert_state_growth(c: Context) -> DataFrame:
     """Alert 5 (W5-W7, A11) over 7 days."""
     return alerts.state_growth(c.prog, c.cfg, lookback_minutes=WEEK)
+
+
+# ------------------------------------------------------- expectations -------
+
+@check("expectation_counts")
+def expectation_counts(c: Context) -> DataFrame:
+    """Warn-mode violation counts of the pipeline's rules."""
+    from vigil.operators import expect
+
+    bronze = expect.violation_counts(c.bronze, expect.BRONZE_RULES + expect.SILVER_METRICS_RULES)
+    sla = expect.violation_counts(c.sla, expect.SLA_RULES)
+    return bronze.unionByName(sla)
+
+
+@check("expectation_drop")
+def expectation_drop(c: Context) -> DataFrame:
+    """Kept / dropped counts of the error-event drop rule."""
+    from vigil.operators import expect
+
+    return expect.drop_counts(c.bronze, expect.ERROR_DROP_RULE)
+
+
+# ------------------------------------------------------------ quality -------
+
+@check("null_rates")
+def null_rates(c: Context) -> DataFrame:
+    """Per (cluster, hour) null rate of the infrastructure gauges."""
+    from vigil.operators import quality
+
+    df = c.infra.withColumn("hour", F.date_trunc("HOUR", "timestamp"))
+    r = quality.null_rates(df, ["cluster_id", "hour"], ["cpu_usage_percent", "dbu_consumption", "autoscaling_event"])
+    m = F.col("null_rate_by_column")
+    return r.select(
+        "cluster_id", "hour", "record_count",
+        m["cpu_usage_percent"].alias("cpu_null_rate"), m["dbu_consumption"].alias("dbu_null_rate"), m["autoscaling_event"].alias("autoscale_null_rate"),
+    )
+
+
+@check("duplicate_rate")
+def duplicate_rate(c: Context) -> DataFrame:
+    """Per (stream, hour) share of rows repeating a user id."""
+    from vigil.operators import quality
+    from vigil.sources.progress_log import batch_number
+
+    df = c.events.withColumn("batch_id", batch_number(F.col("ts").cast("timestamp")))
+    return quality.duplicate_rate(df, ["event_type", "batch_id"], ["user_id"])
+
+
+@check("schema_drift")
+def schema_drift(c: Context) -> DataFrame:
+    """Key-set change of the progress documents between batches."""
+    from vigil.operators import quality
+
+    prog = c.bronze.filter(F.col("event_type") == "stream_progress").select(
+        F.get_json_object("origin", "$.flow_id").alias("query_id"),
+        F.get_json_object("sequence", "$.batch_id").cast("bigint").alias("batch_id"),
+        F.get_json_object("details", "$.stream_progress").alias("doc"),
+    )
+    d = quality.schema_drift(prog, "query_id", "batch_id", F.col("doc"), c.cfg.frame_block_rows, F.floor(F.col("batch_id") / c.cfg.batch_id_chunk))
+    return d.drop("key_set")
+
+
+@check("late_fraction")
+def late_fraction(c: Context) -> DataFrame:
+    """Orders arriving in order-key batches of 1 024, event time = order
+    date, watermark delay 365 days, per order status."""
+    from vigil.operators import quality
+
+    o = c.table("orders").select(
+        F.col("o_orderstatus").alias("stream"),
+        F.floor(F.col("o_orderkey") / 1024).cast("bigint").alias("batch_id"),
+        F.col("o_orderdate").cast("timestamp").alias("event_time"),
+    )
+    return quality.late_fraction(o, "stream", "batch_id", "event_time", 365 * 86400, F.floor(F.col("batch_id") / 64))
+
+
+# ------------------------------------------------------- inspection ---------
+
+@check("recent_metrics")
+def recent_metrics(c: Context) -> DataFrame:
+    """Newest 20 progress rows."""
+    from vigil.operators import maintain
+
+    return maintain.latest(c.prog.select("query_id", "query_name", "batch_id", "timestamp", "input_rows_per_second", "batch_duration_ms"), 20, ["timestamp", "query_id"])
+
+
+@check("recent_sla")
+def recent_sla(c: Context) -> DataFrame:
+    """Newest 20 SLA rows."""
+    from vigil.operators import maintain
+
+    return maintain.latest(c.sla.select("query_id", "query_name", "batch_id", "timestamp", "latency_ms", "sla_breach_flag"), 20, ["timestamp", "query_id"])
+
+
+@check("recent_quality")
+def recent_quality(c: Context) -> DataFrame:
+    """Newest 10 quality rows."""
+    from vigil.operators import maintain
+
+    return maintain.latest(c.dq.select("query_id", "batch_id", "timestamp", "duplicate_rate", "dropped_record_count", "late_record_percentage"), 10, ["timestamp", "query_id"])
+
+
+@check("table_row_counts")
+def table_row_counts(c: Context) -> DataFrame:
+    """Row count of every monitoring table."""
+    from vigil.operators import maintain
+
+    return maintain.row_counts(
+        {"raw_events": c.bronze, "streaming_metrics": c.metrics, "stream_errors": c.errors_raw, "sla_latency_metrics": c.sla,
+         "data_quality_metrics": c.dq, "infrastructure_metrics": c.infra}
+    )
+
+
+# -------------------------------------------------------------- infra -------
+
+@check("infra_usage_normalize")
+def infra_usage_normalize(c: Context) -> DataFrame:
+    """Usage rows -> infrastructure rows (7-day lookback, cluster known)."""
+    from vigil.operators import infra
+    from vigil.sources import progress_log
+
+    u = infra.usage_to_infrastructure(progress_log.usage_rows(c.events), c.cfg)
+    return u.drop("ingestion_ts")
+
+
+@check("autoscale_events")
+def autoscale_events(c: Context) -> DataFrame:
+    """Scale-up / scale-down between consecutive samples of a cluster."""
+    return c.infra.select("cluster_id", "sample_id", "timestamp", "executor_count", "autoscaling_event")
+
+
+@check("autoscale_events_split")
+def autoscale_events_split(c: Context) -> DataFrame:
+    """S9 with tiny blocks and one-hour chunks: every cluster is split into
+    many blocks, so the halo rows decide the first lag of each block."""
+    from vigil.operators import infra
+    from vigil.sources import progress_log
+
+    cfg = c.cfg.with_(frame_block_rows=7, time_chunk_seconds=3600)
+    s = infra.autoscale_events(progress_log.cluster_samples(c.events), cfg, order=("timestamp", "sample_id"))
+    return s.select("cluster_id", "sample_id", "timestamp", "executor_count", "autoscaling_event")
+
+
+@check("backpressure_split")
+def backpressure_split(c: Context) -> DataFrame:
+    """W1 with 7-row blocks and 50-batch chunks (halo path exercised)."""
+    m = Context(c.spark, c.sf_dir, BASE.with_(lookback_days=30, frame_block_rows=7, batch_id_chunk=50))
+    return gold.backpressure(m.prog, m.cfg)
+
+
+# ---------------------------------------------------------- evaluation ------
+
+def _evaluations(c: Context) -> DataFrame:
+    from vigil.operators import evaluate as ev
+
+    at = AS_OF_END
+    sla = ev.to_evaluations(alerts.sla_breach(c.sla, c.cfg, lookback_minutes=DAY), "alert_sla_breach", "query_name", "breach_count", at)
+    bp = ev.to_evaluations(alerts.sustained_backpressure(c.prog, c.cfg, lookback_minutes=WEEK, min_count=0), "alert_sustained_backpressure", "query_name", "backpressured_count", at)
+    sp = alerts.duration_spike_candidates(c.prog, c.cfg, lookback_minutes=MONTH)
+    sp = sp.orderBy(F.col("spike_factor").desc(), "query_id", "batch_id").limit(10).withColumn("_e", F.concat_ws("/", "query_name", F.col("batch_id").cast("string")))
+    sp = ev.to_evaluations(sp, "alert_batch_duration_spike", "_e", "raw_spike_factor", at)
+    te = ev.to_evaluations(alerts.stream_terminated(c.errors, c.cfg, lookback_minutes=DAY), "alert_stream_terminated", "query_id", None, at, count=True)
+    gr = ev.to_evaluations(alerts.state_growth(c.prog, c.cfg, lookback_minutes=WEEK, pct=-1e300), "alert_state_memory_growth", "query_name", "growth_pct", at)
+    return sla.unionByName(bp).unionByName(sp).unionByName(te).unionByName(gr)
+
+
+@check("alert_evaluate")
+def alert_evaluate(c: Context) -> DataFrame:
+    """Every detector's rows tested against its rule."""
+    from vigil.operators import evaluate as ev
+
+    e = ev.evaluate(_evaluations(c), ev.rules_df(c.spark))
+    return e.select("name", "entity", "value", "threshold", "severity", "fired")
+
+
+@check("alert_routing")
+def alert_routing(c: Context) -> DataFrame:
+    """Fired alerts with channel and message."""
+    from vigil.operators import evaluate as ev
+
+    e = ev.evaluate(_evaluations(c), ev.rules_df(c.spark))
+    return ev.route(e, ev.escalation_df(c.spark), c.cfg.environment).select("name", "entity", "severity", "channel", "message")
+
+
+def _backtest(c: Context) -> DataFrame:
+    from vigil.operators import evaluate as ev
+
+    breaches = c.sla.filter(F.col("sla_breach_flag") & (F.col("environment") == c.cfg.environment))
+    counts = ev.backtest_counts(breaches, "alert_sla_breach", "query_name", 10, 300, "2024-01-01 00:00:00", AS_OF_END)
+    return ev.evaluate(counts, ev.rules_df(c.spark))
+
+
+@check("alert_backtest")
+def alert_backtest(c: Context) -> DataFrame:
+    """The SLA-breach alert replayed every 5 minutes over the month."""
+    return _backtest(c).select("name", "entity", "evaluated_at", "value", "fired")
+
+
+@check("alert_rearm")
+def alert_rearm(c: Context) -> DataFrame:
+    """Which back-tested firings notify under the 600 s re-arm."""
+    from vigil.operators import evaluate as ev
+
+    return ev.rearm(_backtest(c).filter(F.col("fired")))
+
+
+# ---------------------------------------------------------- lifecycle -------
+
+def _table_location(c: Context, stem: str) -> tuple[str, str]:
+    import uuid
+
+    from vigil.session import scratch_dir
+
+    tag = uuid.uuid4().hex[:12]
+    return f"vigil_{stem}_{tag}", scratch_dir(c.spark, f"tables/{stem}_{tag}")
+
+
+@check("retention_filter")
+def retention_filter(c: Context) -> DataFrame:
+    """Bronze stored by day; partitions older than 20 days before the
+    clock dropped; rows per remaining day."""
+    from vigil import schemas
+    from vigil.operators import maintain
+
+    name, loc = _table_location(c, "raw_events")
+    maintain.create_table(c.spark, name, schemas.EVENT_LOG_READ, loc, "bronze event log")
+    maintain.append(c.bronze, name)
+    maintain.apply_retention(c.spark, name, AS_OF_END, 20)
+    return c.spark.table(name).groupBy("event_date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@check("compaction_preserves_rows")
+def compaction_preserves_rows(c: Context) -> DataFrame:
+    """K9: many small files compacted and the table repointed; per day the
+    row count and id range are unchanged."""
+    from vigil import schemas
+    from vigil.operators import maintain
+
+    name, loc = _table_location(c, "metrics")
+    maintain.create_table(c.spark, name, schemas.EVENT_LOG_READ, loc, "bronze event log")
+    maintain.append(c.bronze.repartition(16), name)
+    maintain.compact(c.spark, name, loc + "_compacted", ["event_type", "timestamp"])
+    return c.spark.table(name).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("id").alias("distinct_ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id")
+    )

@@ -329,3 +329,170 @@ FROM (SELECT query_id, CAST(arg_min(state_memory_bytes, (timestamp, batch_id)) A
 JOIN (SELECT DISTINCT query_id, query_name FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, WEEK)}) p
   ON g.query_id = p.query_id
 WHERE s > 0 AND 100.0 * (e - s) / s > 20.0""")
+
+# ------------------------------------------------------- expectations -------
+
+ORACLE["expectation_counts"] = with_(["sla", "errs"], """
+, tot AS (SELECT (SELECT COUNT(*) FROM prog) AS np, (SELECT COUNT(*) FROM errs) AS ne)
+SELECT 'valid_timestamp' AS expectation, np + ne AS total_records, CAST(0 AS BIGINT) AS failed_records, np + ne AS passed_records FROM tot
+UNION ALL SELECT 'valid_event_type', np + ne, 0, np + ne FROM tot
+UNION ALL SELECT 'valid_details', np + ne, 0, np + ne FROM tot
+UNION ALL SELECT 'is_stream_progress', np + ne, ne, np FROM tot
+UNION ALL SELECT 'has_event_time', COUNT(*), COUNT(*) - COUNT(event_time_max), COUNT(event_time_max) FROM sla""").replace("\n\n, tot AS", ",\ntot AS")
+
+ORACLE["expectation_drop"] = with_(["prog", "errs"], """
+SELECT 'is_error_event' AS expectation, (SELECT COUNT(*) FROM errs) AS kept_records, (SELECT COUNT(*) FROM prog) AS dropped_records""")
+
+# ------------------------------------------------------------ quality -------
+
+ORACLE["null_rates"] = with_(["infra"], """
+SELECT cluster_id, date_trunc('hour', timestamp) AS hour, COUNT(*) AS record_count,
+       CAST(0 AS DOUBLE) AS cpu_null_rate,
+       (COUNT(*) - COUNT(dbu_consumption)) / CAST(COUNT(*) AS DOUBLE) AS dbu_null_rate,
+       (COUNT(*) - COUNT(autoscaling_event)) / CAST(COUNT(*) AS DOUBLE) AS autoscale_null_rate
+FROM infra GROUP BY 1, 2""")
+
+ORACLE["duplicate_rate"] = f"""
+SELECT event_type, {BN} AS batch_id, COUNT(*) AS record_count, COUNT(DISTINCT user_id) AS distinct_keys,
+       (COUNT(*) - COUNT(DISTINCT user_id)) / CAST(COUNT(*) AS DOUBLE) AS duplicate_rate
+FROM events GROUP BY 1, 2"""
+
+ORACLE["schema_drift"] = with_(["mb"], """
+SELECT query_id, batch_id, CASE WHEN no_et THEN 14 ELSE 15 END AS key_count,
+       COALESCE(prev_no_et IS NOT NULL AND prev_no_et <> no_et, false) AS schema_change_detected
+FROM (SELECT 'q-' || event_type AS query_id, batch_id, n % 6 = 0 AS no_et,
+             LAG(n % 6 = 0) OVER (PARTITION BY event_type ORDER BY batch_id) AS prev_no_et FROM mb) x""")
+
+ORACLE["late_fraction"] = """
+WITH o AS (SELECT o_orderstatus AS stream, CAST(floor(o_orderkey / 1024) AS BIGINT) AS batch_id, o_orderdate AS event_time FROM orders),
+b AS (SELECT stream, batch_id, MAX(event_time) AS bmax FROM o GROUP BY 1, 2),
+w AS (SELECT stream, batch_id,
+             MAX(bmax) OVER (PARTITION BY stream ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 365 DAY AS wm
+      FROM b)
+SELECT o.stream, o.batch_id, COUNT(*) AS record_count,
+       CAST(SUM(CASE WHEN o.event_time < w.wm THEN 1 ELSE 0 END) AS BIGINT) AS late_records,
+       AVG(CASE WHEN o.event_time < w.wm THEN 1.0 ELSE 0.0 END) AS late_record_percentage
+FROM o JOIN w ON o.stream = w.stream AND o.batch_id = w.batch_id GROUP BY 1, 2"""
+
+# ------------------------------------------------------- inspection ---------
+
+ORACLE["recent_metrics"] = with_(["prog"], """
+SELECT query_id, query_name, batch_id, timestamp, input_rows_per_second, batch_duration_ms
+FROM prog ORDER BY timestamp DESC, query_id DESC LIMIT 20""")
+
+ORACLE["recent_sla"] = with_(["sla"], """
+SELECT query_id, query_name, batch_id, timestamp, latency_ms, sla_breach_flag
+FROM sla ORDER BY timestamp DESC, query_id DESC LIMIT 20""")
+
+ORACLE["recent_quality"] = with_(["prog"], """
+SELECT query_id, batch_id, timestamp, duplicate_rate, dropped_record_count, late_record_percentage
+FROM prog WHERE has_quality ORDER BY timestamp DESC, query_id DESC LIMIT 10""")
+
+ORACLE["table_row_counts"] = with_(["prog", "errs"], """
+SELECT 'raw_events' AS table_name, (SELECT COUNT(*) FROM prog) + (SELECT COUNT(*) FROM errs) AS row_count
+UNION ALL SELECT 'streaming_metrics', COUNT(*) FROM prog
+UNION ALL SELECT 'stream_errors', COUNT(*) FROM errs
+UNION ALL SELECT 'sla_latency_metrics', COUNT(*) FROM prog
+UNION ALL SELECT 'data_quality_metrics', COUNT(*) FROM prog WHERE has_quality
+UNION ALL SELECT 'infrastructure_metrics', COUNT(*) FROM events""")
+
+# -------------------------------------------------------------- infra -------
+
+ORACLE["infra_usage_normalize"] = f"""
+SELECT 'c-' || CAST(user_id % 8 AS VARCHAR) AS cluster_id, ts AS timestamp,
+       CAST(NULL AS DOUBLE) AS cpu_usage_percent, CAST(NULL AS DOUBLE) AS memory_usage_percent,
+       CAST(NULL AS INTEGER) AS executor_count, CAST(NULL AS VARCHAR) AS autoscaling_event,
+       {r('value / 3', 2)} AS dbu_consumption,
+       CAST(NULL AS VARCHAR) AS driver_node_type, CAST(NULL AS VARCHAR) AS worker_node_type,
+       'prod' AS environment, 'ws-0001' AS workspace_id
+FROM events WHERE event_id % 13 <> 0 AND ts >= CAST({AS_OF_END} AS DATE) - INTERVAL 7 DAY"""
+
+ORACLE["autoscale_events"] = with_(["infra"], """
+SELECT cluster_id, sample_id, timestamp, executor_count, autoscaling_event FROM infra""")
+ORACLE["autoscale_events_split"] = ORACLE["autoscale_events"]
+ORACLE["backpressure_split"] = ORACLE["backpressure"]
+
+# ---------------------------------------------------------- evaluation ------
+
+EVALS = f"""
+, ev AS (
+  SELECT 'streaming_sla_breach' AS name, query_name AS entity, CAST(COUNT(*) AS DOUBLE) AS value, CAST(0 AS DOUBLE) AS threshold, 'critical' AS severity
+  FROM sla WHERE environment = 'prod' AND sla_breach_flag AND {lookback_minutes(AS_OF_END, DAY)} GROUP BY query_name
+  UNION ALL
+  SELECT 'streaming_sustained_backpressure', query_name, CAST(SUM(bp) AS DOUBLE), 4.0, 'warning'
+  FROM (SELECT query_id, query_name, CASE WHEN input_rows_per_second > processed_rows_per_second THEN 1 ELSE 0 END AS bp,
+               ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY batch_id DESC) AS rn
+        FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, WEEK)}) x
+  WHERE rn <= 5 GROUP BY query_id, query_name
+  UNION ALL
+  SELECT * FROM (
+    SELECT 'streaming_batch_duration_spike', query_name || '/' || CAST(batch_id AS VARCHAR), batch_duration_ms / NULLIF(avg20, 0), 3.0, 'warning'
+    FROM (SELECT *, AVG(batch_duration_ms) OVER (PARTITION BY query_id ORDER BY batch_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS avg20
+          FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, MONTH)}) x
+    WHERE batch_duration_ms > 3.0 * avg20 AND avg20 IS NOT NULL
+    ORDER BY {r('batch_duration_ms / NULLIF(avg20, 0)', 2)} DESC, query_id, batch_id LIMIT 10)
+  UNION ALL
+  SELECT 'streaming_stream_terminated', query_id, CAST(COUNT(*) AS DOUBLE), 0.0, 'failure'
+  FROM errs WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, DAY)} GROUP BY query_id
+  UNION ALL
+  SELECT 'streaming_state_memory_growth', p.query_name, {r('100.0 * (e - s) / s', 2)}, 20.0, 'warning'
+  FROM (SELECT query_id, CAST(arg_min(state_memory_bytes, (timestamp, batch_id)) AS DOUBLE) AS s,
+               CAST(arg_max(state_memory_bytes, (timestamp, batch_id)) AS DOUBLE) AS e
+        FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, WEEK)} GROUP BY query_id) g
+  JOIN (SELECT DISTINCT query_id, query_name FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, WEEK)}) p
+    ON g.query_id = p.query_id
+  WHERE s > 0)"""
+
+ORACLE["alert_evaluate"] = with_(["sla", "errs"], EVALS + """
+SELECT name, entity, value, threshold, severity, value > threshold AS fired FROM ev""").replace("\n\n, ev AS", ",\nev AS")
+
+DESCRIPTIONS = """
+, d AS (SELECT * FROM (VALUES
+  ('streaming_sla_breach', 'Fires when any stream exceeds its SLA latency threshold.'),
+  ('streaming_sustained_backpressure', 'Fires when input > processed for 5+ consecutive batches.'),
+  ('streaming_batch_duration_spike', 'Fires when batch duration exceeds 3x the rolling average.'),
+  ('streaming_stream_terminated', 'Fires immediately when any streaming query terminates.'),
+  ('streaming_state_memory_growth', 'Fires when state store memory grows >20% within 30 minutes.')) t(name, description)),
+ch AS (SELECT * FROM (VALUES ('critical', 'pagerduty'), ('failure', 'pagerduty'), ('warning', 'slack')) t(severity, channel))"""
+
+ORACLE["alert_routing"] = with_(["sla", "errs"], EVALS + DESCRIPTIONS + """
+SELECT ev.name, ev.entity, ev.severity, ch.channel,
+       'Alert: ' || ev.name || chr(10) || 'Severity: ' || ev.severity || chr(10) || 'Environment: prod' || chr(10)
+       || 'Entity: ' || ev.entity || chr(10) || chr(10) || d.description AS message
+FROM ev JOIN d ON ev.name = d.name LEFT JOIN ch ON ev.severity = ch.severity
+WHERE ev.value > ev.threshold""").replace("\n\n, ev AS", ",\nev AS").replace("\n, d AS", ",\nd AS")
+
+BACKTEST = """
+, bt_rows AS (
+  SELECT query_name AS entity,
+         unnest(generate_series(CAST(ceil(e / 300) * 300 AS BIGINT), CAST(floor((e + 600) / 300) * 300 AS BIGINT), 300)) AS t
+  FROM (SELECT query_name, CAST(floor(epoch(timestamp)) AS BIGINT) AS e FROM sla WHERE sla_breach_flag AND environment = 'prod') x),
+bt AS (
+  SELECT 'streaming_sla_breach' AS name, entity, TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at,
+         CAST(COUNT(*) AS DOUBLE) AS value, COUNT(*) > 0 AS fired
+  FROM bt_rows WHERE t >= 1704067200 AND t <= 1706659200 GROUP BY entity, t)"""
+
+ORACLE["alert_backtest"] = with_(["sla"], BACKTEST + """
+SELECT name, entity, evaluated_at, value, fired FROM bt""").replace("\n\n, bt_rows AS", ",\nbt_rows AS")
+
+ORACLE["alert_rearm"] = "WITH RECURSIVE " + with_(["sla"], BACKTEST + """
+, f AS (SELECT name, entity, evaluated_at, ROW_NUMBER() OVER (PARTITION BY name, entity ORDER BY evaluated_at) AS rn FROM bt WHERE fired),
+walk AS (
+  SELECT name, entity, rn, evaluated_at, evaluated_at AS last_kept, true AS notified FROM f WHERE rn = 1
+  UNION ALL
+  SELECT f.name, f.entity, f.rn, f.evaluated_at,
+         CASE WHEN epoch(f.evaluated_at) - epoch(w.last_kept) >= 600 THEN f.evaluated_at ELSE w.last_kept END,
+         epoch(f.evaluated_at) - epoch(w.last_kept) >= 600
+  FROM walk w JOIN f ON f.name = w.name AND f.entity = w.entity AND f.rn = w.rn + 1)
+SELECT name, entity, evaluated_at, notified FROM walk""")[len("WITH "):]
+
+# ---------------------------------------------------------- lifecycle -------
+
+ORACLE["retention_filter"] = with_(["prog", "errs"], """
+SELECT event_date, COUNT(*) AS row_count FROM (
+  SELECT CAST(timestamp AS DATE) AS event_date FROM prog UNION ALL SELECT CAST(timestamp AS DATE) FROM errs) x
+WHERE event_date >= DATE '2024-01-11' GROUP BY 1""")
+
+ORACLE["compaction_preserves_rows"] = with_(["prog", "errs"], """
+SELECT CAST(timestamp AS DATE) AS event_date, COUNT(*) AS row_count, COUNT(DISTINCT id) AS distinct_ids, MIN(id) AS min_id, MAX(id) AS max_id
+FROM (SELECT timestamp, id FROM prog UNION ALL SELECT timestamp, id FROM errs) x GROUP BY 1""")
