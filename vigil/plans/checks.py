@@ -503,3 +503,143 @@ def compaction_preserves_rows(c: Context) -> DataFrame:
     return c.spark.table(name).groupBy("event_date").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("id").alias("distinct_ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id")
     )
+
+
+# ---------------------------------------------------------- streaming -------
+# Inputs are dropped in event-time order, in 10-day slices (one append each);
+# after every drop the stream is drained with availableNow against the same
+# checkpoint, as a scheduled job would.  Outputs are read back from the sink.
+
+SLICE_DAYS = 10
+
+
+def _run_dir(c: Context, stem: str) -> str:
+    import uuid
+
+    from vigil.session import scratch_dir
+
+    return scratch_dir(c.spark, f"runs/{stem}_{uuid.uuid4().hex[:12]}")
+
+
+def _time_slices(df: DataFrame, ts) -> list[DataFrame]:
+    from vigil.sources.progress_log import EPOCH
+
+    k = F.floor((F.unix_seconds(ts) - F.lit(EPOCH)) / F.lit(SLICE_DAYS * 86400))
+    ids = sorted(r[0] for r in df.select(k.alias("_k")).distinct().collect())
+    return [df.filter(k == i) for i in ids]
+
+
+def _sensor_runs(c: Context, aggregate: bool = True) -> tuple[str, str]:
+    from vigil.streaming import sensors
+
+    base = _run_dir(c, "sensors")
+    landing, bronze, gold = f"{base}/landing", f"{base}/bronze", f"{base}/gold"
+    readings = sensors.readings_from_events(c.events)
+    for part in _time_slices(readings, F.to_timestamp("event_time")):
+        sensors.write_landing(part, landing)
+        sensors.run_ingest(c.spark, landing, bronze, f"{base}/_ckpt_ingest")
+        if aggregate:
+            sensors.run_aggregation(c.spark, bronze, gold, f"{base}/_ckpt_agg")
+    return bronze, gold
+
+
+@check("sensor_ingest")
+def sensor_ingest(c: Context) -> DataFrame:
+    """JSON landing zone -> bronze (typed event time)."""
+    from vigil import schemas
+
+    bronze, _ = _sensor_runs(c, aggregate=False)
+    return c.spark.read.schema(schemas.SENSOR_BRONZE).parquet(bronze).drop("ingestion_ts")
+
+
+@check("incremental_equals_batch")
+def incremental_equals_batch(c: Context) -> DataFrame:
+    """T5: three availableNow drains against one checkpoint give the same
+    rows as one batch read: counts per region and day."""
+    from vigil import schemas
+
+    bronze, _ = _sensor_runs(c, aggregate=False)
+    b = c.spark.read.schema(schemas.SENSOR_BRONZE).parquet(bronze)
+    return b.groupBy("region", F.to_date("event_time").alias("day")).agg(
+        F.count(F.lit(1)).alias("record_count"), F.count_distinct("sensor_id").alias("distinct_sensors")
+    )
+
+
+@check("sensor_window_agg")
+def sensor_window_agg(c: Context) -> DataFrame:
+    """Sliding-window aggregate emitted in append
+    mode; averages shown to 6 decimals (summation order differs between
+    engines)."""
+    from vigil import schemas
+    from vigil.functions.core import round_half_up
+
+    _, gold = _sensor_runs(c)
+    g = c.spark.read.schema(schemas.SENSOR_GOLD).parquet(gold)
+    return g.withColumn("avg_temperature", round_half_up("avg_temperature", 6)).withColumn("avg_humidity", round_half_up("avg_humidity", 6))
+
+
+@check("sensor_generate")
+def sensor_generate(c: Context) -> DataFrame:
+    """One generated reading per event, around the event's time."""
+    from vigil.streaming import sensors
+
+    return sensors.generate_readings(c.events.withColumn("_base", F.col("ts").cast("timestamp")), "event_id", "_base")
+
+
+@check("foreach_batch_quality")
+def foreach_batch_quality(c: Context) -> DataFrame:
+    """Quality measured on each real micro-batch inside foreachBatch."""
+    from vigil.streaming import flows, sensors
+
+    base = _run_dir(c, "quality")
+    landing, out = f"{base}/landing", f"{base}/quality"
+    for part in _time_slices(sensors.readings_from_events(c.events), F.to_timestamp("event_time")):
+        sensors.write_landing(part, landing)
+        flows.run_quality_stream(sensors.bronze_stream(c.spark, landing), out, f"{base}/_ckpt")
+    return c.spark.read.parquet(out).drop("batch_id")
+
+
+def _progress_runs(c: Context, capture=None) -> str:
+    """Bronze log dropped in slices; the streaming backpressure flow drained
+    after each drop.  Returns the output folder."""
+    from vigil.sources.event_log import append_event_log
+    from vigil.streaming import flows
+
+    base = _run_dir(c, "progress")
+    bronze, out = f"{base}/bronze", f"{base}/backpressure"
+    for part in _time_slices(c.bronze, F.col("timestamp")):
+        append_event_log(part, bronze)
+        flows.run_backpressure_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg, max_files_per_trigger=None)
+    return out
+
+
+@check("backpressure_stream")
+def backpressure_stream(c: Context) -> DataFrame:
+    """Sustained backpressure on the live progress stream (per-stream
+    state, applyInPandasWithState) equals the batch row frame."""
+    from vigil.streaming.state import OUTPUT
+
+    return c.spark.read.schema(OUTPUT).parquet(_progress_runs(c)).drop("query_id")
+
+
+@check("listener_capture")
+def listener_capture(c: Context) -> DataFrame:
+    """A listener captures the progress of a running query into
+    bronze; the captured log is parsed by silver.  Rows-only."""
+    from vigil.sources.event_log import read_event_log
+    from vigil.streaming.listener import ProgressCapture
+
+    cap_dir = _run_dir(c, "capture")
+    cap = ProgressCapture(c.spark, cap_dir, c.cfg, background=False)
+    c.spark.streams.addListener(cap)
+    try:
+        _progress_runs(c)
+        import time
+
+        time.sleep(2.0)  # listener bus is asynchronous
+    finally:
+        c.spark.streams.removeListener(cap)
+        cap.stop()
+    captured = read_event_log(c.spark, cap_dir)
+    p = silver.progress(captured, c.cfg)
+    return p.select("query_name", "batch_id", "num_input_rows")

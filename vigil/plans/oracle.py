@@ -496,3 +496,41 @@ WHERE event_date >= DATE '2024-01-11' GROUP BY 1""")
 ORACLE["compaction_preserves_rows"] = with_(["prog", "errs"], """
 SELECT CAST(timestamp AS DATE) AS event_date, COUNT(*) AS row_count, COUNT(DISTINCT id) AS distinct_ids, MIN(id) AS min_id, MAX(id) AS max_id
 FROM (SELECT timestamp, id FROM prog UNION ALL SELECT timestamp, id FROM errs) x GROUP BY 1""")
+
+# ---------------------------------------------------------- streaming -------
+
+READINGS = """readings AS (
+  SELECT printf('sensor-%04d', user_id) AS sensor_id, value AS temperature, value / 2 AS humidity, 1000.0 + value / 10 AS pressure,
+         ts AS event_time, event_type AS region, (['plant-A', 'plant-B', 'warehouse-C', 'lab-D'])[event_id % 4 + 1] AS facility
+  FROM events)"""
+CTE["readings"] = READINGS
+NEEDS["readings"] = []
+
+ORACLE["sensor_ingest"] = with_(["readings"], """
+SELECT sensor_id, temperature, humidity, CAST(pressure AS DOUBLE) AS pressure, event_time, region, facility FROM readings""")
+
+ORACLE["incremental_equals_batch"] = with_(["readings"], """
+SELECT region, CAST(event_time AS DATE) AS day, COUNT(*) AS record_count, COUNT(DISTINCT sensor_id) AS distinct_sensors
+FROM readings GROUP BY 1, 2""")
+
+ORACLE["sensor_window_agg"] = with_(["readings"], f"""
+, w AS (SELECT *, time_bucket(INTERVAL 30 SECOND, event_time) AS b FROM readings),
+x AS (SELECT b AS window_start, * FROM w UNION ALL SELECT b - INTERVAL 30 SECOND AS window_start, * FROM w)
+SELECT window_start, window_start + INTERVAL 1 MINUTE AS window_end, region, COUNT(sensor_id) AS sensor_count,
+       {r('AVG(temperature)', 6)} AS avg_temperature, MAX(temperature) AS max_temperature, MIN(temperature) AS min_temperature,
+       {r('AVG(humidity)', 6)} AS avg_humidity, COUNT(*) AS record_count
+FROM x GROUP BY window_start, region
+HAVING window_start + INTERVAL 1 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 30 SECOND""")
+
+ORACLE["foreach_batch_quality"] = with_(["readings"], """
+SELECT CAST(event_time AS DATE) AS day, COUNT(*) AS record_count, COUNT(DISTINCT sensor_id) AS distinct_sensors,
+       (COUNT(*) - COUNT(DISTINCT sensor_id)) / CAST(COUNT(*) AS DOUBLE) AS duplicate_rate,
+       CAST(0 AS DOUBLE) AS temperature_null_rate
+FROM readings GROUP BY 1""")
+
+ORACLE["backpressure_stream"] = with_(["prog"], """
+SELECT query_name, batch_id, sustained_count,
+       CASE WHEN sustained_count >= 5 THEN 'CRITICAL' WHEN sustained_count >= 3 THEN 'WARNING' ELSE 'OK' END AS backpressure_status
+FROM (SELECT *, CAST(SUM(CASE WHEN input_rows_per_second > processed_rows_per_second THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY query_id ORDER BY batch_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS sustained_count
+      FROM prog) w""")
