@@ -44,11 +44,18 @@ def violation_counts(df: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFra
     )
 
 
-def expect(df: DataFrame, rules: Sequence[tuple[str, str]], name: str = "expectations") -> tuple[DataFrame, Observation]:
+def expect(df: DataFrame, rules: Sequence[tuple[str, str]], name: str = "expectations") -> tuple[DataFrame, Observation | str]:
     """Warn form: rows pass through unchanged; violation counts are
-    observed as the DataFrame is computed (works on streams)."""
-    obs = Observation(name)
+    observed as the DataFrame is computed.
+
+    Batch: returns an ``Observation`` (``.get`` after the action).  Stream:
+    returns the observation name; each micro-batch's counts appear in its
+    progress event under ``observedMetrics[name]`` (and so reach the
+    captured event log)."""
     metrics = [F.count(F.lit(1)).alias("total_records")] + [F.sum(F.when(_ok(p), 0).otherwise(1)).alias(n) for n, p in rules]
+    if df.isStreaming:
+        return df.observe(name, *metrics), name
+    obs = Observation(name)
     return df.observe(obs, *metrics), obs
 
 
