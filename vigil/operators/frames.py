@@ -13,8 +13,9 @@ it:
    plus the row count of the key's earlier chunks (a small per-chunk
    aggregate).  No step holds more than one chunk of one key.
 2. ``rows_frame``: block = index // block_rows.  The last ``preceding`` rows
-   of each block are copied, as halo rows, into the next block; windows run
-   over (key, block) ordered by index; halo rows are dropped after.
+   of each block are also emitted (``explode``, one pass), as halo rows, into
+   the next block; windows run over (key, block) ordered by index; halo rows
+   are dropped after.
 
 The result equals the unsplit window exactly (tests compare both).  When a
 key fits in one block the halo is empty and only the extra index pass is
@@ -86,14 +87,12 @@ def rows_frame(
     if preceding >= block_rows:
         raise ValueError("block_rows must exceed the frame length")
     idx = dense_index(df, keys, order, chunk)
-    blk = F.floor(F.col(_IDX) / F.lit(block_rows))
-    real = idx.withColumn(_BLOCK, blk).withColumn(_HALO, F.lit(False))
-    halo = (
-        idx.filter((F.col(_IDX) % F.lit(block_rows)) >= F.lit(block_rows - preceding))
-        .withColumn(_BLOCK, blk + 1)
-        .withColumn(_HALO, F.lit(True))
-    ) if preceding > 0 else None
-    u = real if halo is None else real.unionByName(halo)
+    own = F.floor(F.col(_IDX) / F.lit(block_rows))
+    tail = (F.col(_IDX) % F.lit(block_rows)) >= F.lit(block_rows - preceding)
+    # One pass: every row goes to its own block; the last ``preceding`` rows
+    # of a block also go, flagged as halo, to the next block.
+    targets = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)) if preceding > 0 else F.array(own)
+    u = idx.withColumn(_BLOCK, F.explode(targets)).withColumn(_HALO, F.col(_BLOCK) != own)
     w = Window.partitionBy(*keys, _BLOCK).orderBy(_IDX)
     out = u.select("*", *[c.alias(n) for n, c in build(w).items()])
     return out.filter(~F.col(_HALO)).drop(_BLOCK, _HALO, _IDX)
