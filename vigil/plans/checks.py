@@ -643,3 +643,37 @@ def listener_capture(c: Context) -> DataFrame:
     captured = read_event_log(c.spark, cap_dir)
     p = silver.progress(captured, c.cfg)
     return p.select("query_name", "batch_id", "num_input_rows")
+
+
+# ---------------------------------------------------------- pipeline --------
+
+@check("pipeline_materialize")
+def pipeline_materialize(c: Context) -> DataFrame:
+    """K5: silver and gold datasets written once (silver by day), gold built
+    from the stored silver tables; the stored stream overview read back."""
+    from vigil.plans import datasets
+
+    from vigil.sources.event_log import append_event_log, read_event_log
+
+    o = _overview_ctx(c)
+    root = _run_dir(c, "pipeline")
+    append_event_log(c.bronze, f"{root}/raw_events")
+    bronze = read_event_log(c.spark, f"{root}/raw_events")
+    need = {"stream_progress", "stream_errors", "sla_latency_metrics", "mv_stream_overview"}
+    paths = datasets.materialize(c.spark, bronze, root, o.cfg, names=need)
+    return c.spark.read.parquet(paths["mv_stream_overview"])
+
+
+@check("silver_flow_stream")
+def silver_flow_stream(c: Context) -> DataFrame:
+    """The SLA silver flow run as a stream over the bronze log (dropped
+    in slices, drained with availableNow) equals the batch silver table."""
+    from vigil.sources.event_log import append_event_log
+    from vigil.streaming import flows
+
+    base = _run_dir(c, "silver_flow")
+    bronze, out = f"{base}/bronze", f"{base}/sla"
+    for part in _time_slices(c.bronze, F.col("timestamp")):
+        append_event_log(part, bronze)
+        flows.run_silver_flow(c.spark, bronze, out, f"{base}/_ckpt", "sla_latency_metrics", c.cfg)
+    return c.spark.read.parquet(out).drop("ingestion_ts", "event_date")
