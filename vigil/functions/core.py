@@ -100,6 +100,19 @@ def lookback_interval_filter(ts: str | Column, as_of: datetime | str | None, min
     return (t >= now - F.expr(f"INTERVAL {int(minutes)} MINUTES")) & (t <= now)
 
 
+def partition_days_filter(as_of: datetime | str | None, days: int | None = None, minutes: int | None = None, part: str = "event_date") -> Column:
+    """The ``event_date`` range implied by a lookback, for tables stored by
+    day: a predicate on the partition column lets the scan skip whole days
+    (the timestamp predicate alone cannot prune directories)."""
+    now = as_of_col(as_of)
+    cond = F.col(part) <= F.to_date(now)
+    if days is not None:
+        cond = cond & (F.col(part) >= F.date_sub(F.to_date(now), days))
+    if minutes is not None:
+        cond = cond & (F.col(part) >= F.to_date(now - F.expr(f"INTERVAL {int(minutes)} MINUTES")))
+    return cond
+
+
 def to_ntz(df):
     """Cast TIMESTAMP columns to TIMESTAMP_NTZ (UTC wall clock) for output to
     engines without time zones."""

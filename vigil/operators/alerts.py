@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from vigil import config as C
 from vigil.config import MonitorConfig
-from vigil.functions.core import lookback_interval_filter, round_half_up
+from vigil.functions.core import lookback_interval_filter, partition_days_filter, round_half_up
 from vigil.operators import frames
 from vigil.operators.gold import MB, backpressure_flag, batch_chunk
 
 
 def _recent(df: DataFrame, cfg: MonitorConfig, minutes: int) -> DataFrame:
-    return df.filter((F.col("environment") == F.lit(cfg.environment)) & lookback_interval_filter("timestamp", cfg.as_of, minutes))
+    cond = (F.col("environment") == F.lit(cfg.environment)) & lookback_interval_filter("timestamp", cfg.as_of, minutes)
+    if "event_date" in df.columns:
+        cond = cond & partition_days_filter(cfg.as_of, minutes=minutes)
+    return df.filter(cond)
 
 
 def sla_breach(sla: DataFrame, cfg: MonitorConfig, lookback_minutes: int = C.ALERT_LOOKBACK_MINUTES["alert_sla_breach"], min_count: int = 0) -> DataFrame:

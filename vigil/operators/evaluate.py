@@ -2,6 +2,8 @@
 
 * ``evaluate``: detector rows -> (alert, entity, value) -> fired when the
   rule's condition holds (``value > threshold``; COUNT rules count rows).
+  Rules are a small configuration table (size-checked) attached by a map
+  lookup inside each task, not by a join.
 * ``route``: severity -> channel, plus the notification text.
 * ``backtest``: replays an alert over history on its evaluation grid
   (every ``schedule_interval_seconds``) without a cross join: each metric row
@@ -68,12 +70,42 @@ def to_evaluations(result: DataFrame, detector: str, entity_col: str, value_col:
     return result.select(F.lit(detector).alias("query_name"), F.col(entity_col).cast("string").alias("entity"), F.col("_v").alias("value"), at.alias("evaluated_at"))
 
 
+MAX_RULES = 10_000
+
+
+def rule_lookup(rules: DataFrame):
+    """detector name -> array of rule structs, as one literal map column.
+
+    Rules are configuration: their count is checked (at most ``MAX_RULES``)
+    before they are read on the driver and shipped inside the plan, so every
+    task can attach them to its rows without a join."""
+    rows = rules.limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} alert rules")
+    by_detector: dict[str, list] = {}
+    for r in rows:
+        by_detector.setdefault(r["query_name"], []).append(
+            F.struct(
+                F.lit(r["name"]).alias("name"),
+                F.lit(r["op"]).alias("op"),
+                F.lit(float(r["threshold"])).alias("threshold"),
+                F.lit(r["severity"]).alias("severity"),
+                F.lit(int(r["rearm_seconds"])).alias("rearm_seconds"),
+                F.lit(r["description"]).cast("string").alias("description"),
+            )
+        )
+    if not by_detector:
+        return F.create_map().cast("map<string,array<struct<name:string,op:string,threshold:double,severity:string,rearm_seconds:int,description:string>>>")
+    return F.create_map(*[x for q, lst in by_detector.items() for x in (F.lit(q), F.array(*lst))])
+
+
 def evaluate(evaluations: DataFrame, rules: DataFrame) -> DataFrame:
-    """Attach each rule to its detector's rows and test the condition.
+    """Attach each rule of the row's detector and test the condition.
 
-    The rule table holds one row per alert (five here); it is broadcast."""
-    r = F.broadcast(rules.select("name", F.col("query_name").alias("_rq"), "op", "threshold", "severity", "rearm_seconds", "description"))
-    j = evaluations.join(r, evaluations["query_name"] == r["_rq"]).drop("_rq")
+    A row of a detector with several rules yields one row per rule; a row
+    of a detector without rules yields none."""
+    rule = F.explode(F.try_element_at(rule_lookup(rules), F.col("query_name")))
+    j = evaluations.select("*", rule.alias("_r")).select(*evaluations.columns, "_r.*")
     fired = F.when(F.col("op") == "GREATER_THAN", F.col("value") > F.col("threshold")).when(F.col("op") == "LESS_THAN", F.col("value") < F.col("threshold"))
     return j.withColumn("fired", F.coalesce(fired, F.lit(False)))
 

@@ -15,15 +15,21 @@ from pyspark.sql import functions as F
 
 from vigil import config as C
 from vigil.config import MonitorConfig
-from vigil.functions.core import as_of_col, lookback_days_filter, round_half_up, seconds_between
+from vigil.functions.core import as_of_col, lookback_days_filter, partition_days_filter, round_half_up, seconds_between
 from vigil.operators import frames
 
 MB = 1024.0 * 1024.0
 
 
 def scoped(df: DataFrame, cfg: MonitorConfig, ts: str = "timestamp") -> DataFrame:
-    """P8 + P9: environment equality and whole-day lookback up to the clock."""
-    return df.filter((F.col("environment") == F.lit(cfg.environment)) & lookback_days_filter(ts, cfg.as_of, cfg.lookback_days))
+    """P8 + P9: environment equality and whole-day lookback up to the clock.
+
+    On tables stored by day the same range is also stated on ``event_date``
+    so that the scan prunes partitions."""
+    cond = (F.col("environment") == F.lit(cfg.environment)) & lookback_days_filter(ts, cfg.as_of, cfg.lookback_days)
+    if "event_date" in df.columns:
+        cond = cond & partition_days_filter(cfg.as_of, days=cfg.lookback_days)
+    return df.filter(cond)
 
 
 def batch_chunk(cfg: MonitorConfig):
