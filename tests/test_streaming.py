@@ -67,3 +67,47 @@ def test_observed_expectations_on_stream(spark):
     time.sleep(0.5)
     metrics = q.lastProgress["observedMetrics"]["vigil_obs"]
     assert metrics["total_records"] == 3 and metrics["b_present"] == 1
+
+
+def test_observed_quality_reaches_silver_through_capture(spark):
+    from vigil.operators import quality
+
+    src = tempfile.mkdtemp(prefix="vigil-q-")
+    cap_dir = tempfile.mkdtemp(prefix="vigil-q-cap-")
+    ckpt = tempfile.mkdtemp(prefix="vigil-q-ckpt-")
+    spark.createDataFrame([(1, 5.0), (1, None), (2, 7.0), (3, -1.0)], "k int, v double").coalesce(1).write.parquet(src + "/p")
+    df = spark.readStream.schema("k int, v double").parquet(src + "/p")
+    observed = quality.observe_quality(df, "k", [("v_present", "v IS NOT NULL"), ("v_positive", "v > 0")])
+    cap = ProgressCapture(spark, cap_dir, MonitorConfig(), background=False)
+    spark.streams.addListener(cap)
+    try:
+        q = observed.writeStream.format("noop").queryName("q obs").option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert wait_for_termination(cap, str(q.id))
+    finally:
+        spark.streams.removeListener(cap)
+        cap.stop()
+    dq = silver.data_quality_metrics(silver.progress(read_event_log(spark, cap_dir), MonitorConfig()), MonitorConfig()).collect()
+    assert len(dq) >= 1
+    row = [r for r in dq if r.dropped_record_count][0]
+    assert row.query_name == "q_obs" and row.dropped_record_count == 2 and abs(row.duplicate_rate - 0.25) < 1e-9
+
+
+def test_quality_callback_fills_quality(spark):
+    src = tempfile.mkdtemp(prefix="vigil-cb-")
+    cap_dir = tempfile.mkdtemp(prefix="vigil-cb-cap-")
+    ckpt = tempfile.mkdtemp(prefix="vigil-cb-ckpt-")
+    spark.range(10).coalesce(1).write.parquet(src + "/p")
+    cap = ProgressCapture(spark, cap_dir, MonitorConfig(), background=False)
+    cap.register_quality_callback(lambda qid, bid, p: {"dropped_record_count": int(p["numInputRows"]), "duplicate_rate": 0.0})
+    cap.register_quality_callback(lambda qid, bid, p: 1 / 0)
+    spark.streams.addListener(cap)
+    try:
+        q = spark.readStream.schema("id long").parquet(src + "/p").writeStream.format("noop").option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert wait_for_termination(cap, str(q.id))
+    finally:
+        spark.streams.removeListener(cap)
+        cap.stop()
+    dq = silver.data_quality_metrics(silver.progress(read_event_log(spark, cap_dir), MonitorConfig()), MonitorConfig()).collect()
+    assert sorted(r.dropped_record_count for r in dq)[-1] == 10

@@ -81,3 +81,25 @@ def late_fraction(df: DataFrame, stream: str, batch: str, event_time: str, delay
         F.sum(late.cast("bigint")).alias("late_records"),
         F.avg(late.cast("double")).alias("late_record_percentage"),
     )
+
+
+def observe_quality(df: DataFrame, key: str, drop_rules: Sequence[tuple[str, str]] = (), name: str = "quality") -> DataFrame:
+    """U1 / U4, live form: per micro-batch figures observed while the batch
+    runs (no extra job) and reported in its progress event under
+    ``observedMetrics[name]``, where the listener captures them and silver
+    reads them as ``observedMetrics.quality``.
+
+    ``dropped_record_count`` counts rows violating any drop rule (exact);
+    ``duplicate_rate`` uses ``approx_count_distinct`` (observed metrics allow
+    no exact distinct count; the exact figure is ``duplicate_rate`` in
+    ``foreachBatch``)."""
+    bad = F.lit(False)
+    for _, pred in drop_rules:
+        bad = bad | ~F.coalesce(F.expr(pred), F.lit(False))
+    n = F.count(F.lit(1))
+    return df.observe(
+        name,
+        F.sum(bad.cast("bigint")).alias("dropped_record_count"),
+        ((n - F.approx_count_distinct(key)) / F.greatest(n, F.lit(1)).cast("double")).alias("duplicate_rate"),
+        F.lit(None).cast("double").alias("late_record_percentage"),
+    )

@@ -64,6 +64,7 @@ class ProgressCapture(StreamingQueryListener):
         self._lock = threading.Lock()
         self._stop = threading.Event()
         self._last_flush = time.monotonic()
+        self._callbacks: list = []
         self._thread = threading.Thread(target=self._run, daemon=True) if background else None
         if self._thread:
             self._thread.start()
@@ -79,9 +80,37 @@ class ProgressCapture(StreamingQueryListener):
     def onQueryStarted(self, event) -> None:
         pass
 
+    def register_quality_callback(self, callback) -> None:
+        """``callback(query_id, batch_id, progress: dict) -> dict | None``.
+        A returned dict is stored as ``observedMetrics.quality`` of the
+        captured document (unless the query already observed one); None is
+        skipped, exceptions are swallowed.  Callbacks run on the listener
+        thread and must be cheap; measure data in ``foreachBatch`` or with
+        ``observe`` instead."""
+        self._callbacks.append(callback)
+
     def onQueryProgress(self, event) -> None:
         raw = event.progress.json
-        self._put("progress", raw() if callable(raw) else raw)
+        raw = raw() if callable(raw) else raw
+        if self._callbacks:
+            raw = self._with_callbacks(raw)
+        self._put("progress", raw)
+
+    def _with_callbacks(self, raw: str) -> str:
+        try:
+            doc = json.loads(raw)
+        except ValueError:
+            return raw
+        om = doc.get("observedMetrics") or {}
+        for cb in self._callbacks:
+            try:
+                res = cb(doc.get("id"), doc.get("batchId"), doc)
+            except Exception:  # a failing callback never stops capture
+                continue
+            if isinstance(res, dict) and "quality" not in om:
+                om["quality"] = res
+        doc["observedMetrics"] = om
+        return json.dumps(doc)
 
     def onQueryIdle(self, event) -> None:
         pass
