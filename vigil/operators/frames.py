@@ -51,17 +51,23 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.withColumn(name, F.row_number().over(w) - 1)
     d = df.withColumn(_CHUNK, chunk)
-    local = F.row_number().over(Window.partitionBy(*keys, _CHUNK).orderBy(*_cols(order))) - 1
-    counts = d.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    part = Window.partitionBy(*keys, _CHUNK)
+    # One shuffle of the input by (key, chunk): local position and chunk size
+    # come from windows over it; the per-chunk counts are read off the same
+    # shuffled rows, so the input is scanned once.
+    d = d.select("*", (F.row_number().over(part.orderBy(*_cols(order))) - 1).alias("_local"), F.count(F.lit(1)).over(part).alias("_n"))
+    counts = d.groupBy(*keys, _CHUNK).agg(F.max("_n").alias("_n"))
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _CHUNK, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off"))
-    o = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col(_CHUNK).alias("_o_chunk"), "_off")
+    o = counts.select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys],
+        F.col(_CHUNK).alias("_o_chunk"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off"),
+    )
     cond = [d[k].eqNullSafe(o[f"_o_{k}"]) for k in keys] + [d[_CHUNK].eqNullSafe(o["_o_chunk"])]
     return (
-        d.withColumn("_local", local)
-        .join(o, cond, "inner")
+        d.join(o, cond, "inner")
         .withColumn(name, F.col("_off") + F.col("_local"))
-        .drop("_local", "_off", "_o_chunk", _CHUNK, *[f"_o_{k}" for k in keys])
+        .drop("_local", "_n", "_off", "_o_chunk", _CHUNK, *[f"_o_{k}" for k in keys])
     )
 
 
