@@ -36,7 +36,8 @@ def create_table(spark: SparkSession, name: str, schema: StructType, location: s
 
 
 def append(df: DataFrame, name: str, ts: str = "timestamp") -> None:
-    """Append rows to a registered table, deriving the partition column."""
+    """Append rows to a registered table, deriving the partition column
+    (columns are matched by name; extra columns are left out)."""
     spark = df.sparkSession
     target = spark.table(name).columns
     df.withColumn(PARTITION, F.to_date(F.col(ts))).select(*target).write.insertInto(name)
@@ -109,3 +110,24 @@ def compact(spark: SparkSession, name: str, new_location: str, sort_cols: list[s
 def latest(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """Newest ``n`` rows (a top-k: each task keeps its own n rows)."""
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+
+
+def create_monitoring_tables(spark: SparkSession, database: str, root: str) -> list[str]:
+    """K6 / K7: the database and every monitoring table (bronze, five silver,
+    sensor bronze and gold) as external parquet tables partitioned by day."""
+    from vigil import schemas
+
+    tables = {
+        "raw_events": (schemas.EVENT_LOG_READ, "Raw streaming events (bronze event log)"),
+        "streaming_metrics": (schemas.STREAMING_METRICS, "Per-micro-batch streaming metrics in event-log format"),
+        "stream_errors": (schemas.STREAM_ERRORS, "Stream error and termination events"),
+        "data_quality_metrics": (schemas.DATA_QUALITY_METRICS, "Per-batch data quality"),
+        "sla_latency_metrics": (schemas.SLA_LATENCY_METRICS, "Per-batch latency and SLA breach flag"),
+        "infrastructure_metrics": (schemas.INFRASTRUCTURE_METRICS, "Cluster infrastructure metrics"),
+        "sensor_bronze": (schemas.SENSOR_BRONZE, "Sensor readings (bronze)"),
+        "sensor_gold": (schemas.SENSOR_GOLD, "Sensor sliding-window aggregates (gold)"),
+    }
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    for name, (schema, comment) in tables.items():
+        create_table(spark, f"{database}.{name}", schema, f"{root}/{name}", comment)
+    return [f"{database}.{n}" for n in tables]

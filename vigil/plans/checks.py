@@ -677,3 +677,27 @@ def silver_flow_stream(c: Context) -> DataFrame:
         append_event_log(part, bronze)
         flows.run_silver_flow(c.spark, bronze, out, f"{base}/_ckpt", "sla_latency_metrics", c.cfg)
     return c.spark.read.parquet(out).drop("ingestion_ts", "event_date")
+
+
+@check("monitoring_tables")
+def monitoring_tables(c: Context) -> DataFrame:
+    """K6 / K7 / K8: DDL for every monitoring table, silver rows inserted
+    through the catalog, tables listed and counted."""
+    import uuid
+
+    from vigil.operators import maintain
+    from vigil.streaming import sensors
+
+    db = f"vigil_mon_{uuid.uuid4().hex[:10]}"
+    root = _run_dir(c, "catalog")
+    maintain.create_monitoring_tables(c.spark, db, root)
+    maintain.append(c.bronze, f"{db}.raw_events")
+    maintain.append(c.metrics, f"{db}.streaming_metrics")
+    maintain.append(c.errors, f"{db}.stream_errors")
+    maintain.append(c.sla, f"{db}.sla_latency_metrics")
+    maintain.append(c.dq, f"{db}.data_quality_metrics")
+    maintain.append(c.infra, f"{db}.infrastructure_metrics")
+    readings = sensors.readings_from_events(c.events).withColumn("event_time", F.to_timestamp("event_time")).withColumn("ingestion_ts", F.current_timestamp())
+    maintain.append(readings, f"{db}.sensor_bronze", ts="event_time")
+    names = maintain.list_tables(c.spark, db)
+    return maintain.row_counts({n: c.spark.table(f"{db}.{n}") for n in names})

@@ -536,3 +536,12 @@ FROM (SELECT *, CAST(SUM(CASE WHEN input_rows_per_second > processed_rows_per_se
       FROM prog) w""")
 ORACLE["pipeline_materialize"] = ORACLE["stream_overview"]
 ORACLE["silver_flow_stream"] = ORACLE["silver_sla_latency"]
+ORACLE["monitoring_tables"] = with_(["prog", "errs"], """
+SELECT 'raw_events' AS table_name, (SELECT COUNT(*) FROM prog) + (SELECT COUNT(*) FROM errs) AS row_count
+UNION ALL SELECT 'streaming_metrics', COUNT(*) FROM prog
+UNION ALL SELECT 'stream_errors', COUNT(*) FROM errs
+UNION ALL SELECT 'sla_latency_metrics', COUNT(*) FROM prog
+UNION ALL SELECT 'data_quality_metrics', COUNT(*) FROM prog WHERE has_quality
+UNION ALL SELECT 'infrastructure_metrics', COUNT(*) FROM events
+UNION ALL SELECT 'sensor_bronze', COUNT(*) FROM events
+UNION ALL SELECT 'sensor_gold', 0""")
