@@ -701,3 +701,30 @@ def monitoring_tables(c: Context) -> DataFrame:
     maintain.append(readings, f"{db}.sensor_bronze", ts="event_time")
     names = maintain.list_tables(c.spark, db)
     return maintain.row_counts({n: c.spark.table(f"{db}.{n}") for n in names})
+
+
+# ------------------------------------------------------ dashboard SQL -------
+
+def _sql_check(dataset: str, days: int, as_of: str = AS_OF_END):
+    def fn(c: Context) -> DataFrame:
+        from vigil.plans import dashboard_sql
+
+        dashboard_sql.register_views(
+            {"stream_progress": c.prog, "stream_errors": c.errors, "sla_latency_metrics": c.sla, "data_quality_metrics": c.dq, "infrastructure_metrics": c.infra}
+        )
+        return dashboard_sql.run(c.spark, dataset, c.cfg.environment, as_of, days)
+
+    fn.__doc__ = f"P20: the {dataset} dataset as parameterised Spark SQL over the silver views."
+    return fn
+
+
+for _name, _days, _as_of in [
+    ("stream_overview", 100000, AS_OF_OVERVIEW),
+    ("throughput_trends", 7, AS_OF_END),
+    ("latency_sla", 7, AS_OF_END),
+    ("backpressure", 30, AS_OF_END),
+    ("state_store_health", 30, AS_OF_END),
+    ("data_quality_hourly", 7, AS_OF_END),
+    ("infra_cost_hourly", 7, AS_OF_END),
+]:
+    check(f"sql_{_name}")(_sql_check(_name, _days, _as_of))

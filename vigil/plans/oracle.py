@@ -545,3 +545,5 @@ UNION ALL SELECT 'data_quality_metrics', COUNT(*) FROM prog WHERE has_quality
 UNION ALL SELECT 'infrastructure_metrics', COUNT(*) FROM events
 UNION ALL SELECT 'sensor_bronze', COUNT(*) FROM events
 UNION ALL SELECT 'sensor_gold', 0""")
+for _n in ("stream_overview", "throughput_trends", "latency_sla", "backpressure", "state_store_health", "data_quality_hourly", "infra_cost_hourly"):
+    ORACLE[f"sql_{_n}"] = ORACLE[_n]
