@@ -111,3 +111,31 @@ def test_quality_callback_fills_quality(spark):
         cap.stop()
     dq = silver.data_quality_metrics(silver.progress(read_event_log(spark, cap_dir), MonitorConfig()), MonitorConfig()).collect()
     assert sorted(r.dropped_record_count for r in dq)[-1] == 10
+
+
+def test_all_silver_flows_equal_batch_silver(spark):
+    from vigil.plans.context import Context
+    from vigil.sources.event_log import append_event_log
+
+    c = Context(spark, "/root/testdata/sf0.001")
+    root = tempfile.mkdtemp(prefix="vigil-flows-")
+    append_event_log(c.bronze, f"{root}/bronze")
+    out = flows.run_silver_flows(spark, f"{root}/bronze", f"{root}/silver", c.cfg)
+    batch = {"streaming_metrics": c.metrics, "stream_errors": c.errors_raw, "sla_latency_metrics": c.sla, "data_quality_metrics": c.dq}
+    for t, path in out.items():
+        assert spark.read.parquet(path).count() == batch[t].count(), t
+
+
+def test_continuous_trigger_flow(spark):
+    from vigil.plans.context import Context
+    from vigil.sources.event_log import append_event_log
+
+    c = Context(spark, "/root/testdata/sf0.001")
+    root = tempfile.mkdtemp(prefix="vigil-cont-")
+    append_event_log(c.bronze, f"{root}/bronze")
+    q = flows.run_silver_flow(spark, f"{root}/bronze", f"{root}/errors", f"{root}/_ckpt", "stream_errors", c.cfg, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{root}/errors").count() == c.errors_raw.count()

@@ -126,3 +126,17 @@ def to_ntz(df):
 def event_id(*parts: str | Column) -> Column:
     """Deterministic event id (replays of one batch get the same id)."""
     return F.sha2(F.concat_ws("|", *[col_(p).cast("string") for p in parts]), 256)
+
+
+# Largest dimension table (rows) broadcast to every task.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df, max_rows: int = MAX_BROADCAST_ROWS):
+    """Broadcast ``df`` only after checking its size: at most ``max_rows``
+    rows (counted with ``limit``, so a huge table costs one partial scan).
+    A larger table is returned as is and joined by shuffle."""
+    from pyspark.sql import functions as _F
+
+    n = df.limit(max_rows + 1).count()
+    return _F.broadcast(df) if n <= max_rows else df

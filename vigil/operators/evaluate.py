@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from vigil import config as C
 from vigil import schemas
+from vigil.functions.core import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # The five alert rules (name, detector, schedule s, operator,
@@ -112,7 +113,7 @@ def evaluate(evaluations: DataFrame, rules: DataFrame) -> DataFrame:
 
 def route(evaluated: DataFrame, escalation: DataFrame, environment: str) -> DataFrame:
     """U8 + U10: fired alerts with their channel and notification text."""
-    e = F.broadcast(escalation.withColumnRenamed("severity", "_sev"))
+    e = bounded_broadcast(escalation.withColumnRenamed("severity", "_sev"))
     f = evaluated.filter(F.col("fired")).join(e, F.col("severity") == F.col("_sev"), "left").drop("_sev")
     body = F.format_string("Alert: %s\nSeverity: %s\nEnvironment: %s\nEntity: %s\n\n%s", F.col("name"), F.col("severity"), F.lit(environment), F.col("entity"), F.col("description"))
     return f.withColumn("message", body)

@@ -13,10 +13,24 @@ from vigil.sources.event_log import read_event_log_stream
 from vigil.streaming.state import backpressure_stream
 
 
-def run_silver_flow(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, table: str, cfg: MonitorConfig, max_files_per_trigger: int | None = None):
+SILVER_FLOWS = ("streaming_metrics", "stream_errors", "sla_latency_metrics", "data_quality_metrics")
+
+
+def run_silver_flow(
+    spark: SparkSession,
+    bronze_dir: str,
+    out_dir: str,
+    checkpoint: str,
+    table: str,
+    cfg: MonitorConfig,
+    max_files_per_trigger: int | None = None,
+    processing_time: str | None = None,
+):
     """One stateless silver flow (streaming_metrics / stream_errors /
     sla_latency_metrics / data_quality_metrics) from the bronze stream,
-    appended with its own checkpoint (availableNow)."""
+    appended with its own checkpoint.  Default: drain what is there
+    (``availableNow``) and stop; with ``processing_time`` (T6) the flow runs
+    continuously and the running query is returned."""
     bronze = read_event_log_stream(spark, bronze_dir, max_files_per_trigger)
     if table == "streaming_metrics":
         out = silver.streaming_metrics(bronze, cfg)
@@ -35,13 +49,24 @@ def run_silver_flow(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoi
         .partitionBy("event_date")
         .queryName(f"silver_{table}")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(out_dir)
     )
+    if processing_time:
+        return q.trigger(processingTime=processing_time).start(out_dir)
+    q = q.trigger(availableNow=True).start(out_dir)
     q.awaitTermination()
     return q
 
 
+def run_silver_flows(spark: SparkSession, bronze_dir: str, root: str, cfg: MonitorConfig, tables=SILVER_FLOWS) -> dict[str, str]:
+    """All silver flows, one checkpoint each (a failure of one flow does not
+    replay the others).  Returns table -> output folder."""
+    out = {}
+    for t in tables:
+        run_silver_flow(spark, bronze_dir, f"{root}/{t}", f"{root}/_checkpoints/{t}", t, cfg)
+        out[t] = f"{root}/{t}"
+    return out
+
+
 def batch_quality(batch: DataFrame, batch_id: int) -> DataFrame:
     """Quality of one micro-batch, measured on its rows: per event day,
     record count, distinct sensors, duplicate rate, null rate of the
