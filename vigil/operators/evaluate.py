@@ -127,20 +127,49 @@ def grid_times(ts: str, lookback_seconds: int, step_seconds: int):
     return F.explode(F.sequence(first, last, F.lit(step_seconds).cast("bigint")))
 
 
-def backtest_counts(rows: DataFrame, detector: str, entity_col: str, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:
-    """U9 for count-style alerts (SLA breach, termination): for every grid
-    instant in [start, end], the rows per entity inside its lookback.
+def backtest_rows(rows: DataFrame, lookback_minutes: int, step_seconds: int, start, end, ts: str = "timestamp") -> DataFrame:
+    """U9 core: each row paired with every grid instant ``t`` (a multiple of
+    the step, ``start <= t <= end``) whose lookback ``[t - L, t]`` covers it.
 
-    Each row is replicated to lookback / step + 1 instants at most (3 for the
-    SLA alert), then aggregated: a range join written as explode + group."""
+    Each row is replicated ``L / step + 1`` times at most; any per-instant
+    detector is then an aggregate grouped by (``_t``, entity): a range join
+    written as explode + group, never a cross join of rows and instants."""
     lb = lookback_minutes * 60
-    t = rows.select(F.col(entity_col).cast("string").alias("entity"), grid_times("timestamp", lb, step_seconds).alias("_t"))
-    t = t.filter((F.col("_t") >= F.unix_seconds(F.to_timestamp(F.lit(str(start))))) & (F.col("_t") <= F.unix_seconds(F.to_timestamp(F.lit(str(end))))))
+    lo = F.unix_seconds(F.to_timestamp(F.lit(str(start))))
+    hi = F.unix_seconds(F.to_timestamp(F.lit(str(end))))
+    t = rows.select("*", grid_times(ts, lb, step_seconds).alias("_t"))
+    return t.filter((F.col("_t") >= lo) & (F.col("_t") <= hi))
+
+
+def backtest_counts(rows: DataFrame, detector: str, entity_col: str, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:
+    """U9 for count-style alerts (SLA breach, termination): for every grid
+    instant in [start, end], the rows per entity inside its lookback."""
+    t = backtest_rows(rows.select(F.col(entity_col).cast("string").alias("entity"), "timestamp"), lookback_minutes, step_seconds, start, end)
     return t.groupBy("entity", "_t").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
         F.lit(detector).alias("query_name"), "entity", "value", F.timestamp_seconds("_t").alias("evaluated_at")
     )
 
 
+def backtest_state_growth(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:
+    """U9 for alert 5: per grid instant and stream, state memory at the first
+    and last batch of the lookback (``min_by`` / ``max_by``) and the growth
+    percentage (null when the first is not positive)."""
+    from vigil.functions.core import round_half_up
+
+    r = prog.select("query_name", "timestamp", "batch_id", "state_memory_bytes")
+    t = backtest_rows(r, lookback_minutes, step_seconds, start, end)
+    order = F.struct("timestamp", "batch_id")
+    g = t.groupBy("query_name", "_t").agg(F.min_by("state_memory_bytes", order).alias("_s"), F.max_by("state_memory_bytes", order).alias("_e"))
+    s, e = F.col("_s").cast("double"), F.col("_e").cast("double")
+    growth = F.when(F.col("_s") > 0, round_half_up(F.lit(100.0) * (e - s) / s, 2))
+    return g.select(
+        F.lit("alert_state_memory_growth").alias("query_name"),
+        F.col("query_name").alias("entity"),
+        growth.alias("value"),
+        F.timestamp_seconds("_t").alias("evaluated_at"),
+    ).filter(F.col("value").isNotNull())
+
+
 def _rearm_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("evaluated_at", kind="mergesort")
     keep, last = [], None

@@ -728,3 +728,25 @@ for _name, _days, _as_of in [
     ("infra_cost_hourly", 7, AS_OF_END),
 ]:
     check(f"sql_{_name}")(_sql_check(_name, _days, _as_of))
+
+
+@check("alert_backtest_terminated")
+def alert_backtest_terminated(c: Context) -> DataFrame:
+    """The termination alert (COUNT per query, 10-minute lookback)
+    replayed every minute over the month."""
+    from vigil.operators import evaluate as ev
+
+    e = c.errors.filter(F.col("environment") == c.cfg.environment)
+    counts = ev.backtest_counts(e, "alert_stream_terminated", "query_id", 10, 60, "2024-01-01 00:00:00", AS_OF_END)
+    return ev.evaluate(counts, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+
+
+@check("alert_backtest_state_growth")
+def alert_backtest_state_growth(c: Context) -> DataFrame:
+    """The state-growth alert replayed every 10 minutes with a 3-hour
+    lookback (hourly batches)."""
+    from vigil.operators import evaluate as ev
+
+    p = c.prog.filter(F.col("environment") == c.cfg.environment)
+    g = ev.backtest_state_growth(p, 180, 600, "2024-01-01 00:00:00", AS_OF_END)
+    return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")

@@ -547,3 +547,25 @@ UNION ALL SELECT 'sensor_bronze', COUNT(*) FROM events
 UNION ALL SELECT 'sensor_gold', 0""")
 for _n in ("stream_overview", "throughput_trends", "latency_sla", "backpressure", "state_store_health", "data_quality_hourly", "infra_cost_hourly"):
     ORACLE[f"sql_{_n}"] = ORACLE[_n]
+
+ORACLE["alert_backtest_terminated"] = with_(["errs"], """
+, r AS (
+  SELECT query_id AS entity,
+         unnest(generate_series(CAST(ceil(e / 60) * 60 AS BIGINT), CAST(floor((e + 600) / 60) * 60 AS BIGINT), 60)) AS t
+  FROM (SELECT query_id, CAST(floor(epoch(timestamp)) AS BIGINT) AS e FROM errs WHERE environment = 'prod') x)
+SELECT 'streaming_stream_terminated' AS name, entity, TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at,
+       CAST(COUNT(*) AS DOUBLE) AS value, COUNT(*) > 0 AS fired
+FROM r WHERE t >= 1704067200 AND t <= 1706659200 GROUP BY entity, t""")
+
+ORACLE["alert_backtest_state_growth"] = with_(["prog"], f"""
+, r AS (
+  SELECT query_name, timestamp, batch_id, state_memory_bytes,
+         unnest(generate_series(CAST(ceil(e / 600) * 600 AS BIGINT), CAST(floor((e + 10800) / 600) * 600 AS BIGINT), 600)) AS t
+  FROM (SELECT *, CAST(floor(epoch(timestamp)) AS BIGINT) AS e FROM prog WHERE environment = 'prod') x),
+g AS (
+  SELECT query_name, t, CAST(arg_min(state_memory_bytes, (timestamp, batch_id)) AS DOUBLE) AS s,
+         CAST(arg_max(state_memory_bytes, (timestamp, batch_id)) AS DOUBLE) AS e
+  FROM r WHERE t >= 1704067200 AND t <= 1706659200 GROUP BY query_name, t)
+SELECT 'streaming_state_memory_growth' AS name, query_name AS entity, TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at,
+       {r('100.0 * (e - s) / s', 2)} AS value, {r('100.0 * (e - s) / s', 2)} > 20.0 AS fired
+FROM g WHERE s > 0""")
