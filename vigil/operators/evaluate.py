@@ -170,6 +170,44 @@ def backtest_state_growth(prog: DataFrame, lookback_minutes: int, step_seconds:
     ).filter(F.col("value").isNotNull())
 
 
+def backtest_backpressure(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end, newest: int = 5) -> DataFrame:
+    """U9 for alert 2: per grid instant and stream, backpressured batches
+    among the newest ``newest`` batches inside the lookback.  The window is
+    per (instant, stream), so it holds one lookback of one stream."""
+    from pyspark.sql import Window
+
+    r = prog.select("query_id", "query_name", "batch_id", "timestamp", F.when(F.col("input_rows_per_second") > F.col("processed_rows_per_second"), 1).otherwise(0).alias("_bp"))
+    t = backtest_rows(r, lookback_minutes, step_seconds, start, end)
+    rn = F.row_number().over(Window.partitionBy("_t", "query_id").orderBy(F.col("batch_id").desc()))
+    top = t.select("*", rn.alias("_rn")).filter(F.col("_rn") <= newest)
+    g = top.groupBy("_t", "query_id", "query_name").agg(F.sum("_bp").cast("double").alias("value"))
+    return g.select(F.lit("alert_sustained_backpressure").alias("query_name"), F.col("query_name").alias("entity"), "value", F.timestamp_seconds("_t").alias("evaluated_at"))
+
+
+def backtest_duration_spike(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end, factor: float = 3.0, history: int = 20, top: int = 10) -> DataFrame:
+    """U9 for alert 3: per grid instant, spikes against the average of the
+    previous ``history`` batches inside the lookback, the ``top`` largest
+    (ties by stream, batch); value = unrounded factor."""
+    from pyspark.sql import Window
+
+    from vigil.functions.core import round_half_up
+
+    r = prog.select("query_id", "query_name", "batch_id", "timestamp", "batch_duration_ms")
+    t = backtest_rows(r, lookback_minutes, step_seconds, start, end)
+    avg = F.avg("batch_duration_ms").over(Window.partitionBy("_t", "query_id").orderBy("batch_id").rowsBetween(-history, -1))
+    c = t.select("*", avg.alias("_avg")).filter((F.col("batch_duration_ms") > F.lit(factor) * F.col("_avg")) & F.col("_avg").isNotNull())
+    raw = F.col("batch_duration_ms") / F.nullif(F.col("_avg"), F.lit(0.0))
+    c = c.select("*", raw.alias("_raw"), round_half_up(raw, 2).alias("_sf"))
+    rank = F.row_number().over(Window.partitionBy("_t").orderBy(F.col("_sf").desc(), "query_id", "batch_id"))
+    k = c.select("*", rank.alias("_rk")).filter(F.col("_rk") <= top)
+    return k.select(
+        F.lit("alert_batch_duration_spike").alias("query_name"),
+        F.concat_ws("/", "query_name", F.col("batch_id").cast("string")).alias("entity"),
+        F.col("_raw").alias("value"),
+        F.timestamp_seconds("_t").alias("evaluated_at"),
+    )
+
+
 def _rearm_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("evaluated_at", kind="mergesort")
     keep, last = [], None

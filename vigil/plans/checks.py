@@ -750,3 +750,23 @@ def alert_backtest_state_growth(c: Context) -> DataFrame:
     p = c.prog.filter(F.col("environment") == c.cfg.environment)
     g = ev.backtest_state_growth(p, 180, 600, "2024-01-01 00:00:00", AS_OF_END)
     return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+
+
+@check("alert_backtest_backpressure")
+def alert_backtest_backpressure(c: Context) -> DataFrame:
+    """Alert 2 replayed hourly with a 6-hour lookback."""
+    from vigil.operators import evaluate as ev
+
+    p = c.prog.filter(F.col("environment") == c.cfg.environment)
+    g = ev.backtest_backpressure(p, 360, 3600, "2024-01-01 00:00:00", AS_OF_END)
+    return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+
+
+@check("alert_backtest_duration_spike")
+def alert_backtest_duration_spike(c: Context) -> DataFrame:
+    """Alert 3 replayed hourly with a 24-hour lookback."""
+    from vigil.operators import evaluate as ev
+
+    p = c.prog.filter(F.col("environment") == c.cfg.environment)
+    g = ev.backtest_duration_spike(p, 1440, 3600, "2024-01-01 00:00:00", AS_OF_END)
+    return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")

@@ -569,3 +569,29 @@ g AS (
 SELECT 'streaming_state_memory_growth' AS name, query_name AS entity, TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at,
        {r('100.0 * (e - s) / s', 2)} AS value, {r('100.0 * (e - s) / s', 2)} > 20.0 AS fired
 FROM g WHERE s > 0""")
+
+ORACLE["alert_backtest_backpressure"] = with_(["prog"], """
+, r AS (
+  SELECT query_id, query_name, batch_id, CASE WHEN input_rows_per_second > processed_rows_per_second THEN 1 ELSE 0 END AS bp,
+         unnest(generate_series(CAST(ceil(e / 3600) * 3600 AS BIGINT), CAST(floor((e + 21600) / 3600) * 3600 AS BIGINT), 3600)) AS t
+  FROM (SELECT *, CAST(floor(epoch(timestamp)) AS BIGINT) AS e FROM prog WHERE environment = 'prod') x),
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY t, query_id ORDER BY batch_id DESC) AS rn FROM r WHERE t >= 1704067200 AND t <= 1706659200)
+SELECT 'streaming_sustained_backpressure' AS name, query_name AS entity, TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at,
+       CAST(SUM(bp) AS DOUBLE) AS value, SUM(bp) > 4 AS fired
+FROM k WHERE rn <= 5 GROUP BY t, query_id, query_name""")
+
+ORACLE["alert_backtest_duration_spike"] = with_(["prog"], f"""
+, r AS (
+  SELECT query_id, query_name, batch_id, batch_duration_ms,
+         unnest(generate_series(CAST(ceil(e / 3600) * 3600 AS BIGINT), CAST(floor((e + 86400) / 3600) * 3600 AS BIGINT), 3600)) AS t
+  FROM (SELECT *, CAST(floor(epoch(timestamp)) AS BIGINT) AS e FROM prog WHERE environment = 'prod') x),
+w AS (
+  SELECT *, AVG(batch_duration_ms) OVER (PARTITION BY t, query_id ORDER BY batch_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS a
+  FROM r WHERE t >= 1704067200 AND t <= 1706659200),
+c AS (
+  SELECT *, batch_duration_ms / NULLIF(a, 0) AS raw, {r('batch_duration_ms / NULLIF(a, 0)', 2)} AS sf
+  FROM w WHERE batch_duration_ms > 3.0 * a AND a IS NOT NULL),
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY t ORDER BY sf DESC, query_id, batch_id) AS rk FROM c)
+SELECT 'streaming_batch_duration_spike' AS name, query_name || '/' || CAST(batch_id AS VARCHAR) AS entity,
+       TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at, raw AS value, raw > 3.0 AS fired
+FROM k WHERE rk <= 10""")
