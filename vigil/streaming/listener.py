@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from vigil import config as C
-from vigil import schemas
 from vigil.config import MonitorConfig
 from vigil.functions.core import iso_timestamp, sanitize_name
 from vigil.sources.event_log import append_event_log
@@ -211,4 +210,4 @@ def wait_for_termination(capture: ProgressCapture, query_id: str, timeout: float
     return False
 
 
-__all__ = ["ProgressCapture", "wait_for_termination", "schemas"]
+__all__ = ["ProgressCapture", "wait_for_termination"]
