@@ -770,3 +770,18 @@ def alert_backtest_duration_spike(c: Context) -> DataFrame:
     p = c.prog.filter(F.col("environment") == c.cfg.environment)
     g = ev.backtest_duration_spike(p, 1440, 3600, "2024-01-01 00:00:00", AS_OF_END)
     return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+
+
+@check("throughput_trends_stream")
+def throughput_trends_stream(c: Context) -> DataFrame:
+    """Per-minute throughput trends maintained by a stream with a
+    10-minute watermark (append mode), bronze dropped in slices."""
+    from vigil.sources.event_log import append_event_log
+    from vigil.streaming import flows
+
+    base = _run_dir(c, "trends_stream")
+    bronze, out = f"{base}/bronze", f"{base}/trends"
+    for part in _time_slices(c.bronze, F.col("timestamp")):
+        append_event_log(part, bronze)
+        flows.run_throughput_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg)
+    return c.spark.read.parquet(out)

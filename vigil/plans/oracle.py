@@ -595,3 +595,15 @@ k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY t ORDER BY sf DESC, query_id, ba
 SELECT 'streaming_batch_duration_spike' AS name, query_name || '/' || CAST(batch_id AS VARCHAR) AS entity,
        TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at, raw AS value, raw > 3.0 AS fired
 FROM k WHERE rk <= 10""")
+
+ORACLE["throughput_trends_stream"] = with_(["prog"], f"""
+SELECT query_name, time_bucket(INTERVAL '1 minute', timestamp) AS time_bucket,
+       {r('AVG(input_rows_per_second)', 2)} AS avg_input_rows_per_sec,
+       {r('AVG(processed_rows_per_second)', 2)} AS avg_processed_rows_per_sec,
+       {r('AVG(batch_duration_ms)', 0)} AS avg_batch_duration_ms,
+       MAX(batch_duration_ms) AS max_batch_duration_ms,
+       CAST(SUM(num_input_rows) AS BIGINT) AS total_input_rows,
+       {r('AVG(CAST(floor(epoch(timestamp)) AS BIGINT) - CAST(floor(epoch(watermark)) AS BIGINT))', 0)} AS avg_watermark_delay_sec
+FROM prog
+GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '1 minute', timestamp) + INTERVAL 1 MINUTE <= (SELECT MAX(timestamp) FROM prog) - INTERVAL 10 MINUTE""")
