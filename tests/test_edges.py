@@ -189,3 +189,11 @@ def test_split_frames_equal_plain_window(spark):
     mb_plain = frames.max_before(df, ["k"], "o", "v", "m")
     mb_split = frames.max_before(df, ["k"], "o", "v", "m", F.floor(F.col("o") / 97))
     assert sorted(mb_plain.collect()) == sorted(mb_split.collect())
+
+
+def test_dashboard_ordering(spark):
+    rows = [progress_row(i, qid=q, name=n) for q, n in (("q2", "B"), ("q1", "A")) for i in range(3)]
+    bp = [(r.query_name, r.batch_id) for r in gold.ordered(gold.backpressure(prog(spark, rows), CFG), "backpressure").collect()]
+    assert bp == [("a", 2), ("a", 1), ("a", 0), ("b", 2), ("b", 1), ("b", 0)]
+    sh = [(r.query_name, r.batch_id) for r in gold.ordered(gold.state_store_health(prog(spark, [progress_row(i, ops=[{"memoryUsedBytes": 5}]) for i in (2, 0, 1)]), CFG), "state_store_health").collect()]
+    assert sh == [("stream_one", 0), ("stream_one", 1), ("stream_one", 2)]
