@@ -45,20 +45,36 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_CHECKPOINT_DIR: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) is a scratch folder created.
-    """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="vigil-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d
+    as is.  Only when it is unset (local tests) is a scratch folder created
+    and registered."""
+    global _LOCAL_CHECKPOINT_DIR
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = sc.getCheckpointDir()
+    except Exception:  # no SparkContext (remote session)
+        d = None
+    if d:
+        return d
+    if _LOCAL_CHECKPOINT_DIR is None:
+        _LOCAL_CHECKPOINT_DIR = tempfile.mkdtemp(prefix="vigil-ckpt-")
+    try:
+        spark.conf.set("spark.checkpoint.dir", _LOCAL_CHECKPOINT_DIR)
+    except Exception:  # core conf not settable at runtime
+        pass
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_CHECKPOINT_DIR)
+    return _LOCAL_CHECKPOINT_DIR
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
