@@ -197,3 +197,14 @@ def test_dashboard_ordering(spark):
     assert bp == [("a", 2), ("a", 1), ("a", 0), ("b", 2), ("b", 1), ("b", 0)]
     sh = [(r.query_name, r.batch_id) for r in gold.ordered(gold.state_store_health(prog(spark, [progress_row(i, ops=[{"memoryUsedBytes": 5}]) for i in (2, 0, 1)]), CFG), "state_store_health").collect()]
     assert sh == [("stream_one", 0), ("stream_one", 1), ("stream_one", 2)]
+
+
+def test_rearm_bursts_split_exactly(spark):
+    secs = [0, 300, 600, 900, 2000, 2300, 2900, 2950]
+    firings = spark.createDataFrame(
+        [("a", "e1", T0 + timedelta(seconds=s), 600) for s in secs], "name string, entity string, evaluated_at timestamp, rearm_seconds int"
+    )
+    expected = [True, False, True, False, True, False, True, False]
+    for block in (None, 2):
+        out = sorted((r.evaluated_at, r.notified) for r in evaluate.rearm(firings, block_rows=block, chunk_seconds=1000).collect())
+        assert [n for _, n in out] == expected, block

@@ -222,14 +222,25 @@ def _rearm_group(pdf: pd.DataFrame) -> pd.DataFrame:
     return out[["name", "entity", "evaluated_at", "notified"]]
 
 
-def rearm(firings: DataFrame) -> DataFrame:
+def rearm(firings: DataFrame, block_rows: int | None = 1 << 16, chunk_seconds: int = 86_400) -> DataFrame:
     """Mark which firings notify, given each rule's re-arm time.
 
     A firing notifies when at least ``rearm_seconds`` have passed since the
-    last *notifying* firing of the same (alert, entity): a sequential fold,
-    run per (alert, entity) with ``applyInPandas``.  A group holds one row
-    per evaluation instant of one alert for one entity, bounded by the
-    evaluation grid (history / schedule interval), not by data volume."""
+    last *notifying* firing of the same (alert, entity).  A firing that comes
+    ``rearm_seconds`` or more after the previous firing always notifies, so
+    the sequence splits there into independent bursts; only inside a burst
+    is the decision a sequential fold (``applyInPandas`` per burst).  Burst
+    starts come from a one-row-back frame and a running maximum, both split
+    per (alert, entity) and time chunk (``operators/frames.py``), so no step
+    holds all firings of a busy alert."""
+    from vigil.operators import frames
+
+    keys = ["name", "entity"]
+    f = firings.select("name", "entity", "evaluated_at", "rearm_seconds").withColumn("_s", F.unix_seconds("evaluated_at"))
+    chunk = F.floor(F.col("_s") / F.lit(chunk_seconds))
+    lagged = frames.rows_frame(f, keys, ["_s"], 1, lambda w: {"_prev": F.lag("_s").over(w)}, block_rows, chunk)
+    starts = lagged.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col("_s") - F.col("_prev") >= F.col("rearm_seconds")), F.col("_s")))
+    burst = frames.max_before(starts, keys, "_s", "_start", "_before", chunk).withColumn("_burst", F.coalesce(F.col("_start"), F.col("_before")))
     schema = T.StructType(
         [
             T.StructField("name", T.StringType()),
@@ -238,4 +249,6 @@ def rearm(firings: DataFrame) -> DataFrame:
             T.StructField("notified", T.BooleanType()),
         ]
     )
-    return firings.select("name", "entity", "evaluated_at", "rearm_seconds").groupBy("name", "entity").applyInPandas(_rearm_group, schema)
+    return burst.select("name", "entity", "evaluated_at", "rearm_seconds", "_burst").groupBy("name", "entity", "_burst").applyInPandas(
+        lambda pdf: _rearm_group(pdf.drop(columns=["_burst"])), schema
+    )
