@@ -63,22 +63,53 @@ def retention_cutoff(as_of: dt.datetime | str, days: int) -> dt.date:
 
 
 def apply_retention(spark: SparkSession, name: str, as_of: dt.datetime | str, days: int) -> list[str]:
-    """Drop every ``event_date`` partition older than the cutoff.
+    """Drop every ``event_date`` partition older than the cutoff and
+    delete its folder (an external table keeps the files of a dropped
+    partition otherwise, and a later repair would bring them back).
 
     Only partition metadata is listed (one row per day); rows are never
     read or rewritten.  Returns the dropped partition values."""
     cutoff = retention_cutoff(as_of, days)
-    spark.sql(f"MSCK REPAIR TABLE {name}")
-    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    parts = _partitions(spark, name)
+    location = table_location(spark, name)
     dropped = []
     for p in parts:
         value = p.split("=", 1)[1]
         if dt.date.fromisoformat(value) < cutoff:
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION} = DATE'{value}')")
+            _delete_path(spark, f"{location.rstrip('/')}/{PARTITION}={value}")
             dropped.append(value)
     return dropped
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(r[1] for r in rows if r[0] == "Location")
+
+
+def _delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete through the cluster file system (HDFS, object
+    stores, local), from the driver: a metadata-sized operation."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _partitions(spark: SparkSession, name: str) -> list[str]:
+    """Partition values of a table, after registering partitions written
+    straight into its folder (by streams).  A table whose folder does not
+    exist yet has none."""
+    try:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    except Exception as e:  # folder not created yet: an empty table
+        if "FileNotFoundException" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
 def retained(df: DataFrame, as_of: dt.datetime | str, days: int) -> DataFrame:
     """K10, read form: rows a retention run keeps (a partition filter, so
     older partitions are pruned at planning time)."""
@@ -92,8 +123,10 @@ def compact(spark: SparkSession, name: str, new_location: str, sort_cols: list[s
     ``repartitionByRange`` on (event_date, sort keys) cuts the data into
     sampled ranges, so one busy day is written by several tasks; files are
     sorted by the clustering columns so min/max statistics prune well."""
+    days = len(_partitions(spark, name))
+    if days == 0:
+        return
     df = spark.table(name)
-    days = df.select(PARTITION).distinct().count()
     n = max(1, days * files_per_partition)
     (
         df.repartitionByRange(n, PARTITION, *sort_cols)
