@@ -3,6 +3,7 @@ expectations on a stream, rate demo."""
 
 from __future__ import annotations
 
+import json
 import tempfile
 import time
 
@@ -47,6 +48,7 @@ def test_listener_captures_each_batch_once_and_clean_stop_is_info(spark):
     assert {r.query_name for r in p.select("query_name").collect()} == {"vigil_capture_test"}
     life = log.filter(F.col("event_type") == "stream_terminated").collect()
     assert len(life) == 1 and life[0].level == "INFO"
+    assert json.loads(life[0].origin)["flow_name"] == "vigil_capture_test"
     assert silver.stream_errors(log, MonitorConfig()).count() == 0
     assert cap.dropped == 0
 

@@ -64,6 +64,7 @@ class ProgressCapture(StreamingQueryListener):
         self._stop = threading.Event()
         self._last_flush = time.monotonic()
         self._callbacks: list = []
+        self._names: dict[str, str] = {}
         self._thread = threading.Thread(target=self._run, daemon=True) if background else None
         if self._thread:
             self._thread.start()
@@ -77,7 +78,9 @@ class ProgressCapture(StreamingQueryListener):
             self._buf.append((kind, payload, datetime.now(timezone.utc).replace(tzinfo=None)))
 
     def onQueryStarted(self, event) -> None:
-        pass
+        # remembered so that the termination row carries the stream's name
+        if event.name:
+            self._names[str(event.id)] = event.name
 
     def register_quality_callback(self, callback) -> None:
         """``callback(query_id, batch_id, progress: dict) -> dict | None``.
@@ -119,7 +122,7 @@ class ProgressCapture(StreamingQueryListener):
         doc = {
             "id": str(event.id),
             "runId": str(event.runId),
-            "name": None,
+            "name": self._names.get(str(event.id)),
             "exception": None if exc is None else str(exc),
             "error_class": getattr(event, "errorClassOnException", None),
         }
