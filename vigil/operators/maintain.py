@@ -116,20 +116,27 @@ def retained(df: DataFrame, as_of: dt.datetime | str, days: int) -> DataFrame:
     return df.filter(F.col(PARTITION) >= F.lit(retention_cutoff(as_of, days)))
 
 
-def compact(spark: SparkSession, name: str, new_location: str, sort_cols: list[str], files_per_partition: int = 1) -> None:
+TARGET_FILE_BYTES = 512 * 1024 * 1024
+
+
+def compact(spark: SparkSession, name: str, new_location: str, sort_cols: list[str], target_file_bytes: int = TARGET_FILE_BYTES) -> None:
     """K9: rewrite the table with few, sorted files per partition, then
     swap the table location.
 
-    ``repartitionByRange`` on (event_date, sort keys) cuts the data into
-    sampled ranges, so one busy day is written by several tasks; files are
-    sorted by the clustering columns so min/max statistics prune well."""
+    The number of output files is the table's size on disk (file-system
+    metadata, no data read) divided by ``target_file_bytes``, and at least
+    one per day.  ``repartitionByRange`` on (event_date, sort keys) cuts the
+    data into sampled, equally sized ranges, so one busy day is written by
+    several tasks; files are sorted by the clustering columns so min/max
+    statistics prune well."""
     days = len(_partitions(spark, name))
     if days == 0:
         return
-    df = spark.table(name)
-    n = max(1, days * files_per_partition)
+    size = _path_bytes(spark, table_location(spark, name))
+    n = max(days, -(-size // target_file_bytes))
     (
-        df.repartitionByRange(n, PARTITION, *sort_cols)
+        spark.table(name)
+        .repartitionByRange(n, PARTITION, *sort_cols)
         .sortWithinPartitions(PARTITION, *sort_cols)
         .write.mode("overwrite")
         .partitionBy(PARTITION)
@@ -140,6 +147,13 @@ def compact(spark: SparkSession, name: str, new_location: str, sort_cols: list[s
     spark.catalog.refreshTable(name)
 
 
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def latest(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """Newest ``n`` rows (a top-k: each task keeps its own n rows)."""
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
