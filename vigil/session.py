@@ -84,3 +84,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = base[len("file:"):] if base.startswith("file:") else base
     path = os.path.join(base, name)
     return path
+
+
+def cluster_settings(total_cores: int, shuffle_bytes_hint: int | None = None) -> dict[str, str]:
+    """Settings for a large cluster, to pass to the session builder or the
+    job submission (they are not applied here).
+
+    * shuffle partitions: about 3 per core, or shuffle bytes / 200 MB when
+      the shuffle size is known, so a partition fits an executor's memory;
+      AQE then coalesces small ones and splits skewed join partitions.
+    * 256 MB input splits for the parquet scans.
+    """
+    parts = 3 * total_cores
+    if shuffle_bytes_hint:
+        parts = max(parts, shuffle_bytes_hint // (200 * 1024 * 1024))
+    return {
+        **REQUIRED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
