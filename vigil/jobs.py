@@ -60,13 +60,14 @@ def detector_evaluations(prog: DataFrame, errors: DataFrame, sla: DataFrame, cfg
     return out
 
 
-def alerts_job(spark: SparkSession, root: str, cfg: MonitorConfig, as_of: str) -> DataFrame:
-    """Evaluate and route at ``as_of``; append fired alerts to
-    ``root/alert_firings`` partitioned by day.  Returns the fired rows."""
+def alerts_job(spark: SparkSession, root: str, cfg: MonitorConfig, as_of: str, rules=evaluate.RULES) -> DataFrame:
+    """Evaluate and route at ``as_of`` (rules: tuples or a rule table);
+    append fired alerts to ``root/alert_firings`` partitioned by day.
+    Returns the fired rows."""
     prog = spark.read.parquet(os.path.join(root, "stream_progress"))
     errors = silver.with_restart_counts(spark.read.parquet(os.path.join(root, "stream_errors")), cfg)
     sla = spark.read.parquet(os.path.join(root, "sla_latency_metrics"))
-    evaluated = evaluate.evaluate(detector_evaluations(prog, errors, sla, cfg, as_of), evaluate.rules_df(spark))
+    evaluated = evaluate.evaluate(detector_evaluations(prog, errors, sla, cfg, as_of), rules)
     routed = evaluate.route(evaluated, evaluate.escalation_df(spark), cfg.environment)
     out = routed.select("name", "entity", "value", "threshold", "severity", "channel", "message", "evaluated_at")
     out.withColumn("event_date", F.to_date("evaluated_at")).write.mode("append").partitionBy("event_date").parquet(os.path.join(root, "alert_firings"))

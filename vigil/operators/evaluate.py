@@ -74,13 +74,20 @@ def to_evaluations(result: DataFrame, detector: str, entity_col: str, value_col:
 MAX_RULES = 10_000
 
 
-def rule_lookup(rules: DataFrame):
+RULE_FIELDS = [f.name for f in schemas.ALERT_RULE.fields]
+
+
+def rule_lookup(rules):
     """detector name -> array of rule structs, as one literal map column.
 
-    Rules are configuration: their count is checked (at most ``MAX_RULES``)
-    before they are read on the driver and shipped inside the plan, so every
-    task can attach them to its rows without a join."""
-    rows = rules.limit(MAX_RULES + 1).collect()
+    Rules are configuration, given as a DataFrame or as rule tuples (the
+    ``RULES`` layout).  Their count is checked (at most ``MAX_RULES``) before
+    they are read on the driver and shipped inside the plan, so every task
+    can attach them to its rows without a join."""
+    if isinstance(rules, DataFrame):
+        rows = rules.limit(MAX_RULES + 1).collect()
+    else:
+        rows = [dict(zip(RULE_FIELDS, r)) for r in rules]
     if len(rows) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} alert rules")
     by_detector: dict[str, list] = {}
@@ -100,7 +107,7 @@ def rule_lookup(rules: DataFrame):
     return F.create_map(*[x for q, lst in by_detector.items() for x in (F.lit(q), F.array(*lst))])
 
 
-def evaluate(evaluations: DataFrame, rules: DataFrame) -> DataFrame:
+def evaluate(evaluations: DataFrame, rules=RULES) -> DataFrame:
     """Attach each rule of the row's detector and test the condition.
 
     A row of a detector with several rules yields one row per rule; a row

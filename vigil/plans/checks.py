@@ -21,7 +21,7 @@ REGISTRY: dict[str, Check] = {}
 
 def check(name: str):
     def deco(fn):
-        REGISTRY[name] = lambda spark, sf_dir: to_ntz(fn(Context(spark, sf_dir)))
+        REGISTRY[name] = lambda spark, sf_dir: to_ntz(fn(Context.of(spark, sf_dir)))
         REGISTRY[name].__doc__ = fn.__doc__
         return fn
 
@@ -133,7 +133,7 @@ def severity_tiers(c: Context) -> DataFrame:
 # ------------------------------------------------------------ overview ------
 
 def _overview_ctx(c: Context) -> Context:
-    return Context(c.spark, c.sf_dir, BASE.with_(as_of=AS_OF_OVERVIEW, lookback_days=None))
+    return Context.of(c.spark, c.sf_dir, BASE.with_(as_of=AS_OF_OVERVIEW, lookback_days=None))
 
 
 @check("lookback_days")
@@ -199,7 +199,7 @@ def infra_cost_hourly(c: Context) -> DataFrame:
 # -------------------------------------------------------------- frames ------
 
 def _month(c: Context) -> Context:
-    return Context(c.spark, c.sf_dir, BASE.with_(lookback_days=30))
+    return Context.of(c.spark, c.sf_dir, BASE.with_(lookback_days=30))
 
 
 @check("backpressure")
@@ -404,7 +404,7 @@ def autoscale_events_split(c: Context) -> DataFrame:
 @check("backpressure_split")
 def backpressure_split(c: Context) -> DataFrame:
     """W1 with 7-row blocks and 50-batch chunks (halo path exercised)."""
-    m = Context(c.spark, c.sf_dir, BASE.with_(lookback_days=30, frame_block_rows=7, batch_id_chunk=50))
+    m = Context.of(c.spark, c.sf_dir, BASE.with_(lookback_days=30, frame_block_rows=7, batch_id_chunk=50))
     return gold.backpressure(m.prog, m.cfg)
 
 
@@ -438,7 +438,7 @@ def alert_routing(c: Context) -> DataFrame:
     """Fired alerts with channel and message."""
     from vigil.operators import evaluate as ev
 
-    e = ev.evaluate(_evaluations(c), ev.rules_df(c.spark))
+    e = ev.evaluate(_evaluations(c))
     return ev.route(e, ev.escalation_df(c.spark), c.cfg.environment).select("name", "entity", "severity", "channel", "message")
 
 
@@ -447,7 +447,7 @@ def _backtest(c: Context) -> DataFrame:
 
     breaches = c.sla.filter(F.col("sla_breach_flag") & (F.col("environment") == c.cfg.environment))
     counts = ev.backtest_counts(breaches, "alert_sla_breach", "query_name", 10, 300, "2024-01-01 00:00:00", AS_OF_END)
-    return ev.evaluate(counts, ev.rules_df(c.spark))
+    return ev.evaluate(counts)
 
 
 @check("alert_backtest")
@@ -738,7 +738,7 @@ def alert_backtest_terminated(c: Context) -> DataFrame:
 
     e = c.errors.filter(F.col("environment") == c.cfg.environment)
     counts = ev.backtest_counts(e, "alert_stream_terminated", "query_id", 10, 60, "2024-01-01 00:00:00", AS_OF_END)
-    return ev.evaluate(counts, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+    return ev.evaluate(counts).select("name", "entity", "evaluated_at", "value", "fired")
 
 
 @check("alert_backtest_state_growth")
@@ -749,7 +749,7 @@ def alert_backtest_state_growth(c: Context) -> DataFrame:
 
     p = c.prog.filter(F.col("environment") == c.cfg.environment)
     g = ev.backtest_state_growth(p, 180, 600, "2024-01-01 00:00:00", AS_OF_END)
-    return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+    return ev.evaluate(g).select("name", "entity", "evaluated_at", "value", "fired")
 
 
 @check("alert_backtest_backpressure")
@@ -759,7 +759,7 @@ def alert_backtest_backpressure(c: Context) -> DataFrame:
 
     p = c.prog.filter(F.col("environment") == c.cfg.environment)
     g = ev.backtest_backpressure(p, 360, 3600, "2024-01-01 00:00:00", AS_OF_END)
-    return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+    return ev.evaluate(g).select("name", "entity", "evaluated_at", "value", "fired")
 
 
 @check("alert_backtest_duration_spike")
@@ -769,7 +769,7 @@ def alert_backtest_duration_spike(c: Context) -> DataFrame:
 
     p = c.prog.filter(F.col("environment") == c.cfg.environment)
     g = ev.backtest_duration_spike(p, 1440, 3600, "2024-01-01 00:00:00", AS_OF_END)
-    return ev.evaluate(g, ev.rules_df(c.spark)).select("name", "entity", "evaluated_at", "value", "fired")
+    return ev.evaluate(g).select("name", "entity", "evaluated_at", "value", "fired")
 
 
 @check("throughput_trends_stream")

@@ -36,6 +36,21 @@ class Context:
         self.sf_dir = sf_dir
         self.cfg = cfg
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, cfg: MonitorConfig = BASE) -> "Context":
+        """A context shared by the checks of one session: its DataFrames are
+        logical plans only (no data is cached), built once instead of on every
+        call.  The inputs are read-only tables; a fresh ``Context`` re-lists
+        them."""
+        cache = getattr(spark, "_vigil_contexts", None)
+        if cache is None:
+            cache = {}
+            spark._vigil_contexts = cache
+        key = (sf_dir, repr(cfg))
+        if key not in cache:
+            cache[key] = cls(spark, sf_dir, cfg)
+        return cache[key]
+
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
