@@ -208,3 +208,10 @@ def test_rearm_bursts_split_exactly(spark):
     for block in (None, 2):
         out = sorted((r.evaluated_at, r.notified) for r in evaluate.rearm(firings, block_rows=block, chunk_seconds=1000).collect())
         assert [n for _, n in out] == expected, block
+
+
+def test_latency_precision_seconds(spark):
+    rows = [progress_row(0, event_max=T0 - timedelta(seconds=61, milliseconds=700))]
+    ms = silver.sla_latency_metrics(prog(spark, rows), CFG).first().latency_ms
+    sec = silver.sla_latency_metrics(prog(spark, rows), CFG.with_(latency_precision="seconds")).first().latency_ms
+    assert ms == 61_700 and sec == 62_000  # unix_timestamp floors both ends: 12:00:00 - 11:58:58
