@@ -79,3 +79,13 @@ def test_overview_aggregates_before_joining(spark):
     p = plan(gold.stream_overview(c.prog, c.errors, c.sla, c.cfg))
     # each side of the two outer joins is a (partial + final) aggregate
     assert p.count("HashAggregate") >= 6
+
+
+def test_backtest_prunes_days_and_never_joins(stored):
+    from vigil.operators import evaluate
+
+    spark, paths = stored
+    sla = spark.read.parquet(paths["sla_latency_metrics"])
+    p = plan(evaluate.backtest_counts(sla.filter("sla_breach_flag"), "alert_sla_breach", "query_name", 10, 300, "2024-01-01 00:00:00", "2024-01-31 00:00:00"))
+    assert "PartitionFilters: [isnotnull(event_date" in p and "Generate explode" in p
+    assert "Join" not in p

@@ -144,14 +144,20 @@ def backtest_rows(rows: DataFrame, lookback_minutes: int, step_seconds: int, sta
     lb = lookback_minutes * 60
     lo = F.unix_seconds(F.to_timestamp(F.lit(str(start))))
     hi = F.unix_seconds(F.to_timestamp(F.lit(str(end))))
-    t = rows.select("*", grid_times(ts, lb, step_seconds).alias("_t"))
+    # only rows some instant in [start, end] can see: prunes days on stored tables
+    first = F.to_timestamp(F.lit(str(start))) - F.expr(f"INTERVAL {int(lookback_minutes)} MINUTES")
+    last = F.to_timestamp(F.lit(str(end)))
+    cond = (F.col(ts) >= first) & (F.col(ts) <= last)
+    if "event_date" in rows.columns:
+        cond = cond & (F.col("event_date") >= F.to_date(first)) & (F.col("event_date") <= F.to_date(last))
+    t = rows.filter(cond).select("*", grid_times(ts, lb, step_seconds).alias("_t"))
     return t.filter((F.col("_t") >= lo) & (F.col("_t") <= hi))
 
 
 def backtest_counts(rows: DataFrame, detector: str, entity_col: str, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:
     """U9 for count-style alerts (SLA breach, termination): for every grid
     instant in [start, end], the rows per entity inside its lookback."""
-    t = backtest_rows(rows.select(F.col(entity_col).cast("string").alias("entity"), "timestamp"), lookback_minutes, step_seconds, start, end)
+    t = backtest_rows(rows, lookback_minutes, step_seconds, start, end).select(F.col(entity_col).cast("string").alias("entity"), "_t")
     return t.groupBy("entity", "_t").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
         F.lit(detector).alias("query_name"), "entity", "value", F.timestamp_seconds("_t").alias("evaluated_at")
     )
@@ -163,8 +169,7 @@ def backtest_state_growth(prog: DataFrame, lookback_minutes: int, step_seconds:
     percentage (null when the first is not positive)."""
     from vigil.functions.core import round_half_up
 
-    r = prog.select("query_name", "timestamp", "batch_id", "state_memory_bytes")
-    t = backtest_rows(r, lookback_minutes, step_seconds, start, end)
+    t = backtest_rows(prog, lookback_minutes, step_seconds, start, end).select("query_name", "timestamp", "batch_id", "state_memory_bytes", "_t")
     order = F.struct("timestamp", "batch_id")
     g = t.groupBy("query_name", "_t").agg(F.min_by("state_memory_bytes", order).alias("_s"), F.max_by("state_memory_bytes", order).alias("_e"))
     s, e = F.col("_s").cast("double"), F.col("_e").cast("double")
@@ -183,8 +188,9 @@ def backtest_backpressure(prog: DataFrame, lookback_minutes: int, step_seconds:
     per (instant, stream), so it holds one lookback of one stream."""
     from pyspark.sql import Window
 
-    r = prog.select("query_id", "query_name", "batch_id", "timestamp", F.when(F.col("input_rows_per_second") > F.col("processed_rows_per_second"), 1).otherwise(0).alias("_bp"))
-    t = backtest_rows(r, lookback_minutes, step_seconds, start, end)
+    t = backtest_rows(prog, lookback_minutes, step_seconds, start, end).select(
+        "query_id", "query_name", "batch_id", "_t", F.when(F.col("input_rows_per_second") > F.col("processed_rows_per_second"), 1).otherwise(0).alias("_bp")
+    )
     rn = F.row_number().over(Window.partitionBy("_t", "query_id").orderBy(F.col("batch_id").desc()))
     top = t.select("*", rn.alias("_rn")).filter(F.col("_rn") <= newest)
     g = top.groupBy("_t", "query_id", "query_name").agg(F.sum("_bp").cast("double").alias("value"))
@@ -199,8 +205,7 @@ def backtest_duration_spike(prog: DataFrame, lookback_minutes: int, step_seconds
 
     from vigil.functions.core import round_half_up
 
-    r = prog.select("query_id", "query_name", "batch_id", "timestamp", "batch_duration_ms")
-    t = backtest_rows(r, lookback_minutes, step_seconds, start, end)
+    t = backtest_rows(prog, lookback_minutes, step_seconds, start, end).select("query_id", "query_name", "batch_id", "batch_duration_ms", "_t")
     avg = F.avg("batch_duration_ms").over(Window.partitionBy("_t", "query_id").orderBy("batch_id").rowsBetween(-history, -1))
     c = t.select("*", avg.alias("_avg")).filter((F.col("batch_duration_ms") > F.lit(factor) * F.col("_avg")) & F.col("_avg").isNotNull())
     raw = F.col("batch_duration_ms") / F.nullif(F.col("_avg"), F.lit(0.0))

@@ -11,7 +11,13 @@ it:
 1. ``dense_index``: position of every row inside its key, computed as a
    local ``row_number`` inside (key, coarse chunk of the ordering value)
    plus the row count of the key's earlier chunks (a small per-chunk
-   aggregate).  No step holds more than one chunk of one key.
+   aggregate, partially aggregated before its shuffle).  No step holds more
+   than one chunk of one key.
+
+Cost against the unsplit window: the rows are shuffled twice (by (key,
+chunk), then by (key, block)) instead of once, plus one narrow scan of the
+key columns for the chunk counts.  That is the price of never putting a
+stream's rows into one task.
 2. ``rows_frame``: block = index // block_rows.  The last ``preceding`` rows
    of each block are also emitted (``explode``, one pass), as halo rows, into
    the next block; windows run over (key, block) ordered by index; halo rows
@@ -51,12 +57,11 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.withColumn(name, F.row_number().over(w) - 1)
     d = df.withColumn(_CHUNK, chunk)
-    part = Window.partitionBy(*keys, _CHUNK)
-    # One shuffle of the input by (key, chunk): local position and chunk size
-    # come from windows over it; the per-chunk counts are read off the same
-    # shuffled rows, so the input is scanned once.
-    d = d.select("*", (F.row_number().over(part.orderBy(*_cols(order))) - 1).alias("_local"), F.count(F.lit(1)).over(part).alias("_n"))
-    counts = d.groupBy(*keys, _CHUNK).agg(F.max("_n").alias("_n"))
+    # Local position: one shuffle of the rows by (key, chunk).  Chunk sizes:
+    # a count with partial aggregation (each task ships one row per chunk it
+    # holds), read from a scan pruned to the key and ordering columns.
+    local = F.row_number().over(Window.partitionBy(*keys, _CHUNK).orderBy(*_cols(order))) - 1
+    counts = d.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     o = counts.select(
         *[F.col(k).alias(f"_o_{k}") for k in keys],
@@ -65,9 +70,10 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     )
     cond = [d[k].eqNullSafe(o[f"_o_{k}"]) for k in keys] + [d[_CHUNK].eqNullSafe(o["_o_chunk"])]
     return (
-        d.join(o, cond, "inner")
+        d.withColumn("_local", local)
+        .join(o, cond, "inner")
         .withColumn(name, F.col("_off") + F.col("_local"))
-        .drop("_local", "_n", "_off", "_o_chunk", _CHUNK, *[f"_o_{k}" for k in keys])
+        .drop("_local", "_off", "_o_chunk", _CHUNK, *[f"_o_{k}" for k in keys])
     )
 
 
