@@ -98,13 +98,21 @@ def stream_overview(prog: DataFrame, errors: DataFrame, sla: DataFrame, cfg: Mon
 # Time-bucketed trends
 # --------------------------------------------------------------------------
 
-def _bucket(ts: str, width: str):
-    return F.window(F.col(ts), width).start
+def _bucketed(df: DataFrame, keys: list[str], width: str, *aggs) -> DataFrame:
+    """Group by ``keys`` and the tumbling ``window(timestamp, width)`` and
+    expose the bucket start as ``time_bucket``.  Grouping by the window
+    itself (not its start) keeps the event-time watermark visible, so the
+    same metric runs on a watermarked stream in append mode."""
+    g = df.groupBy(*keys, F.window(F.col("timestamp"), width).alias("_w")).agg(*aggs)
+    return g.select(*keys, F.col("_w.start").alias("time_bucket"), *[c for c in g.columns if c not in keys and c != "_w"])
 
 
 def throughput_trends(prog: DataFrame, cfg: MonitorConfig, bucket: str = "1 minute") -> DataFrame:
     """A5: per stream and 1-minute bucket: rates, durations, rows, watermark delay."""
-    return scoped(prog, cfg).groupBy("query_name", _bucket("timestamp", bucket).alias("time_bucket")).agg(
+    return _bucketed(
+        scoped(prog, cfg),
+        ["query_name"],
+        bucket,
         round_half_up(F.avg("input_rows_per_second"), 2).alias("avg_input_rows_per_sec"),
         round_half_up(F.avg("processed_rows_per_second"), 2).alias("avg_processed_rows_per_sec"),
         round_half_up(F.avg("batch_duration_ms"), 0).alias("avg_batch_duration_ms"),
@@ -120,7 +128,10 @@ def latency_sla(sla: DataFrame, cfg: MonitorConfig, bucket: str = "5 minutes") -
     One ``percentile_approx`` call computes all three quantiles from a single
     sketch (it merges partial sketches, so a hot stream is pre-aggregated)."""
     s = scoped(sla, cfg).filter(F.col("latency_ms").isNotNull())
-    agg = s.groupBy("query_name", _bucket("timestamp", bucket).alias("time_bucket"), "sla_threshold_ms").agg(
+    agg = _bucketed(
+        s,
+        ["query_name", "sla_threshold_ms"],
+        bucket,
         F.percentile_approx("latency_ms", [0.5, 0.9, 0.99]).alias("_q"),
         F.max("max_latency").alias("max_latency_ms"),
         F.count(F.lit(1)).alias("batch_count"),
@@ -142,7 +153,10 @@ def latency_sla(sla: DataFrame, cfg: MonitorConfig, bucket: str = "5 minutes") -
 
 def data_quality_hourly(dq: DataFrame, cfg: MonitorConfig, bucket: str = "1 hour") -> DataFrame:
     """Hourly duplicate %, dropped records, late %, schema changes."""
-    return scoped(dq, cfg).groupBy("query_name", _bucket("timestamp", bucket).alias("time_bucket")).agg(
+    return _bucketed(
+        scoped(dq, cfg),
+        ["query_name"],
+        bucket,
         round_half_up(F.avg("duplicate_rate") * 100, 2).alias("avg_duplicate_rate_pct"),
         F.sum("dropped_record_count").alias("total_dropped_records"),
         round_half_up(F.avg("late_record_percentage") * 100, 2).alias("avg_late_record_pct"),
@@ -153,7 +167,10 @@ def data_quality_hourly(dq: DataFrame, cfg: MonitorConfig, bucket: str = "1 hour
 
 def infra_cost_hourly(infra: DataFrame, cfg: MonitorConfig, bucket: str = "1 hour") -> DataFrame:
     """Hourly CPU / memory / executors, DBU total, autoscale counts."""
-    return scoped(infra, cfg).groupBy("cluster_id", _bucket("timestamp", bucket).alias("time_bucket")).agg(
+    return _bucketed(
+        scoped(infra, cfg),
+        ["cluster_id"],
+        bucket,
         round_half_up(F.avg("cpu_usage_percent"), 1).alias("avg_cpu_pct"),
         F.max("cpu_usage_percent").alias("max_cpu_pct"),
         round_half_up(F.avg("memory_usage_percent"), 1).alias("avg_memory_pct"),

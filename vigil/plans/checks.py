@@ -785,3 +785,18 @@ def throughput_trends_stream(c: Context) -> DataFrame:
         append_event_log(part, bronze)
         flows.run_throughput_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg)
     return c.spark.read.parquet(out)
+
+
+@check("latency_sla_stream")
+def latency_sla_stream(c: Context) -> DataFrame:
+    """T3 + A6: latency percentiles per 5-minute bucket kept in streaming
+    state (10-minute watermark, append mode)."""
+    from vigil.sources.event_log import append_event_log
+    from vigil.streaming import flows
+
+    base = _run_dir(c, "latency_stream")
+    bronze, out = f"{base}/bronze", f"{base}/latency"
+    for part in _time_slices(c.bronze, F.col("timestamp")):
+        append_event_log(part, bronze)
+        flows.run_latency_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg)
+    return c.spark.read.parquet(out)

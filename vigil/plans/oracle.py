@@ -607,3 +607,15 @@ SELECT query_name, time_bucket(INTERVAL '1 minute', timestamp) AS time_bucket,
 FROM prog
 GROUP BY 1, 2
 HAVING time_bucket(INTERVAL '1 minute', timestamp) + INTERVAL 1 MINUTE <= (SELECT MAX(timestamp) FROM prog) - INTERVAL 10 MINUTE""")
+
+ORACLE["latency_sla_stream"] = with_(["sla"], f"""
+SELECT query_name, time_bucket(INTERVAL '5 minutes', timestamp) AS time_bucket,
+       quantile_disc(latency_ms, 0.5) AS p50_latency_ms, quantile_disc(latency_ms, 0.9) AS p90_latency_ms,
+       quantile_disc(latency_ms, 0.99) AS p99_latency_ms, MAX(latency_ms) AS max_latency_ms,
+       CAST(SUM(CASE WHEN sla_breach_flag THEN 1 ELSE 0 END) AS BIGINT) AS breach_count,
+       COUNT(*) AS batch_count,
+       {r('100.0 * SUM(CASE WHEN sla_breach_flag THEN 1 ELSE 0 END) / CAST(COUNT(*) AS DOUBLE)', 2)} AS breach_percentage,
+       sla_threshold_ms
+FROM sla WHERE latency_ms IS NOT NULL
+GROUP BY 1, 2, sla_threshold_ms
+HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL 5 MINUTE <= (SELECT MAX(timestamp) FROM prog) - INTERVAL 10 MINUTE""")

@@ -132,47 +132,48 @@ def rate_demo(spark: SparkSession, out_name: str, rows_per_second: int = 100, se
     return q
 
 
-def throughput_trends_stream(prog: DataFrame, watermark: str = "10 minutes", bucket: str = "1 minute") -> DataFrame:
-    """T3, streaming form of A5: the same per-bucket figures, kept as state
-    per (stream, bucket) and emitted once the watermark closes the bucket
-    (append mode).  No clock lookback: the stream is incremental."""
-    from vigil.functions.core import round_half_up, seconds_between
-
-    agg = (
-        prog.withWatermark("timestamp", watermark)
-        .groupBy("query_name", F.window("timestamp", bucket).alias("w"))
-        .agg(
-            F.avg("input_rows_per_second").alias("_in"),
-            F.avg("processed_rows_per_second").alias("_pr"),
-            F.avg("batch_duration_ms").alias("_bd"),
-            F.max("batch_duration_ms").alias("max_batch_duration_ms"),
-            F.sum("num_input_rows").alias("total_input_rows"),
-            F.avg(seconds_between("timestamp", "watermark")).alias("_wd"),
-        )
-    )
-    return agg.select(
-        "query_name",
-        F.col("w.start").alias("time_bucket"),
-        round_half_up("_in", 2).alias("avg_input_rows_per_sec"),
-        round_half_up("_pr", 2).alias("avg_processed_rows_per_sec"),
-        round_half_up("_bd", 0).alias("avg_batch_duration_ms"),
-        "max_batch_duration_ms",
-        "total_input_rows",
-        round_half_up("_wd", 0).alias("avg_watermark_delay_sec"),
-    )
+def bucketed_stream(metric, df: DataFrame, cfg: MonitorConfig, watermark: str = "10 minutes") -> DataFrame:
+    """The streaming form of a time-bucketed gold metric is the gold
+    function itself applied to a watermarked stream: state is kept per
+    (key, bucket) and each bucket is emitted once the watermark closes it
+    (append mode)."""
+    return metric(df.withWatermark("timestamp", watermark), cfg.with_(lookback_days=None, as_of=None))
 
 
-def run_throughput_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig):
-    """Drain the progress stream into the streaming throughput trends."""
-    prog = silver.progress(read_event_log_stream(spark, bronze_dir), cfg)
+def throughput_trends_stream(prog: DataFrame, cfg: MonitorConfig = MonitorConfig(), watermark: str = "10 minutes") -> DataFrame:
+    """A5 on a stream (same definition as ``gold.throughput_trends``)."""
+    from vigil.operators import gold
+
+    return bucketed_stream(gold.throughput_trends, prog, cfg, watermark)
+
+
+def latency_sla_stream(sla: DataFrame, cfg: MonitorConfig = MonitorConfig(), watermark: str = "10 minutes") -> DataFrame:
+    """A6 on a stream: the quantile sketches live in the aggregation state."""
+    from vigil.operators import gold
+
+    return bucketed_stream(gold.latency_sla, sla, cfg, watermark)
+
+
+def _run_append(df: DataFrame, name: str, out_dir: str, checkpoint: str):
     q = (
-        throughput_trends_stream(prog)
-        .writeStream.format("parquet")
+        df.writeStream.format("parquet")
         .outputMode("append")
-        .queryName("throughput_trends_stream")
+        .queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(out_dir)
     )
     q.awaitTermination()
     return q
+
+
+def run_throughput_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig):
+    """Drain the progress stream into the streaming throughput trends."""
+    prog = silver.progress(read_event_log_stream(spark, bronze_dir), cfg)
+    return _run_append(throughput_trends_stream(prog, cfg), "throughput_trends_stream", out_dir, checkpoint)
+
+
+def run_latency_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig):
+    """Drain the progress stream into the streaming latency & SLA buckets."""
+    sla = silver.sla_latency_metrics(silver.progress(read_event_log_stream(spark, bronze_dir), cfg), cfg)
+    return _run_append(latency_sla_stream(sla, cfg), "latency_sla_stream", out_dir, checkpoint)
