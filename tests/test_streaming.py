@@ -123,7 +123,7 @@ def test_all_silver_flows_equal_batch_silver(spark):
     root = tempfile.mkdtemp(prefix="vigil-flows-")
     append_event_log(c.bronze, f"{root}/bronze")
     out = flows.run_silver_flows(spark, f"{root}/bronze", f"{root}/silver", c.cfg)
-    batch = {"streaming_metrics": c.metrics, "stream_errors": c.errors_raw, "sla_latency_metrics": c.sla, "data_quality_metrics": c.dq}
+    batch = {"streaming_metrics": c.metrics, "stream_progress": c.prog, "stream_errors": c.errors_raw, "sla_latency_metrics": c.sla, "data_quality_metrics": c.dq}
     for t, path in out.items():
         assert spark.read.parquet(path).count() == batch[t].count(), t
 

@@ -28,15 +28,16 @@ from vigil.session import configure
 from vigil.streaming import flows
 
 
-def pipeline(spark: SparkSession, bronze_dir: str, root: str, cfg: MonitorConfig) -> dict[str, str]:
-    """Silver by stream (incremental, exactly-once per checkpoint), the typed
-    progress view from the stored ``streaming_metrics``, then the gold
-    datasets rebuilt from the stored silver."""
+def pipeline(spark: SparkSession, bronze_dir: str, root: str, cfg: MonitorConfig, days: list | None = None) -> dict[str, str]:
+    """Silver by stream (incremental, exactly-once per checkpoint; includes
+    the typed progress view), then gold from the stored silver: rebuilt
+    whole, or, when ``days`` (the days the new bronze rows fall on) is
+    given, refreshed only for those days."""
     out = flows.run_silver_flows(spark, bronze_dir, root, cfg)
-    prog = silver.progress(spark.read.parquet(out["streaming_metrics"]), cfg)
-    out["stream_progress"] = os.path.join(root, "stream_progress")
-    prog.withColumn("event_date", F.to_date("timestamp")).write.mode("overwrite").partitionBy("event_date").parquet(out["stream_progress"])
-    out.update(datasets.materialize(spark, spark.read.parquet(bronze_dir), root, cfg, layers=("gold",)))
+    if days is None:
+        out.update(datasets.materialize(spark, None, root, cfg, layers=("gold",)))
+    else:
+        out.update(datasets.refresh(spark, root, cfg, days))
     return out
 
 

@@ -619,3 +619,14 @@ SELECT query_name, time_bucket(INTERVAL '5 minutes', timestamp) AS time_bucket,
 FROM sla WHERE latency_ms IS NOT NULL
 GROUP BY 1, 2, sla_threshold_ms
 HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL 5 MINUTE <= (SELECT MAX(timestamp) FROM prog) - INTERVAL 10 MINUTE""")
+
+ORACLE["gold_incremental_refresh"] = with_(["prog"], f"""
+SELECT query_name, time_bucket(INTERVAL '1 minute', timestamp) AS time_bucket,
+       {r('AVG(input_rows_per_second)', 2)} AS avg_input_rows_per_sec,
+       {r('AVG(processed_rows_per_second)', 2)} AS avg_processed_rows_per_sec,
+       {r('AVG(batch_duration_ms)', 0)} AS avg_batch_duration_ms,
+       MAX(batch_duration_ms) AS max_batch_duration_ms,
+       CAST(SUM(num_input_rows) AS BIGINT) AS total_input_rows,
+       {r('AVG(CAST(floor(epoch(timestamp)) AS BIGINT) - CAST(floor(epoch(watermark)) AS BIGINT))', 0)} AS avg_watermark_delay_sec
+FROM prog WHERE timestamp <= {AS_OF_END}
+GROUP BY 1, 2""")

@@ -13,7 +13,7 @@ from vigil.sources.event_log import read_event_log_stream
 from vigil.streaming.state import backpressure_stream
 
 
-SILVER_FLOWS = ("streaming_metrics", "stream_errors", "sla_latency_metrics", "data_quality_metrics")
+SILVER_FLOWS = ("streaming_metrics", "stream_progress", "stream_errors", "sla_latency_metrics", "data_quality_metrics")
 
 
 def run_silver_flow(
@@ -26,14 +26,17 @@ def run_silver_flow(
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
 ):
-    """One stateless silver flow (streaming_metrics / stream_errors /
-    sla_latency_metrics / data_quality_metrics) from the bronze stream,
+    """One stateless silver flow (streaming_metrics / stream_progress /
+    stream_errors / sla_latency_metrics / data_quality_metrics) from the
+    bronze stream,
     appended with its own checkpoint.  Default: drain what is there
     (``availableNow``) and stop; with ``processing_time`` (T6) the flow runs
     continuously and the running query is returned."""
     bronze = read_event_log_stream(spark, bronze_dir, max_files_per_trigger)
     if table == "streaming_metrics":
         out = silver.streaming_metrics(bronze, cfg)
+    elif table == "stream_progress":
+        out = silver.progress(bronze, cfg)
     elif table == "stream_errors":
         out = silver.stream_errors(bronze, cfg)
     elif table == "sla_latency_metrics":
