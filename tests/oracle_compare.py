@@ -48,6 +48,14 @@ def rows_of(names, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows), [names[i] for i in order]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "float": "FLOAT"}
+
+
+def duck_type(spark_type: str) -> str:
+    return spark_type.upper().replace(" ", "") if spark_type.startswith("decimal") else SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dict:
     df = fn(spark, sf_dir)
     s_names = df.columns
@@ -58,6 +66,11 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
         out["mode"] = "rows-only"
         return out
     con = con or duck(sf_dir)
+    s_types = {f.name: duck_type(f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = {r[0]: r[1].replace(" ", "") for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out["types_ok"] = s_types == d_types
+    if not out["types_ok"]:
+        out["type_diff"] = {k: (s_types.get(k), d_types.get(k)) for k in set(s_types) | set(d_types) if s_types.get(k) != d_types.get(k)}
     res = con.execute(sql)
     d_names = [c[0] for c in res.description]
     d_rows = res.fetchall()
@@ -65,7 +78,7 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     sr, sn = rows_of(s_names, s_rows)
     dr, dn = rows_of(d_names, d_rows)
     out["names_ok"] = sn == dn
-    out["ok"] = sn == dn and sr == dr
+    out["ok"] = sn == dn and sr == dr and out["types_ok"]
     if not out["ok"]:
         out["spark_cols"] = sn
         out["duck_cols"] = dn
