@@ -175,3 +175,20 @@ def test_failed_batch_replays_without_duplicates(spark):
     got = spark.read.parquet(out).groupBy().sum("record_count").first()[0]
     assert got == events.filter(F.col("event_type").isin("click", "view", "error")).count()
     assert spark.read.parquet(out).select("batch_id").distinct().count() == 3
+
+
+def test_replayed_bronze_append_is_deduplicated_in_stream(spark):
+    from vigil.plans.context import Context
+    from vigil.sources.event_log import append_event_log
+
+    c = Context(spark, "/root/testdata/sf0.001")
+    root = tempfile.mkdtemp(prefix="vigil-dedupe-")
+    day = F.to_date("timestamp")
+    first = c.bronze.filter(day < "2024-01-16")
+    append_event_log(first, f"{root}/bronze")
+    flows.run_silver_flow(spark, f"{root}/bronze", f"{root}/errors", f"{root}/_ckpt", "stream_errors", c.cfg, dedupe_within="1 hour")
+    append_event_log(first.filter(day >= "2024-01-15"), f"{root}/bronze")  # a replayed flush of the last day
+    append_event_log(c.bronze.filter(day >= "2024-01-16"), f"{root}/bronze")
+    flows.run_silver_flow(spark, f"{root}/bronze", f"{root}/errors", f"{root}/_ckpt", "stream_errors", c.cfg, dedupe_within="1 hour")
+    out = spark.read.parquet(f"{root}/errors")
+    assert out.count() == c.errors_raw.count()

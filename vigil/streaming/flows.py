@@ -25,14 +25,22 @@ def run_silver_flow(
     cfg: MonitorConfig,
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
+    dedupe_within: str | None = None,
 ):
     """One stateless silver flow (streaming_metrics / stream_progress /
     stream_errors / sla_latency_metrics / data_quality_metrics) from the
     bronze stream,
     appended with its own checkpoint.  Default: drain what is there
     (``availableNow``) and stop; with ``processing_time`` (T6) the flow runs
-    continuously and the running query is returned."""
+    continuously and the running query is returned.
+
+    ``dedupe_within`` (e.g. ``"1 hour"``): replayed bronze rows (same
+    deterministic event id) are dropped with ``dropDuplicatesWithinWatermark``;
+    the de-duplication state only holds ids newer than the watermark, and
+    rows older than it are treated as late by the stream."""
     bronze = read_event_log_stream(spark, bronze_dir, max_files_per_trigger)
+    if dedupe_within:
+        bronze = bronze.withWatermark("timestamp", dedupe_within).dropDuplicatesWithinWatermark(["id"])
     if table == "streaming_metrics":
         out = silver.streaming_metrics(bronze, cfg)
     elif table == "stream_progress":
