@@ -61,3 +61,21 @@ def test_background_flush_on_size(spark):
         assert cap.flushed == 5
     finally:
         cap.stop()
+
+
+def test_clean_stop_is_info_unless_include_clean(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.operators import silver
+    from vigil.sources.event_log import read_event_log
+
+    term = SimpleNamespace(id="q9", runId="r9", exception=None, errorClassOnException=None)
+    for include, level in ((False, "INFO"), (True, "ERROR")):
+        out = tempfile.mkdtemp(prefix="vigil-lu-")
+        cap = ProgressCapture(spark, out, MonitorConfig(), background=False, include_clean=include)
+        cap.onQueryTerminated(term)
+        cap.flush()
+        log = read_event_log(spark, out)
+        assert [r.level for r in log.collect()] == [level]
+        assert silver.stream_errors(log, MonitorConfig()).count() == (1 if include else 0)
+        assert log.filter(F.col("event_type") == "stream_terminated").count() == 1

@@ -48,8 +48,14 @@ class ProgressCapture(StreamingQueryListener):
         flush_seconds: float = C.WRITER_FLUSH_SECONDS,
         max_queued: int = C.WRITER_QUEUE_MAX,
         background: bool = True,
+        include_clean: bool = False,
     ):
+        """``include_clean=True`` writes every termination, clean stops
+        included, as an ERROR row (the reference listener's behaviour, which
+        turns each finished availableNow run into an error); by default a
+        clean stop is an INFO lifecycle row."""
         super().__init__()
+        self.include_clean = include_clean
         self.spark = spark
         self.bronze_dir = bronze_dir
         self.cfg = cfg
@@ -146,7 +152,7 @@ class ProgressCapture(StreamingQueryListener):
         if not rows:
             return 0
         df = self.spark.createDataFrame(rows, RAW)
-        append_event_log(_to_event_log(df, self.cfg), self.bronze_dir)
+        append_event_log(_to_event_log(df, self.cfg, self.include_clean), self.bronze_dir)
         self.flushed += len(rows)
         return len(rows)
 
@@ -158,7 +164,7 @@ class ProgressCapture(StreamingQueryListener):
         self.flush()
 
 
-def _to_event_log(raw, cfg: MonitorConfig):
+def _to_event_log(raw, cfg: MonitorConfig, include_clean: bool = False):
     """Raw captured documents -> bronze event-log rows (Spark side)."""
     h = F.from_json("payload", _HEAD)
     t = F.from_json("payload", _TERM)
@@ -169,6 +175,7 @@ def _to_event_log(raw, cfg: MonitorConfig):
     batch = F.when(is_p, h["batchId"].try_cast("bigint"))
     ts = F.when(is_p, F.coalesce(iso_timestamp(h["timestamp"]), F.col("noted_at"))).otherwise(F.col("noted_at"))
     failed = t["exception"].isNotNull()
+    as_error = failed | F.lit(include_clean)
     error = F.to_json(
         F.struct(
             F.struct(
@@ -195,7 +202,7 @@ def _to_event_log(raw, cfg: MonitorConfig):
         F.when(is_p, F.format_string("Completed streaming update for '%s' batch %d.", name, batch))
         .otherwise(F.format_string("Stream %s terminated.", qid))
         .alias("message"),
-        F.when(is_p, "METRICS").when(failed, "ERROR").otherwise("INFO").alias("level"),
+        F.when(is_p, "METRICS").when(as_error, "ERROR").otherwise("INFO").alias("level"),
         F.when(is_p, "stream_progress").otherwise("stream_terminated").alias("event_type"),
         F.lit("STABLE").alias("maturity_level"),
         F.when(is_p, F.concat(F.lit('{"stream_progress":'), F.col("payload"), F.lit("}"))).otherwise(error).alias("details"),
