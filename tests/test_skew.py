@@ -27,6 +27,7 @@ def test_single_hot_stream_is_split_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
     assert len({r["_task"] for r in p_rows}) == 1  # the whole stream in one task
     assert len({r["_task"] for r in s_rows}) >= 4  # spread by block
+
     def strip(rows):
         return sorted((r["batch_id"], r["flag"], r["s5"], r["prev"]) for r in rows)
 
