@@ -215,3 +215,15 @@ def test_latency_precision_seconds(spark):
     ms = silver.sla_latency_metrics(prog(spark, rows), CFG).first().latency_ms
     sec = silver.sla_latency_metrics(prog(spark, rows), CFG.with_(latency_precision="seconds")).first().latency_ms
     assert ms == 61_700 and sec == 62_000  # unix_timestamp floors both ends: 12:00:00 - 11:58:58
+
+
+def test_backtest_alert_uses_rule_schedule(spark):
+    from vigil.plans.context import Context
+
+    c = Context(spark, "/root/testdata/sf0.001", MonitorConfig(sla_ms=1_800_000, as_of="2024-01-31 00:00:00", lookback_days=None))
+    out = evaluate.backtest_alert("streaming_sla_breach", c.prog, c.errors, c.sla, "2024-01-01 00:00:00", "2024-01-31 00:00:00")
+    rows = out.select("name", "evaluated_at", "fired").collect()
+    assert rows and {r.name for r in rows} == {"streaming_sla_breach"} and all(r.fired for r in rows)
+    assert all(r.evaluated_at.minute % 5 == 0 and r.evaluated_at.second == 0 for r in rows)  # every 300 s
+    t = evaluate.backtest_alert("streaming_stream_terminated", c.prog, c.errors, c.sla, "2024-01-01 00:00:00", "2024-01-31 00:00:00")
+    assert t.filter(~F.col("fired")).count() == 0 and t.count() > 0

@@ -220,6 +220,40 @@ def backtest_duration_spike(prog: DataFrame, lookback_minutes: int, step_seconds
     )
 
 
+def backtest_alert(
+    name: str,
+    prog: DataFrame,
+    errors: DataFrame,
+    sla: DataFrame,
+    start,
+    end,
+    lookback_minutes: int | None = None,
+    step_seconds: int | None = None,
+    rules=RULES,
+) -> DataFrame:
+    """U9 in one call: replay the alert ``name`` over [start, end] on its
+    own schedule (``schedule_interval_seconds`` of the rule) and lookback
+    (the detector's default), and evaluate it against its rule.  Returns
+    (name, entity, evaluated_at, value, fired, ...) rows."""
+    rule = next(dict(zip(RULE_FIELDS, r)) for r in rules if r[0] == name)
+    detector = rule["query_name"]
+    lb = lookback_minutes or C.ALERT_LOOKBACK_MINUTES[detector]
+    step = step_seconds or int(rule["schedule_interval_seconds"])
+    if detector == "alert_sla_breach":
+        ev = backtest_counts(sla.filter(F.col("sla_breach_flag")), detector, "query_name", lb, step, start, end)
+    elif detector == "alert_stream_terminated":
+        ev = backtest_counts(errors, detector, "query_id", lb, step, start, end)
+    elif detector == "alert_state_memory_growth":
+        ev = backtest_state_growth(prog, lb, step, start, end)
+    elif detector == "alert_sustained_backpressure":
+        ev = backtest_backpressure(prog, lb, step, start, end)
+    elif detector == "alert_batch_duration_spike":
+        ev = backtest_duration_spike(prog, lb, step, start, end)
+    else:
+        raise ValueError(detector)
+    return evaluate(ev, [r for r in rules if r[0] == name])
+
+
 def _rearm_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("evaluated_at", kind="mergesort")
     keep, last = [], None
