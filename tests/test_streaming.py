@@ -192,3 +192,16 @@ def test_replayed_bronze_append_is_deduplicated_in_stream(spark):
     flows.run_silver_flow(spark, f"{root}/bronze", f"{root}/errors", f"{root}/_ckpt", "stream_errors", c.cfg, dedupe_within="1 hour")
     out = spark.read.parquet(f"{root}/errors")
     assert out.count() == c.errors_raw.count()
+
+
+def test_silver_flow_into_catalog_table(spark):
+    from vigil.operators import maintain
+    from vigil.plans.context import Context
+    from vigil.sources.event_log import append_event_log
+
+    c = Context(spark, "/root/testdata/sf0.001")
+    root = tempfile.mkdtemp(prefix="vigil-totable-")
+    append_event_log(c.bronze, f"{root}/bronze")
+    maintain.create_monitoring_tables(spark, "vigil_stream_db", f"{root}/catalog")
+    flows.run_silver_flow(spark, f"{root}/bronze", None, f"{root}/_ckpt", "stream_errors", c.cfg, to_table="vigil_stream_db.stream_errors")
+    assert spark.table("vigil_stream_db.stream_errors").count() == c.errors_raw.count()

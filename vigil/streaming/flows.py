@@ -26,6 +26,7 @@ def run_silver_flow(
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
     dedupe_within: str | None = None,
+    to_table: str | None = None,
 ):
     """One stateless silver flow (streaming_metrics / stream_progress /
     stream_errors / sla_latency_metrics / data_quality_metrics) from the
@@ -37,7 +38,10 @@ def run_silver_flow(
     ``dedupe_within`` (e.g. ``"1 hour"``): replayed bronze rows (same
     deterministic event id) are dropped with ``dropDuplicatesWithinWatermark``;
     the de-duplication state only holds ids newer than the watermark, and
-    rows older than it are treated as late by the stream."""
+    rows older than it are treated as late by the stream.
+
+    ``to_table``: append into a catalog table (e.g. one created by
+    ``maintain.create_monitoring_tables``) instead of a folder."""
     bronze = read_event_log_stream(spark, bronze_dir, max_files_per_trigger)
     if dedupe_within:
         bronze = bronze.withWatermark("timestamp", dedupe_within).dropDuplicatesWithinWatermark(["id"])
@@ -61,9 +65,10 @@ def run_silver_flow(
         .queryName(f"silver_{table}")
         .option("checkpointLocation", checkpoint)
     )
+    q = q.trigger(processingTime=processing_time) if processing_time else q.trigger(availableNow=True)
+    q = q.toTable(to_table) if to_table else q.start(out_dir)
     if processing_time:
-        return q.trigger(processingTime=processing_time).start(out_dir)
-    q = q.trigger(availableNow=True).start(out_dir)
+        return q
     q.awaitTermination()
     return q
 
