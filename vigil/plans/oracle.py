@@ -105,7 +105,8 @@ def with_(parts: list[str], body: str) -> str:
         for d in NEEDS[p] + [p]:
             if d not in seen:
                 seen.append(d)
-    return "WITH " + ",\n".join(CTE[p] for p in seen) + "\n" + body
+    b = body.lstrip("\n")
+    return "WITH " + ",\n".join(CTE[p] for p in seen) + ("" if b.startswith(",") else "\n") + b
 
 
 def lookback_days(as_of: str, days: int | None, ts: str = "timestamp") -> str:
@@ -225,7 +226,7 @@ SELECT lb.query_id, lb.query_name,
        COALESCE(sb.breach_count, 0) AS sla_breach_count,
        COALESCE(sb.breach_count, 0) > 0 AS has_sla_breaches,
        es.last_error_ts
-FROM lb LEFT JOIN es ON lb.query_id = es.query_id LEFT JOIN sb ON lb.query_id = sb.query_id""").replace("\n\n, lb AS", ",\nlb AS")
+FROM lb LEFT JOIN es ON lb.query_id = es.query_id LEFT JOIN sb ON lb.query_id = sb.query_id""")
 
 # -------------------------------------------------------------- trends ------
 
@@ -338,7 +339,7 @@ SELECT 'valid_timestamp' AS expectation, np + ne AS total_records, CAST(0 AS BIG
 UNION ALL SELECT 'valid_event_type', np + ne, 0, np + ne FROM tot
 UNION ALL SELECT 'valid_details', np + ne, 0, np + ne FROM tot
 UNION ALL SELECT 'is_stream_progress', np + ne, ne, np FROM tot
-UNION ALL SELECT 'has_event_time', COUNT(*), COUNT(*) - COUNT(event_time_max), COUNT(event_time_max) FROM sla""").replace("\n\n, tot AS", ",\ntot AS")
+UNION ALL SELECT 'has_event_time', COUNT(*), COUNT(*) - COUNT(event_time_max), COUNT(event_time_max) FROM sla""")
 
 ORACLE["expectation_drop"] = with_(["prog", "errs"], """
 SELECT 'is_error_event' AS expectation, (SELECT COUNT(*) FROM errs) AS kept_records, (SELECT COUNT(*) FROM prog) AS dropped_records""")
@@ -444,7 +445,7 @@ EVALS = f"""
   WHERE s > 0)"""
 
 ORACLE["alert_evaluate"] = with_(["sla", "errs"], EVALS + """
-SELECT name, entity, value, threshold, severity, value > threshold AS fired FROM ev""").replace("\n\n, ev AS", ",\nev AS")
+SELECT name, entity, value, threshold, severity, value > threshold AS fired FROM ev""")
 
 DESCRIPTIONS = """
 , d AS (SELECT * FROM (VALUES
@@ -460,7 +461,7 @@ SELECT ev.name, ev.entity, ev.severity, ch.channel,
        'Alert: ' || ev.name || chr(10) || 'Severity: ' || ev.severity || chr(10) || 'Environment: prod' || chr(10)
        || 'Entity: ' || ev.entity || chr(10) || chr(10) || d.description AS message
 FROM ev JOIN d ON ev.name = d.name LEFT JOIN ch ON ev.severity = ch.severity
-WHERE ev.value > ev.threshold""").replace("\n\n, ev AS", ",\nev AS").replace("\n, d AS", ",\nd AS")
+WHERE ev.value > ev.threshold""")
 
 BACKTEST = """
 , bt_rows AS (
@@ -473,7 +474,7 @@ bt AS (
   FROM bt_rows WHERE t >= 1704067200 AND t <= 1706659200 GROUP BY entity, t)"""
 
 ORACLE["alert_backtest"] = with_(["sla"], BACKTEST + """
-SELECT name, entity, evaluated_at, value, fired FROM bt""").replace("\n\n, bt_rows AS", ",\nbt_rows AS")
+SELECT name, entity, evaluated_at, value, fired FROM bt""")
 
 ORACLE["alert_rearm"] = "WITH RECURSIVE " + with_(["sla"], BACKTEST + """
 , f AS (SELECT name, entity, evaluated_at, ROW_NUMBER() OVER (PARTITION BY name, entity ORDER BY evaluated_at) AS rn FROM bt WHERE fired),
