@@ -32,7 +32,8 @@ def _workspace(cfg: MonitorConfig) -> Column:
 
 
 def _tcast(c: Column, t: str) -> Column:
-    return F.try_cast(c, t) if hasattr(F, "try_cast") else c.try_cast(t)
+    """Cast that yields NULL for text that does not parse (ANSI-safe)."""
+    return c.try_cast(t)
 
 
 def progress_struct(details: str | Column = "details") -> Column:
