@@ -31,3 +31,18 @@ def test_pipeline_then_alerts_then_maintenance(spark):
     maintain.append(c.bronze, f"{db}.raw_events")
     counts = {r.table_name: r.row_count for r in jobs.maintenance(spark, db, f"{root}/compacted", "2024-01-31 00:00:00", 20).collect()}
     assert counts["raw_events"] == c.bronze.filter(F.to_date("timestamp") >= "2024-01-11").count()
+
+
+def test_alerts_job_rearm_across_runs(spark):
+    c = Context(spark, SF0001)
+    root = tempfile.mkdtemp(prefix="vigil-rearm-")
+    append_event_log(c.bronze, f"{root}/bronze")
+    cfg = BASE.with_(sla_ms=60_000, lookback_days=None)
+    jobs.pipeline(spark, f"{root}/bronze", f"{root}/lake", cfg)
+    sla = F.col("name") == "streaming_sla_breach"
+    first = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:00:00").filter(sla).collect()
+    second = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:05:00").filter(sla).collect()
+    third = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:10:00").filter(sla).collect()
+    assert first and all(r.notified for r in first)
+    assert second and not any(r.notified for r in second)  # 300 s < 600 s re-arm
+    assert {r.entity for r in third if r.notified} == {r.entity for r in first} & {r.entity for r in third}

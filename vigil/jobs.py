@@ -63,16 +63,38 @@ def detector_evaluations(prog: DataFrame, errors: DataFrame, sla: DataFrame, cfg
 
 def alerts_job(spark: SparkSession, root: str, cfg: MonitorConfig, as_of: str, rules=evaluate.RULES) -> DataFrame:
     """Evaluate and route at ``as_of`` (rules: tuples or a rule table);
-    append fired alerts to ``root/alert_firings`` partitioned by day.
-    Returns the fired rows."""
+    append fired alerts to ``root/alert_firings`` partitioned by day, with
+    ``notified`` set by the rule's re-arm time (U7) against the last
+    notification of the same (alert, entity) in earlier runs.  Returns the
+    fired rows of this run."""
     prog = spark.read.parquet(os.path.join(root, "stream_progress"))
     errors = silver.with_restart_counts(spark.read.parquet(os.path.join(root, "stream_errors")), cfg)
     sla = spark.read.parquet(os.path.join(root, "sla_latency_metrics"))
     evaluated = evaluate.evaluate(detector_evaluations(prog, errors, sla, cfg, as_of), rules)
     routed = evaluate.route(evaluated, evaluate.escalation_df(spark), cfg.environment)
-    out = routed.select("name", "entity", "value", "threshold", "severity", "channel", "message", "evaluated_at")
-    out.withColumn("event_date", F.to_date("evaluated_at")).write.mode("append").partitionBy("event_date").parquet(os.path.join(root, "alert_firings"))
-    return spark.read.parquet(os.path.join(root, "alert_firings")).filter(F.col("evaluated_at") == F.to_timestamp(F.lit(as_of)))
+    fired = routed.select("name", "entity", "value", "threshold", "severity", "channel", "message", "evaluated_at", "rearm_seconds")
+    firings = os.path.join(root, "alert_firings")
+    if _exists(spark, firings):
+        # one row per (alert, entity): the last notification before this run
+        last = (
+            spark.read.parquet(firings)
+            .filter(F.col("notified") & (F.col("evaluated_at") < F.to_timestamp(F.lit(as_of))))
+            .groupBy("name", "entity")
+            .agg(F.max("evaluated_at").alias("_last"))
+        )
+        fired = fired.join(last, ["name", "entity"], "left")
+    else:
+        fired = fired.withColumn("_last", F.lit(None).cast("timestamp"))
+    notified = F.col("_last").isNull() | ((F.unix_seconds("evaluated_at") - F.unix_seconds("_last")) >= F.col("rearm_seconds"))
+    out = fired.withColumn("notified", notified).drop("_last")
+    out.withColumn("event_date", F.to_date("evaluated_at")).write.mode("append").partitionBy("event_date").parquet(firings)
+    return spark.read.parquet(firings).filter(F.col("evaluated_at") == F.to_timestamp(F.lit(as_of)))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def maintenance(spark: SparkSession, database: str, root: str, as_of: str, retention_days: int = C.RETENTION_DAYS) -> DataFrame:
