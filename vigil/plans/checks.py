@@ -647,8 +647,8 @@ def listener_capture(c: Context) -> DataFrame:
 
 # ---------------------------------------------------------- pipeline --------
 
-@check("pipeline_materialize")
-def pipeline_materialize(c: Context) -> DataFrame:
+@check("materialize_datasets")
+def materialize_datasets(c: Context) -> DataFrame:
     """K5: silver and gold datasets written once (silver by day), gold built
     from the stored silver tables; the stored stream overview read back."""
     from vigil.plans import datasets

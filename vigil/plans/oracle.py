@@ -535,7 +535,7 @@ SELECT query_name, batch_id, sustained_count,
 FROM (SELECT *, CAST(SUM(CASE WHEN input_rows_per_second > processed_rows_per_second THEN 1 ELSE 0 END)
                      OVER (PARTITION BY query_id ORDER BY batch_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS sustained_count
       FROM prog) w""")
-ORACLE["pipeline_materialize"] = ORACLE["stream_overview"]
+ORACLE["materialize_datasets"] = ORACLE["stream_overview"]
 ORACLE["silver_flow_stream"] = ORACLE["silver_sla_latency"]
 ORACLE["monitoring_tables"] = with_(["prog", "errs"], """
 SELECT 'raw_events' AS table_name, (SELECT COUNT(*) FROM prog) + (SELECT COUNT(*) FROM errs) AS row_count
