@@ -46,3 +46,11 @@ def test_alerts_job_rearm_across_runs(spark):
     assert first and all(r.notified for r in first)
     assert second and not any(r.notified for r in second)  # 300 s < 600 s re-arm
     assert {r.entity for r in third if r.notified} == {r.entity for r in first} & {r.entity for r in third}
+
+
+def test_list_tables_ignores_temp_views(spark):
+    root = tempfile.mkdtemp(prefix="vigil-lt-")
+    maintain.create_monitoring_tables(spark, "vigil_lt_db", f"{root}/catalog")
+    spark.range(1).createOrReplaceTempView("stream_progress")
+    names = maintain.list_tables(spark, "vigil_lt_db")
+    assert "stream_progress" not in names and "raw_events" in names

@@ -44,8 +44,10 @@ def append(df: DataFrame, name: str, ts: str = "timestamp") -> None:
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
-    """K8: table names of a database (catalog metadata, no data read)."""
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """K8: table names of a database (catalog metadata, no data read).
+    Session temporary views, which the catalog lists alongside, are left
+    out."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
