@@ -151,7 +151,9 @@ class ProgressCapture(StreamingQueryListener):
             self._last_flush = time.monotonic()
         if not rows:
             return 0
-        df = self.spark.createDataFrame(rows, RAW)
+        # at most ``max_queued`` rows: one partition, so one file per day per
+        # flush instead of one per default-parallelism slice
+        df = self.spark.createDataFrame(rows, RAW).coalesce(1)
         append_event_log(_to_event_log(df, self.cfg, self.include_clean), self.bronze_dir)
         self.flushed += len(rows)
         return len(rows)
