@@ -43,6 +43,8 @@ def test_alerts_job_rearm_across_runs(spark):
     first = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:00:00").filter(sla).collect()
     second = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:05:00").filter(sla).collect()
     third = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:10:00").filter(sla).collect()
+    again = jobs.alerts_job(spark, f"{root}/lake", cfg, "2024-01-30 12:10:00").filter(sla).collect()
+    assert sorted((r.entity, r.notified) for r in again) == sorted((r.entity, r.notified) for r in third)  # re-run replaces
     assert first and all(r.notified for r in first)
     assert second and not any(r.notified for r in second)  # 300 s < 600 s re-arm
     assert {r.entity for r in third if r.notified} == {r.entity for r in first} & {r.entity for r in third}

@@ -65,8 +65,9 @@ def alerts_job(spark: SparkSession, root: str, cfg: MonitorConfig, as_of: str, r
     """Evaluate and route at ``as_of`` (rules: tuples or a rule table);
     append fired alerts to ``root/alert_firings`` partitioned by day, with
     ``notified`` set by the rule's re-arm time (U7) against the last
-    notification of the same (alert, entity) in earlier runs.  Returns the
-    fired rows of this run."""
+    notification of the same (alert, entity) in earlier runs.  A re-run for
+    the same clock replaces its own rows.  Returns the fired rows of this
+    run."""
     prog = spark.read.parquet(os.path.join(root, "stream_progress"))
     errors = silver.with_restart_counts(spark.read.parquet(os.path.join(root, "stream_errors")), cfg)
     sla = spark.read.parquet(os.path.join(root, "sla_latency_metrics"))
@@ -87,7 +88,17 @@ def alerts_job(spark: SparkSession, root: str, cfg: MonitorConfig, as_of: str, r
         fired = fired.withColumn("_last", F.lit(None).cast("timestamp"))
     notified = F.col("_last").isNull() | ((F.unix_seconds("evaluated_at") - F.unix_seconds("_last")) >= F.col("rearm_seconds"))
     out = fired.withColumn("notified", notified).drop("_last")
-    out.withColumn("event_date", F.to_date("evaluated_at")).write.mode("append").partitionBy("event_date").parquet(firings)
+    # one partition per run: re-running the job for the same clock (after a
+    # failure) replaces that run's rows instead of adding them again
+    run_id = F.date_format(F.to_timestamp(F.lit(as_of)), "yyyyMMddHHmmss")
+    (
+        out.withColumn("event_date", F.to_date("evaluated_at"))
+        .withColumn("run_id", run_id)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "run_id")
+        .parquet(firings)
+    )
     return spark.read.parquet(firings).filter(F.col("evaluated_at") == F.to_timestamp(F.lit(as_of)))
 
 
