@@ -79,3 +79,21 @@ def test_clean_stop_is_info_unless_include_clean(spark):
         assert [r.level for r in log.collect()] == [level]
         assert silver.stream_errors(log, MonitorConfig()).count() == (1 if include else 0)
         assert log.filter(F.col("event_type") == "stream_terminated").count() == 1
+
+
+def test_failed_flush_keeps_records(spark):
+    out = tempfile.mkdtemp(prefix="vigil-lu-")
+    cap = ProgressCapture(spark, out, MonitorConfig(), background=False)
+    for i in range(3):
+        cap.onQueryProgress(_event(i))
+    cap.bronze_dir = "/proc/no-such-dir/bronze"  # unwritable: the write fails
+    try:
+        cap.flush()
+        raise AssertionError("flush should fail")
+    except AssertionError:
+        raise
+    except Exception:
+        pass
+    cap.bronze_dir = out
+    assert cap.flush() == 3 and cap.dropped == 0
+    assert spark.read.parquet(out).count() == 3

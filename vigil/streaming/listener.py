@@ -6,7 +6,8 @@ so the listener bus is never blocked.  ``flush`` turns the buffered
 documents into event-log rows with Spark expressions (same code as the
 silver layer) and appends them to the bronze folder; a background thread
 flushes on size (50) or age (10 s), and ``stop`` drains what is left.
-Overflow drops the newest record and counts it.
+Overflow drops the newest record and counts it; a failed write puts its
+records back into the buffer.
 """
 
 from __future__ import annotations
@@ -64,6 +65,7 @@ class ProgressCapture(StreamingQueryListener):
         self.max_queued = max_queued
         self.dropped = 0
         self.flushed = 0
+        self.failed_flushes = 0
         self.terminated: set[str] = set()
         self._buf: collections.deque = collections.deque()
         self._lock = threading.Lock()
@@ -141,7 +143,10 @@ class ProgressCapture(StreamingQueryListener):
             with self._lock:
                 n = len(self._buf)
             if n >= self.batch_size or (n and time.monotonic() - self._last_flush >= self.flush_seconds):
-                self.flush()
+                try:
+                    self.flush()
+                except Exception:  # records were put back; retried on the next tick
+                    self.failed_flushes += 1
 
     def flush(self) -> int:
         """Append buffered records to bronze; returns the number written."""
@@ -153,8 +158,19 @@ class ProgressCapture(StreamingQueryListener):
             return 0
         # at most ``max_queued`` rows: one partition, so one file per day per
         # flush instead of one per default-parallelism slice
-        df = self.spark.createDataFrame(rows, RAW).coalesce(1)
-        append_event_log(_to_event_log(df, self.cfg, self.include_clean), self.bronze_dir)
+        try:
+            df = self.spark.createDataFrame(rows, RAW).coalesce(1)
+            append_event_log(_to_event_log(df, self.cfg, self.include_clean), self.bronze_dir)
+        except Exception:
+            # a failed write loses nothing: the records go back to the front of
+            # the buffer (what no longer fits is counted as dropped)
+            with self._lock:
+                for r in reversed(rows):
+                    if len(self._buf) < self.max_queued:
+                        self._buf.appendleft(r)
+                    else:
+                        self.dropped += 1
+            raise
         self.flushed += len(rows)
         return len(rows)
 
