@@ -97,3 +97,23 @@ def test_failed_flush_keeps_records(spark):
     cap.bronze_dir = out
     assert cap.flush() == 3 and cap.dropped == 0
     assert spark.read.parquet(out).count() == 3
+
+
+def test_failed_stop_is_error_and_turns_stream_to_error(spark):
+    from vigil.operators import gold, silver
+    from vigil.sources.event_log import read_event_log
+
+    out = tempfile.mkdtemp(prefix="vigil-lu-")
+    cfg = MonitorConfig(as_of="2099-01-01 00:00:00", lookback_days=None)
+    cap = ProgressCapture(spark, out, cfg, background=False)
+    cap.onQueryStarted(SimpleNamespace(id="q1", name="Stream One"))
+    cap.onQueryProgress(_event())
+    time.sleep(0.01)
+    cap.onQueryTerminated(SimpleNamespace(id="q1", runId="r1", exception="java.lang.RuntimeException: boom", errorClassOnException=None))
+    cap.flush()
+    log = read_event_log(spark, out)
+    errs = silver.stream_errors(log, cfg).collect()
+    assert len(errs) == 1 and errs[0].query_name == "stream_one" and errs[0].exception_message.endswith("boom")
+    prog = silver.progress(log, cfg)
+    ov = gold.stream_overview(prog, silver.stream_errors(log, cfg), silver.sla_latency_metrics(prog, cfg), cfg).collect()
+    assert [r.stream_status for r in ov] == ["ERROR"]
