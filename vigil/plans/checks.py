@@ -825,3 +825,23 @@ def gold_incremental_refresh(c: Context) -> DataFrame:
     jobs.pipeline(c.spark, raw, lake, cfg, days=[d for d in days if d >= cut])
     assert all(isinstance(d, dt.date) for d in days)
     return c.spark.read.parquet(f"{lake}/mv_throughput_trends").drop("event_date")
+
+
+# --------------------------------------------------------- alert SQL --------
+
+def _alert_sql_check(alert: str, minutes: int, **params):
+    def fn(c: Context) -> DataFrame:
+        from vigil.plans import dashboard_sql
+
+        dashboard_sql.register_views({"stream_progress": c.prog, "stream_errors": c.errors, "sla_latency_metrics": c.sla})
+        return dashboard_sql.run_alert(c.spark, alert, c.cfg.environment, AS_OF_END, minutes, **params)
+
+    fn.__doc__ = f"P20: {alert} as parameterised Spark SQL over the silver views."
+    return fn
+
+
+check("sql_alert_sla_breach")(_alert_sql_check("alert_sla_breach", DAY))
+check("sql_alert_backpressure")(_alert_sql_check("alert_sustained_backpressure", WEEK, min_count=4))
+check("sql_alert_duration_spike")(_alert_sql_check("alert_batch_duration_spike", MONTH))
+check("sql_alert_terminated")(_alert_sql_check("alert_stream_terminated", DAY))
+check("sql_alert_state_growth")(_alert_sql_check("alert_state_memory_growth", WEEK))

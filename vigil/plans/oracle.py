@@ -631,3 +631,5 @@ SELECT query_name, time_bucket(INTERVAL '1 minute', timestamp) AS time_bucket,
        {r('AVG(CAST(floor(epoch(timestamp)) AS BIGINT) - CAST(floor(epoch(watermark)) AS BIGINT))', 0)} AS avg_watermark_delay_sec
 FROM prog WHERE timestamp <= {AS_OF_END}
 GROUP BY 1, 2""")
+for _n in ("sla_breach", "backpressure", "duration_spike", "terminated", "state_growth"):
+    ORACLE[f"sql_alert_{_n}"] = ORACLE[f"alert_{_n}"]
