@@ -31,31 +31,30 @@ OUTPUT = T.StructType(
 STATE = T.StructType([T.StructField("last_batch_id", T.LongType()), T.StructField("flags", T.ArrayType(T.IntegerType()))])
 
 
-def _status(n: int) -> str:
-    if n >= C.BACKPRESSURE_CRITICAL_BATCHES:
-        return "CRITICAL"
-    if n >= C.BACKPRESSURE_WARNING_BATCHES:
-        return "WARNING"
-    return "OK"
-
-
 def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Vectorised per micro-batch: the carried flags are prepended to this
+    batch's flags (in batch-id order) and the 5-row sums come from one
+    cumulative sum."""
+    import numpy as np
+
     keep = C.BACKPRESSURE_FRAME_ROWS - 1
-    if state.exists:
-        last_batch, flags = state.get
-        flags = list(flags)
-    else:
-        last_batch, flags = None, []
+    carried = list(state.get[1]) if state.exists else []
     rows = pd.concat(list(pdfs)).sort_values("batch_id", kind="mergesort")
-    out = []
-    for r in rows.itertuples(index=False):
-        flag = int(r.is_backpressured)
-        n = sum(flags[-keep:]) + flag
-        out.append((key[0], r.query_name, int(r.batch_id), n, _status(n)))
-        flags = (flags + [flag])[-keep:]
-        last_batch = int(r.batch_id)
-    state.update((last_batch, flags))
-    yield pd.DataFrame(out, columns=[f.name for f in OUTPUT.fields])
+    flags = np.concatenate([np.asarray(carried, dtype=np.int64), rows["is_backpressured"].to_numpy(dtype=np.int64)])
+    csum = np.concatenate([[0], np.cumsum(flags)])
+    end = np.arange(len(carried) + 1, len(flags) + 1)
+    sums = csum[end] - csum[np.maximum(end - C.BACKPRESSURE_FRAME_ROWS, 0)]
+    status = np.where(sums >= C.BACKPRESSURE_CRITICAL_BATCHES, "CRITICAL", np.where(sums >= C.BACKPRESSURE_WARNING_BATCHES, "WARNING", "OK"))
+    state.update((int(rows["batch_id"].iloc[-1]), [int(x) for x in flags[-keep:]]))
+    yield pd.DataFrame(
+        {
+            "query_id": key[0],
+            "query_name": rows["query_name"].to_numpy(),
+            "batch_id": rows["batch_id"].to_numpy(dtype=np.int64),
+            "sustained_count": sums.astype(np.int64),
+            "backpressure_status": status,
+        }
+    )
 
 
 def backpressure_stream(prog: DataFrame) -> DataFrame:
