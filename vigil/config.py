@@ -42,6 +42,10 @@ ALERT_LOOKBACK_MINUTES = {
 }
 # Severity -> channel.
 ESCALATION = {"warning": "slack", "critical": "pagerduty", "failure": "pagerduty"}
+# Progress event message: stream name, batch id.
+PROGRESS_MESSAGE = "Completed streaming update for '%s' batch %d."
+# Notification text: alert name, severity, environment, description.
+ALERT_MESSAGE = "Alert: %s\nSeverity: %s\nEnvironment: %s\nDescription: %s"
 
 
 @dataclass(frozen=True)

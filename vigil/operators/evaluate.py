@@ -122,7 +122,7 @@ def route(evaluated: DataFrame, escalation: DataFrame, environment: str) -> Data
     """U8 + U10: fired alerts with their channel and notification text."""
     e = bounded_broadcast(escalation.withColumnRenamed("severity", "_sev"))
     f = evaluated.filter(F.col("fired")).join(e, F.col("severity") == F.col("_sev"), "left").drop("_sev")
-    body = F.format_string("Alert: %s\nSeverity: %s\nEnvironment: %s\nEntity: %s\n\n%s", F.col("name"), F.col("severity"), F.lit(environment), F.col("entity"), F.col("description"))
+    body = F.format_string(C.ALERT_MESSAGE, F.col("name"), F.col("severity"), F.lit(environment), F.col("description"))
     return f.withColumn("message", body)
 
 

@@ -218,7 +218,7 @@ def event_log_record(prog_rows: DataFrame, cfg: MonitorConfig) -> DataFrame:
             )
         ).alias("origin"),
         F.col("timestamp"),
-        F.format_string("Completed streaming update for '%s' batch %d.", name, F.col("batch_id")).alias("message"),
+        F.format_string(C.PROGRESS_MESSAGE, name, F.col("batch_id")).alias("message"),
         F.lit("METRICS").alias("level"),
         F.lit(PROGRESS_EVENT).alias("event_type"),
         F.lit("STABLE").alias("maturity_level"),

@@ -459,7 +459,7 @@ ch AS (SELECT * FROM (VALUES ('critical', 'pagerduty'), ('failure', 'pagerduty')
 ORACLE["alert_routing"] = with_(["sla", "errs"], EVALS + DESCRIPTIONS + """
 SELECT ev.name, ev.entity, ev.severity, ch.channel,
        'Alert: ' || ev.name || chr(10) || 'Severity: ' || ev.severity || chr(10) || 'Environment: prod' || chr(10)
-       || 'Entity: ' || ev.entity || chr(10) || chr(10) || d.description AS message
+       || 'Description: ' || d.description AS message
 FROM ev JOIN d ON ev.name = d.name LEFT JOIN ch ON ev.severity = ch.severity
 WHERE ev.value > ev.threshold""")
 

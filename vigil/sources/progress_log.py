@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType
 
+from vigil import config as C
 from vigil import schemas
 from vigil.functions.core import event_id
 
@@ -146,7 +147,7 @@ def progress_events(events: DataFrame) -> DataFrame:
         F.to_json(F.struct(F.col("batch_id").alias("batch_id"))).alias("sequence"),
         _origin(qid, qname).alias("origin"),
         batch_end(F.col("batch_id")).alias("timestamp"),
-        F.format_string("Completed streaming update for '%s' batch %d.", qname, F.col("batch_id")).alias("message"),
+        F.format_string(C.PROGRESS_MESSAGE, qname, F.col("batch_id")).alias("message"),
         F.lit("METRICS").alias("level"),
         F.lit("stream_progress").alias("event_type"),
         F.lit("STABLE").alias("maturity_level"),

@@ -217,7 +217,7 @@ def _to_event_log(raw, cfg: MonitorConfig, include_clean: bool = False):
             )
         ).alias("origin"),
         ts.alias("timestamp"),
-        F.when(is_p, F.format_string("Completed streaming update for '%s' batch %d.", name, batch))
+        F.when(is_p, F.format_string(C.PROGRESS_MESSAGE, name, batch))
         .otherwise(F.format_string("Stream %s terminated.", qid))
         .alias("message"),
         F.when(is_p, "METRICS").when(as_error, "ERROR").otherwise("INFO").alias("level"),
