@@ -227,3 +227,15 @@ def test_backtest_alert_uses_rule_schedule(spark):
     assert all(r.evaluated_at.minute % 5 == 0 and r.evaluated_at.second == 0 for r in rows)  # every 300 s
     t = evaluate.backtest_alert("streaming_stream_terminated", c.prog, c.errors, c.sla, "2024-01-01 00:00:00", "2024-01-31 00:00:00")
     assert t.filter(~F.col("fired")).count() == 0 and t.count() > 0
+
+
+@pytest.mark.parametrize(
+    "op,expected",
+    [("GREATER_THAN", [False, False, True]), ("GREATER_THAN_OR_EQUAL", [False, True, True]), ("LESS_THAN", [True, False, False]),
+     ("LESS_THAN_OR_EQUAL", [True, True, False]), ("EQUAL", [False, True, False]), ("NOT_EQUAL", [True, False, True])],
+)
+def test_rule_operators(spark, op, expected):
+    evals = spark.createDataFrame([("d", "e1", 1.0), ("d", "e2", 2.0), ("d", "e3", 3.0)], "query_name string, entity string, value double")
+    rules = [("r", "d", 60, op, None, "value", 2.0, "warning", "slack", 60, "x")]
+    out = sorted((r.entity, r.fired) for r in evaluate.evaluate(evals, rules).collect())
+    assert [f for _, f in out] == expected

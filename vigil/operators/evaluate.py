@@ -114,7 +114,17 @@ def evaluate(evaluations: DataFrame, rules=RULES) -> DataFrame:
     of a detector without rules yields none."""
     rule = F.explode(F.try_element_at(rule_lookup(rules), F.col("query_name")))
     j = evaluations.select("*", rule.alias("_r")).select(*evaluations.columns, "_r.*")
-    fired = F.when(F.col("op") == "GREATER_THAN", F.col("value") > F.col("threshold")).when(F.col("op") == "LESS_THAN", F.col("value") < F.col("threshold"))
+    v, t, op = F.col("value"), F.col("threshold"), F.col("op")
+    fired = F.when(op == "GREATER_THAN", v > t)
+    for name, test in (
+        ("GREATER_THAN_OR_EQUAL", v >= t),
+        ("LESS_THAN", v < t),
+        ("LESS_THAN_OR_EQUAL", v <= t),
+        ("EQUAL", v == t),
+        ("NOT_EQUAL", v != t),
+    ):
+        fired = fired.when(op == name, test)
+    # a null value (no data) never fires
     return j.withColumn("fired", F.coalesce(fired, F.lit(False)))
 
 
