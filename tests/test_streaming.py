@@ -93,6 +93,8 @@ def test_observed_quality_reaches_silver_through_capture(spark):
     assert len(dq) >= 1
     row = [r for r in dq if r.dropped_record_count][0]
     assert row.query_name == "q_obs" and row.dropped_record_count == 2 and abs(row.duplicate_rate - 0.25) < 1e-9
+    om = {(r.observation, r.metric): r.value for r in silver.observed_metrics(read_event_log(spark, cap_dir), MonitorConfig()).collect() if r.value is not None}
+    assert om[("quality", "dropped_record_count")] == 2.0 and abs(om[("quality", "duplicate_rate")] - 0.25) < 1e-9
 
 
 def test_quality_callback_fills_quality(spark):

@@ -244,3 +244,25 @@ def with_restart_counts(errors: DataFrame, cfg: MonitorConfig) -> DataFrame:
         errors.drop("restart_count"), ["query_id"], ["timestamp", "exception_message"], "restart_count", chunk
     )
     return counted.select(*[f.name for f in schemas.STREAM_ERRORS.fields])
+
+
+def observed_metrics(bronze: DataFrame, cfg: MonitorConfig) -> DataFrame:
+    """P18 / U1 on streams: every named observation of every batch (from
+    ``DataFrame.observe``: expectation counts, quality figures), one row per
+    (stream, batch, observation, metric) with the value as a double.
+
+    The observation names and metrics are data, not schema: the document is
+    read as map<string, map<string, string>> and exploded, so any set of
+    rules lands in the same table."""
+    obs = F.from_json(F.get_json_object(F.col("details"), "$.stream_progress.observedMetrics"), "map<string,map<string,string>>")
+    p = bronze.filter(F.col("event_type") == PROGRESS_EVENT).select(
+        F.get_json_object(F.col("details"), "$.stream_progress.id").alias("query_id"),
+        sanitize_name(F.get_json_object(F.col("details"), "$.stream_progress.name")).alias("query_name"),
+        _tcast(F.get_json_object(F.col("details"), "$.stream_progress.batchId"), "bigint").alias("batch_id"),
+        F.col("timestamp"),
+        F.explode(obs).alias("observation", "_m"),
+    )
+    return p.select(
+        "query_id", "query_name", "batch_id", "timestamp", "observation",
+        F.explode("_m").alias("metric", "_v"),
+    ).select("query_id", "query_name", "batch_id", "timestamp", "observation", "metric", _tcast(F.col("_v"), "double").alias("value"), _env(cfg).alias("environment"))

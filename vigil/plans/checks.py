@@ -845,3 +845,9 @@ check("sql_alert_backpressure")(_alert_sql_check("alert_sustained_backpressure",
 check("sql_alert_duration_spike")(_alert_sql_check("alert_batch_duration_spike", MONTH))
 check("sql_alert_terminated")(_alert_sql_check("alert_stream_terminated", DAY))
 check("sql_alert_state_growth")(_alert_sql_check("alert_state_memory_growth", WEEK))
+
+
+@check("observed_metrics")
+def observed_metrics(c: Context) -> DataFrame:
+    """Every named observation of every batch, long format."""
+    return silver.observed_metrics(c.bronze, c.cfg).drop("environment")

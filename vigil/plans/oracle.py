@@ -633,3 +633,11 @@ FROM prog WHERE timestamp <= {AS_OF_END}
 GROUP BY 1, 2""")
 for _n in ("sla_breach", "backpressure", "duration_spike", "terminated", "state_growth"):
     ORACLE[f"sql_alert_{_n}"] = ORACLE[f"alert_{_n}"]
+
+ORACLE["observed_metrics"] = with_(["prog"], """
+SELECT query_id, query_name, batch_id, timestamp, 'quality' AS observation, metric, value FROM (
+  SELECT query_id, query_name, batch_id, timestamp, 'duplicate_rate' AS metric, duplicate_rate AS value FROM prog WHERE has_quality
+  UNION ALL
+  SELECT query_id, query_name, batch_id, timestamp, 'dropped_record_count', CAST(dropped_record_count AS DOUBLE) FROM prog WHERE has_quality
+  UNION ALL
+  SELECT query_id, query_name, batch_id, timestamp, 'late_record_percentage', late_record_percentage FROM prog WHERE has_quality) x""")
