@@ -89,3 +89,18 @@ def test_backtest_prunes_days_and_never_joins(stored):
     p = plan(evaluate.backtest_counts(sla.filter("sla_breach_flag"), "alert_sla_breach", "query_name", 10, 300, "2024-01-01 00:00:00", "2024-01-31 00:00:00"))
     assert "PartitionFilters: [isnotnull(event_date" in p and "Generate explode" in p
     assert "Join" not in p
+
+
+def test_incremental_refresh_reads_only_the_given_days(stored):
+    import datetime as dt
+    import os
+
+    from vigil.plans.datasets import DATASETS, Inputs
+
+    spark, paths = stored
+    root = os.path.dirname(paths["stream_progress"])
+    days = [dt.date(2024, 1, 20), dt.date(2024, 1, 21)]
+    df = DATASETS["mv_throughput_trends"].build(Inputs(spark, None, root, days=days), BASE.with_(lookback_days=None))
+    formatted = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    line = next(x for x in formatted.splitlines() if x.startswith("PartitionFilters"))
+    assert "IN (2024-01-20,2024-01-21)" in line
