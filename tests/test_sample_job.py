@@ -12,7 +12,7 @@ from vigil.config import MonitorConfig
 from vigil.operators import gold, silver
 from vigil.sources.event_log import read_event_log
 from vigil.streaming import sensors
-from vigil.streaming.listener import ProgressCapture
+from vigil.streaming.listener import ProgressCapture, wait_for_termination
 
 
 def test_sample_job_with_capture(spark):
@@ -23,14 +23,14 @@ def test_sample_job_with_capture(spark):
     cap = ProgressCapture(spark, log, cfg, batch_size=5, flush_seconds=3)
     spark.streams.addListener(cap)
     rounds = [(1, 10), (11, 20), (21, 31)]
+    ids = []
     try:
         for lo, hi in rounds:
             sensors.write_landing(sensors.readings_from_events(events.filter(F.col("_d").between(lo, hi))), landing)
-            sensors.run_ingest(spark, landing, bronze, f"{base}/_ckpt_ingest")
-            sensors.run_aggregation(spark, bronze, gold_dir, f"{base}/_ckpt_agg")
-        import time
-
-        time.sleep(2.0)
+            ids.append(str(sensors.run_ingest(spark, landing, bronze, f"{base}/_ckpt_ingest").id))
+            ids.append(str(sensors.run_aggregation(spark, bronze, gold_dir, f"{base}/_ckpt_agg").id))
+        # a query's termination event comes after all of its progress events
+        assert all(wait_for_termination(cap, i, runs=ids.count(i)) for i in set(ids))
     finally:
         spark.streams.removeListener(cap)
         cap.stop()

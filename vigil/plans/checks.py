@@ -599,18 +599,21 @@ def foreach_batch_quality(c: Context) -> DataFrame:
     return c.spark.read.parquet(out).drop("batch_id")
 
 
-def _progress_runs(c: Context, capture=None) -> str:
+def _progress_runs(c: Context) -> tuple[str, list[str]]:
     """Bronze log dropped in slices; the streaming backpressure flow drained
-    after each drop.  Returns the output folder."""
+    after each drop.  Returns the output folder and the query id of each
+    run."""
     from vigil.sources.event_log import append_event_log
     from vigil.streaming import flows
 
     base = _run_dir(c, "progress")
     bronze, out = f"{base}/bronze", f"{base}/backpressure"
+    ids = []
     for part in _time_slices(c.bronze, F.col("timestamp")):
         append_event_log(part, bronze)
-        flows.run_backpressure_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg, max_files_per_trigger=None)
-    return out
+        q = flows.run_backpressure_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg, max_files_per_trigger=None)
+        ids.append(str(q.id))
+    return out, ids
 
 
 @check("backpressure_stream")
@@ -619,7 +622,7 @@ def backpressure_stream(c: Context) -> DataFrame:
     state, applyInPandasWithState) equals the batch row frame."""
     from vigil.streaming.state import OUTPUT
 
-    return c.spark.read.schema(OUTPUT).parquet(_progress_runs(c)).drop("query_id")
+    return c.spark.read.schema(OUTPUT).parquet(_progress_runs(c)[0]).drop("query_id")
 
 
 @check("listener_capture")
@@ -627,16 +630,17 @@ def listener_capture(c: Context) -> DataFrame:
     """A listener captures the progress of a running query into
     bronze; the captured log is parsed by silver.  Rows-only."""
     from vigil.sources.event_log import read_event_log
-    from vigil.streaming.listener import ProgressCapture
+    from vigil.streaming.listener import ProgressCapture, wait_for_termination
 
     cap_dir = _run_dir(c, "capture")
     cap = ProgressCapture(c.spark, cap_dir, c.cfg, background=False)
     c.spark.streams.addListener(cap)
     try:
-        _progress_runs(c)
-        import time
-
-        time.sleep(2.0)  # listener bus is asynchronous
+        _, ids = _progress_runs(c)
+        # the listener bus is asynchronous: a query's termination event comes
+        # after all of its progress events
+        for qid in set(ids):
+            wait_for_termination(cap, qid, runs=ids.count(qid))
     finally:
         c.spark.streams.removeListener(cap)
         cap.stop()

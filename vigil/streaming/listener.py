@@ -67,6 +67,7 @@ class ProgressCapture(StreamingQueryListener):
         self.flushed = 0
         self.failed_flushes = 0
         self.terminated: set[str] = set()
+        self.terminations: dict[str, int] = {}
         self._buf: collections.deque = collections.deque()
         self._lock = threading.Lock()
         self._stop = threading.Event()
@@ -135,6 +136,7 @@ class ProgressCapture(StreamingQueryListener):
             "error_class": getattr(event, "errorClassOnException", None),
         }
         self._put("terminated", json.dumps(doc))
+        self.terminations[str(event.id)] = self.terminations.get(str(event.id), 0) + 1
         self.terminated.add(str(event.id))
 
     # -- writer ------------------------------------------------------------
@@ -227,12 +229,13 @@ def _to_event_log(raw, cfg: MonitorConfig, include_clean: bool = False):
     )
 
 
-def wait_for_termination(capture: ProgressCapture, query_id: str, timeout: float = 30.0) -> bool:
-    """Listener events arrive asynchronously; wait until the termination of
-    ``query_id`` has been seen (so every progress event before it is in)."""
+def wait_for_termination(capture: ProgressCapture, query_id: str, timeout: float = 60.0, runs: int = 1) -> bool:
+    """Listener events arrive asynchronously; wait until ``runs``
+    terminations of ``query_id`` have been seen (so every progress event
+    before them is in)."""
     end = time.monotonic() + timeout
     while time.monotonic() < end:
-        if query_id in capture.terminated:
+        if capture.terminations.get(query_id, 0) >= runs:
             return True
         time.sleep(0.1)
     return False
