@@ -117,7 +117,7 @@ def maintenance(spark: SparkSession, database: str, root: str, as_of: str, reten
     for n in names:
         t = f"{database}.{n}"
         maintain.apply_retention(spark, t, as_of, retention_days)
-        cols = [c for c in ("query_name", "cluster_id", "region", "event_type") if c in spark.table(t).columns]
+        cols = maintain.CLUSTER_BY.get(n) or [c for c in ("event_type", "timestamp") if c in spark.table(t).columns]
         maintain.compact(spark, t, os.path.join(root, f"{n}_{uuid.uuid4().hex[:8]}"), cols)
     return maintain.row_counts({n: spark.table(f"{database}.{n}") for n in names})
 

@@ -19,6 +19,16 @@ from pyspark.sql.types import StructType
 
 PARTITION = "event_date"
 
+# Clustering columns of the monitoring tables (file sort order
+# used by compaction, so min/max statistics prune by these columns).
+CLUSTER_BY = {
+    "streaming_metrics": ["event_type", "timestamp"],
+    "stream_errors": ["query_name", "timestamp"],
+    "data_quality_metrics": ["query_name", "timestamp"],
+    "sla_latency_metrics": ["query_name", "sla_breach_flag", "timestamp"],
+    "infrastructure_metrics": ["cluster_id", "timestamp"],
+}
+
 
 def _ddl_type(t) -> str:
     return t.simpleString()

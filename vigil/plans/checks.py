@@ -499,7 +499,7 @@ def compaction_preserves_rows(c: Context) -> DataFrame:
     name, loc = _table_location(c, "metrics")
     maintain.create_table(c.spark, name, schemas.EVENT_LOG_READ, loc, "bronze event log")
     maintain.append(c.bronze.repartition(16), name)
-    maintain.compact(c.spark, name, loc + "_compacted", ["event_type", "timestamp"])
+    maintain.compact(c.spark, name, loc + "_compacted", maintain.CLUSTER_BY["streaming_metrics"])
     return c.spark.table(name).groupBy("event_date").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("id").alias("distinct_ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id")
     )
