@@ -17,7 +17,7 @@ from vigil.sources.event_log import append_event_log, read_event_log
 SIDE_EFFECTS = {
     "sensor_ingest", "incremental_equals_batch", "sensor_window_agg", "foreach_batch_quality", "backpressure_stream",
     "listener_capture", "retention_filter", "compaction_preserves_rows", "materialize_datasets", "silver_flow_stream",
-    "monitoring_tables", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh",
+    "monitoring_tables", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh", "data_quality_stream",
 }
 PANDAS_ALLOWED = {"alert_rearm"}
 

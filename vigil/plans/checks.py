@@ -855,3 +855,18 @@ check("sql_alert_state_growth")(_alert_sql_check("alert_state_memory_growth", WE
 def observed_metrics(c: Context) -> DataFrame:
     """Every named observation of every batch, long format."""
     return silver.observed_metrics(c.bronze, c.cfg).drop("environment")
+
+
+@check("data_quality_stream")
+def data_quality_stream(c: Context) -> DataFrame:
+    """T3 + A7: hourly data-quality buckets kept in streaming state
+    (10-minute watermark, append mode)."""
+    from vigil.sources.event_log import append_event_log
+    from vigil.streaming import flows
+
+    base = _run_dir(c, "quality_stream")
+    bronze, out = f"{base}/bronze", f"{base}/quality"
+    for part in _time_slices(c.bronze, F.col("timestamp")):
+        append_event_log(part, bronze)
+        flows.run_quality_hourly_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg)
+    return c.spark.read.parquet(out)

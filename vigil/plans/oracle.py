@@ -641,3 +641,13 @@ SELECT query_id, query_name, batch_id, timestamp, 'quality' AS observation, metr
   SELECT query_id, query_name, batch_id, timestamp, 'dropped_record_count', CAST(dropped_record_count AS DOUBLE) FROM prog WHERE has_quality
   UNION ALL
   SELECT query_id, query_name, batch_id, timestamp, 'late_record_percentage', late_record_percentage FROM prog WHERE has_quality) x""")
+
+ORACLE["data_quality_stream"] = with_(["prog"], f"""
+SELECT query_name, date_trunc('hour', timestamp) AS time_bucket,
+       {r('AVG(duplicate_rate) * 100', 2)} AS avg_duplicate_rate_pct,
+       CAST(SUM(dropped_record_count) AS BIGINT) AS total_dropped_records,
+       {r('AVG(late_record_percentage) * 100', 2)} AS avg_late_record_pct,
+       CAST(0 AS BIGINT) AS schema_change_count, COUNT(*) AS batch_count
+FROM prog WHERE has_quality
+GROUP BY 1, 2
+HAVING date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= (SELECT MAX(timestamp) FROM prog WHERE has_quality) - INTERVAL 10 MINUTE""")

@@ -170,6 +170,13 @@ def latency_sla_stream(sla: DataFrame, cfg: MonitorConfig = MonitorConfig(), wat
     return bucketed_stream(gold.latency_sla, sla, cfg, watermark)
 
 
+def data_quality_stream(dq: DataFrame, cfg: MonitorConfig = MonitorConfig(), watermark: str = "10 minutes") -> DataFrame:
+    """A7 on a stream: hourly quality buckets emitted once closed."""
+    from vigil.operators import gold
+
+    return bucketed_stream(gold.data_quality_hourly, dq, cfg, watermark)
+
+
 def _run_append(df: DataFrame, name: str, out_dir: str, checkpoint: str):
     q = (
         df.writeStream.format("parquet")
@@ -189,6 +196,12 @@ def run_throughput_stream(spark: SparkSession, bronze_dir: str, out_dir: str, ch
     return _run_append(throughput_trends_stream(prog, cfg), "throughput_trends_stream", out_dir, checkpoint)
 
 
+def run_quality_hourly_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig):
+    """Drain the progress stream into the streaming hourly data quality."""
+    dq = silver.data_quality_metrics(silver.progress(read_event_log_stream(spark, bronze_dir), cfg), cfg)
+    return _run_append(data_quality_stream(dq, cfg), "data_quality_stream", out_dir, checkpoint)
+
+
 def run_latency_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig):
     """Drain the progress stream into the streaming latency & SLA buckets."""
     sla = silver.sla_latency_metrics(silver.progress(read_event_log_stream(spark, bronze_dir), cfg), cfg)
