@@ -104,3 +104,11 @@ def test_incremental_refresh_reads_only_the_given_days(stored):
     formatted = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     line = next(x for x in formatted.splitlines() if x.startswith("PartitionFilters"))
     assert "IN (2024-01-20,2024-01-21)" in line
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+def test_every_check_scans_the_given_tables(spark, name):
+    """Each registered query reads the given parquet tables (its work grows
+    with them); none runs on made-up input alone."""
+    p = plan(E.queries()[name](spark, SF0001))
+    assert "FileScan parquet" in p and "testdata/sf0.001" in p, name
