@@ -35,16 +35,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the required settings to an existing session (idempotent)."""
+    """Apply the required settings to an existing session and make the
+    package importable on executors (idempotent)."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Ship this package to the executors' Python workers (``addPyFile``),
+    once per SparkContext.  The grouped pandas functions (re-arm fold,
+    streaming per-stream state) are imported there by module name; a
+    cluster job would pass the same archive with ``--py-files``."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the package is deployed with the job
+        return
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="vigil-pkg-"), "vigil.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(archive)
+    sc._vigil_shipped = True
+
+
 _LOCAL_CHECKPOINT_DIR: str | None = None
 
 
