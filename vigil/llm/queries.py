@@ -8,12 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import simhash
+from vigil.llm import packing, quality, simhash
 from vigil.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition measures and the quality verdict of every document."""
+    return quality.repetition(table(spark, sf_dir, "documents"))
+
+
+def op3_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op8_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents (3-word shingles, 3 bits)."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -21,6 +31,8 @@ def op8_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_suffix_array_repetition": op1_suffix_array_repetition,
+    "op3_residual_packing": op3_residual_packing,
     "op8_simhash_gray_index": op8_simhash_gray_index,
 }
 ORACLE: dict[str, str] = {}
