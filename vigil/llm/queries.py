@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import packing, quality, simhash
+from vigil.llm import lines, packing, quality, simhash
 from vigil.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +30,15 @@ def op8_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_fuzzy_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that stay: one of each near-equal set."""
+    return lines.kept_lines(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_suffix_array_repetition": op1_suffix_array_repetition,
     "op3_residual_packing": op3_residual_packing,
     "op8_simhash_gray_index": op8_simhash_gray_index,
+    "op9_fuzzy_line_minhash": op9_fuzzy_line_minhash,
 }
 ORACLE: dict[str, str] = {}
