@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import lines, packing, quality, simhash
+from vigil.llm import decontam, lines, packing, quality, simhash
 from vigil.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,10 +35,16 @@ def op9_fuzzy_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.kept_lines(table(spark, sf_dir, "documents"))
 
 
+def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it overlaps."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_suffix_array_repetition": op1_suffix_array_repetition,
     "op3_residual_packing": op3_residual_packing,
     "op8_simhash_gray_index": op8_simhash_gray_index,
     "op9_fuzzy_line_minhash": op9_fuzzy_line_minhash,
+    "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
 ORACLE: dict[str, str] = {}
