@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chat, decontam, lines, packing, quality, secrets, simhash
-from vigil.llm.common import table
+from vigil.llm import chat, decontam, lines, packing, quality, secrets, simhash, warc
+from vigil.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,13 @@ def op3_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op4_warc_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    path = Scratch(spark, "warc").path("archives")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path)
+
+
 def op6_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credentials in every document: base patterns and learned formats."""
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
@@ -58,6 +65,7 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 REGISTRY: dict[str, Query] = {
     "op1_suffix_array_repetition": op1_suffix_array_repetition,
     "op3_residual_packing": op3_residual_packing,
+    "op4_warc_data_source": op4_warc_data_source,
     "op6_grammar_secrets": op6_grammar_secrets,
     "op7_chat_round_trip": op7_chat_round_trip,
     "op8_simhash_gray_index": op8_simhash_gray_index,
@@ -71,6 +79,14 @@ _TURNS = """
 """
 
 ORACLE: dict[str, str] = {
+    "op4_warc_data_source": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages),
+last AS (SELECT html, max(page_id) AS page_id FROM p WHERE bytes >= 1000 GROUP BY html)
+SELECT p.page_id, p.bytes AS payload_bytes, sha1(p.html) AS payload_digest,
+    CASE WHEN last.page_id > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN last.page_id > p.page_id THEN last.page_id END AS refers_to
+FROM p LEFT JOIN last ON p.bytes >= 1000 AND last.html = p.html
+""",
     "op7_chat_round_trip": f"""
 WITH turns AS ({_TURNS}),
 -- a turn conflicts if its text closes it or holds something that unescaping would change
