@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chat, decontam, lines, packing, quality, secrets, simhash, warc
+from vigil.llm import chat, decontam, lines, packing, pagetext, quality, secrets, simhash, warc
 from vigil.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op4_warc_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op5_url_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pagetext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credentials in every document: base patterns and learned formats."""
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
@@ -66,6 +71,7 @@ REGISTRY: dict[str, Query] = {
     "op1_suffix_array_repetition": op1_suffix_array_repetition,
     "op3_residual_packing": op3_residual_packing,
     "op4_warc_data_source": op4_warc_data_source,
+    "op5_url_differencing": op5_url_differencing,
     "op6_grammar_secrets": op6_grammar_secrets,
     "op7_chat_round_trip": op7_chat_round_trip,
     "op8_simhash_gray_index": op8_simhash_gray_index,
