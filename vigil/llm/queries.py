@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chat, decontam, lines, packing, pagetext, quality, secrets, simhash, warc
-from vigil.llm.common import Scratch, table
+from vigil.llm import chat, decontam, lines, packing, pagetext, quality, secrets, simhash, toxicity, warc
+from vigil.llm.common import Scratch, bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,17 @@ def op1_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents"))
 
 
+def op2_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of held-out rows are never read."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rules = toxicity.ToxicRules()
+    bounded_batches(spark)
+    seen = labels.where(~toxicity.held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    model = toxicity.fit(docs, seen, rules, Scratch(spark, "toxicity"))
+    out = toxicity.toxicity(docs, model)
+    return out.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op3_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
@@ -69,6 +80,7 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 
 REGISTRY: dict[str, Query] = {
     "op1_suffix_array_repetition": op1_suffix_array_repetition,
+    "op2_levenshtein_toxicity": op2_levenshtein_toxicity,
     "op3_residual_packing": op3_residual_packing,
     "op4_warc_data_source": op4_warc_data_source,
     "op5_url_differencing": op5_url_differencing,
