@@ -142,8 +142,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rules: SeedRules = Seed
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, rules: SeedRules = SeedRules()) -> DataFrame:
-    """The rows of ``docs``, with their columns, that overlap no item."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    """The rows of ``docs``, with their columns, whose text overlaps no item.
+
+    The verdict belongs to the text (known by its hash), so repeated and null
+    doc_ids need no rule."""
+    key = F.xxhash64(F.col("text").cast("string"))
+    src = docs.select(key.alias("doc_id"), F.col("text"))
     scratch = Scratch(docs.sparkSession, "decontam-docs")
-    found = scratch.save(overlaps(src, benchmark, rules).select(F.col("doc_id").alias("_doc")).distinct(), "found")
-    return docs.join(broadcast_if_small(found, found.count(), BROADCAST_ROWS), docs["doc_id"].cast("long").eqNullSafe(found["_doc"]), "left_anti")
+    found = scratch.save(overlaps(src, benchmark, rules).select(F.col("doc_id").alias("_text")).distinct(), "found")
+    return docs.join(broadcast_if_small(found, found.count(), BROADCAST_ROWS), key == F.col("_text"), "left_anti")
