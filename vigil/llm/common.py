@@ -76,3 +76,11 @@ def broadcast_if_small(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted ``rows`` are within
     ``max_rows``; else as it is, for Spark's shuffled join."""
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

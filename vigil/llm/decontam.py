@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import Scratch, broadcast_if_small
+from vigil.llm.common import Scratch, broadcast_if_small, fresh
 
 #: Words of a document handled as one row, and the words that neighbouring
 #: rows share, so that every hit has its surroundings in one of them.
@@ -149,5 +149,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, rules: SeedRules = Se
     key = F.xxhash64(F.col("text").cast("string"))
     src = docs.select(key.alias("doc_id"), F.col("text"))
     scratch = Scratch(docs.sparkSession, "decontam-docs")
-    found = scratch.save(overlaps(src, benchmark, rules).select(F.col("doc_id").alias("_text")).distinct(), "found")
-    return docs.join(broadcast_if_small(found, found.count(), BROADCAST_ROWS), key == F.col("_text"), "left_anti")
+    found = scratch.save(overlaps(src, benchmark, rules).select(F.col("doc_id").alias(fresh(docs, "_text"))).distinct(), "found")
+    return docs.join(broadcast_if_small(found, found.count(), BROADCAST_ROWS), key == found[found.columns[0]], "left_anti")
