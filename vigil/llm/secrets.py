@@ -41,8 +41,10 @@ class SecretRules:
     least_values: int = 20
     alpha: float = 0.05
     margin: float = math.log(1000)
-    #: Part of a format's own values that may score below the bound per symbol.
+    #: The bound per symbol: what this part of a format's own values falls
+    #: below, less some slack.
     tail: float = 0.02
+    slack: float = 0.05
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -162,16 +164,25 @@ class Automaton:
             total = s.n + 0.1 * (len(alphabet) + 1)
             self.steps.append({c: (place.get(id(s.to.get(c)), 0), math.log((s.count.get(c, 0) + 0.1) / total)) for c in sorted(alphabet)})
             self.ends.append(math.log((s.end + 0.1) / total))
-        per_symbol = sorted(self.score(v) / (len(v) + 1) for v in values)
-        self.least = per_symbol[int(rules.tail * len(per_symbol))]
+        typical = sorted(self.per_symbol(v) for v in values)
+        self.least = typical[int(rules.tail * len(typical))] - rules.slack
 
-    def score(self, value: str) -> float:
+    def _walk(self, value: str) -> tuple[float, int]:
         at, total = 0, 0.0
         for c in value:
             at, p = self.steps[at].get(c, (at, self.unseen))
             total += p
+        return total, at
+
+    def score(self, value: str) -> float:
+        """Log-probability of the string."""
+        total, at = self._walk(value)
         return total + self.ends[at]
 
+    def per_symbol(self, value: str) -> float:
+        """Mean log-probability of its symbols, whatever its length."""
+        return self._walk(value)[0] / max(1, len(value))
+
 
 def fit(labelled: dict[str, list[str]], rules: SecretRules) -> dict[str, Automaton]:
     return {kind: Automaton(v, rules) for kind, v in labelled.items() if len(v) >= rules.least_values}
@@ -180,7 +191,7 @@ def fit(labelled: dict[str, list[str]], rules: SecretRules) -> dict[str, Automat
 def is_credential(value: str, formats: dict[str, Automaton], rules: SecretRules) -> bool:
     rest = formats[REST].score(value) if REST in formats else -math.log(66) * (len(value) + 1)
     for kind, a in formats.items():
-        if kind != REST and (p := a.score(value)) - rest >= rules.margin and p / (len(value) + 1) >= a.least:
+        if kind != REST and a.score(value) - rest >= rules.margin and a.per_symbol(value) >= a.least:
             return True
     return False
 

@@ -289,7 +289,8 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicRules, scratch: Scratch)
     by_hash = [F.xxhash64("_doc"), F.col("_doc")]
     sample = rated.where("toxic = 1").orderBy(*by_hash).limit(rules.toxic_sample).unionAll(rated.where("toxic = 0").orderBy(*by_hash).limit(rules.clean_sample))
     # bounded by the two sample sizes, so always broadcast
-    train = docs.join(F.broadcast(sample), docs["doc_id"].cast("long") == F.col("_doc")).select(docs["text"].cast("string").alias("text"), "toxic")
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    train = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_doc")).select("text", "toxic")
     train = scratch.save(train, "sample")
     sizes = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
