@@ -239,3 +239,66 @@ def test_rule_operators(spark, op, expected):
     rules = [("r", "d", 60, op, None, "value", 2.0, "warning", "slack", 60, "x")]
     out = sorted((r.entity, r.fired) for r in evaluate.evaluate(evals, rules).collect())
     assert [f for _, f in out] == expected
+
+
+def test_round_half_up_of_large_values(spark):
+    from vigil.functions.core import round_half_up
+
+    df = spark.createDataFrame([(1e13,), (2.675,), (-1.005,), (float("nan"),), (None,), (1e300,)], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    assert got[:3] == [1e13, 2.68, -1.01] and got[3] != got[3] and got[4] is None and got[5] == 1e300
+
+
+def test_many_rules_join_and_unknown_operator(spark):
+    import pytest
+
+    from vigil import schemas
+    from vigil.operators import evaluate
+
+    first = dict(zip(evaluate.RULE_FIELDS, evaluate.RULES[0]))
+    rows = [tuple({**first, "name": f"r{i}", "query_name": f"d{i}", "op": "GREATER_THAN", "threshold": 1.0}[f] for f in evaluate.RULE_FIELDS) for i in range(10_001)]
+    rules = spark.createDataFrame(rows, schemas.ALERT_RULE)
+    ev = spark.createDataFrame([("d10000", "a", 2.0), ("d3", "b", 0.5), ("none", "c", 9.0)], "query_name string, entity string, value double")
+    got = sorted((r.name, r.fired) for r in evaluate.evaluate(ev, rules).collect())
+    assert got == [("r10000", True), ("r3", False)]
+    bad = tuple({**first, "query_name": "d3", "op": "BIGGER"}[f] for f in evaluate.RULE_FIELDS)
+    with pytest.raises(Exception, match="unknown rule operator"):
+        evaluate.evaluate(ev, [bad]).collect()
+
+
+def test_streams_have_no_clock_filter(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from vigil.config import MonitorConfig
+    from vigil.operators import gold
+
+    spark.range(5).select(F.lit("prod").alias("environment"), (F.current_timestamp() + F.expr("INTERVAL 2 HOURS")).alias("timestamp")).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("environment string, timestamp timestamp").parquet(str(tmp_path / "in"))
+    cfg = MonitorConfig(lookback_days=None, as_of=None)
+    q = gold.scoped(stream, cfg).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert gold.scoped(spark.read.parquet(str(tmp_path / "in")), cfg).count() == 0
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    import pytest
+
+    from vigil import session
+
+    class Sc:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        sparkContext = Sc()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Fake())

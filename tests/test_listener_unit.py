@@ -39,14 +39,24 @@ def test_progress_callback_is_microseconds(spark):
     assert us < 100, us  # an append to a bounded buffer, no parsing, no Spark call
 
 
-def test_full_buffer_drops_and_counts(spark):
+def test_full_buffer_is_written_and_loses_nothing(spark):
     out = tempfile.mkdtemp(prefix="vigil-lu-")
     cap = ProgressCapture(spark, out, MonitorConfig(), max_queued=10, background=False)
     for i in range(25):
         cap.onQueryProgress(_event(i))
-    assert cap.dropped == 15
-    assert cap.flush() == 10
-    assert spark.read.parquet(out).count() == 10
+    assert cap.flushed == 20 and cap.flush() == 5
+    assert spark.read.parquet(out).count() == 25
+
+
+def test_full_buffer_waits_while_writes_fail(spark):
+    out = tempfile.mkdtemp(prefix="vigil-lu-")
+    cap = ProgressCapture(spark, out, MonitorConfig(), max_queued=4, background=False)
+    cap.bronze_dir = "/proc/no-such-dir/bronze"
+    for i in range(6):
+        cap.onQueryProgress(_event(i))
+    assert cap.failed_flushes == 3
+    cap.bronze_dir = out
+    assert cap.flush() == 6 and spark.read.parquet(out).count() == 6
 
 
 def test_background_flush_on_size(spark):
@@ -95,7 +105,7 @@ def test_failed_flush_keeps_records(spark):
     except Exception:
         pass
     cap.bronze_dir = out
-    assert cap.flush() == 3 and cap.dropped == 0
+    assert cap.flush() == 3
     assert spark.read.parquet(out).count() == 3
 
 

@@ -23,8 +23,11 @@ def round_half_up(c: str | Column, n: int) -> Column:
 
     The value is first fixed to 6 decimals, then rounded half-up, so that an
     average whose last binary digit differs between engines rounds the same.
+    Values of 10^12 or more (and NaN) do not fit those decimals and are
+    rounded as doubles.
     """
-    return F.round(col_(c).cast("decimal(18,6)"), n).cast("double")
+    x = col_(c).cast("double")
+    return F.when(F.abs(x) < 1e12, F.round(x.cast("decimal(18,6)"), n).cast("double")).otherwise(F.round(x, n))
 
 
 def sanitize_name(c: str | Column) -> Column:
@@ -126,17 +129,3 @@ def to_ntz(df):
 def event_id(*parts: str | Column) -> Column:
     """Deterministic event id (replays of one batch get the same id)."""
     return F.sha2(F.concat_ws("|", *[col_(p).cast("string") for p in parts]), 256)
-
-
-# Largest dimension table (rows) broadcast to every task.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df, max_rows: int = MAX_BROADCAST_ROWS):
-    """Broadcast ``df`` only after checking its size: at most ``max_rows``
-    rows (counted with ``limit``, so a huge table costs one partial scan).
-    A larger table is returned as is and joined by shuffle."""
-    from pyspark.sql import functions as _F
-
-    n = df.limit(max_rows + 1).count()
-    return _F.broadcast(df) if n <= max_rows else df

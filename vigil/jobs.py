@@ -46,7 +46,7 @@ def detector_evaluations(prog: DataFrame, errors: DataFrame, sla: DataFrame, cfg
     (detector, entity, value, evaluated_at) rows."""
     c = cfg.with_(as_of=as_of)
     ev = evaluate.to_evaluations
-    sp = alerts.duration_spike_candidates(prog, c).orderBy(F.col("spike_factor").desc(), "query_id", "batch_id").limit(10)
+    sp = alerts.duration_spike_candidates(prog, c)
     sp = sp.withColumn("_e", F.concat_ws("/", "query_name", F.col("batch_id").cast("string")))
     parts = [
         ev(alerts.sla_breach(sla, c), "alert_sla_breach", "query_name", "breach_count", as_of),

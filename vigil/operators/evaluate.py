@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 from vigil import config as C
 from vigil import schemas
-from vigil.functions.core import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # The five alert rules (name, detector, schedule s, operator,
@@ -71,66 +70,41 @@ def to_evaluations(result: DataFrame, detector: str, entity_col: str, value_col:
     return result.select(F.lit(detector).alias("query_name"), F.col(entity_col).cast("string").alias("entity"), F.col("_v").alias("value"), at.alias("evaluated_at"))
 
 
-MAX_RULES = 10_000
-
-
 RULE_FIELDS = [f.name for f in schemas.ALERT_RULE.fields]
 
-
-def rule_lookup(rules):
-    """detector name -> array of rule structs, as one literal map column.
-
-    Rules are configuration, given as a DataFrame or as rule tuples (the
-    ``RULES`` layout).  Their count is checked (at most ``MAX_RULES``) before
-    they are read on the driver and shipped inside the plan, so every task
-    can attach them to its rows without a join."""
-    if isinstance(rules, DataFrame):
-        rows = rules.limit(MAX_RULES + 1).collect()
-    else:
-        rows = [dict(zip(RULE_FIELDS, r)) for r in rules]
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} alert rules")
-    by_detector: dict[str, list] = {}
-    for r in rows:
-        by_detector.setdefault(r["query_name"], []).append(
-            F.struct(
-                F.lit(r["name"]).alias("name"),
-                F.lit(r["op"]).alias("op"),
-                F.lit(float(r["threshold"])).alias("threshold"),
-                F.lit(r["severity"]).alias("severity"),
-                F.lit(int(r["rearm_seconds"])).alias("rearm_seconds"),
-                F.lit(r["description"]).cast("string").alias("description"),
-            )
-        )
-    if not by_detector:
-        return F.create_map().cast("map<string,array<struct<name:string,op:string,threshold:double,severity:string,rearm_seconds:int,description:string>>>")
-    return F.create_map(*[x for q, lst in by_detector.items() for x in (F.lit(q), F.array(*lst))])
+OPERATORS = {
+    "GREATER_THAN": lambda v, t: v > t,
+    "GREATER_THAN_OR_EQUAL": lambda v, t: v >= t,
+    "LESS_THAN": lambda v, t: v < t,
+    "LESS_THAN_OR_EQUAL": lambda v, t: v <= t,
+    "EQUAL": lambda v, t: v == t,
+    "NOT_EQUAL": lambda v, t: v != t,
+}
 
 
 def evaluate(evaluations: DataFrame, rules=RULES) -> DataFrame:
-    """Attach each rule of the row's detector and test the condition.
+    """Join each row with the rules of its detector (a rule table or
+    rule tuples) and test the condition.
 
     A row of a detector with several rules yields one row per rule; a row
-    of a detector without rules yields none."""
-    rule = F.explode(F.try_element_at(rule_lookup(rules), F.col("query_name")))
-    j = evaluations.select("*", rule.alias("_r")).select(*evaluations.columns, "_r.*")
+    of a detector without rules yields none.  A rule whose ``op`` is unknown
+    stops the job instead of never firing."""
+    if not isinstance(rules, DataFrame):
+        rules = evaluations.sparkSession.createDataFrame([tuple(r) for r in rules], schemas.ALERT_RULE)
+    r = rules.select(F.col("query_name").alias("_detector"), "name", "op", "threshold", "severity", "rearm_seconds", "description")
+    j = evaluations.join(r, F.col("query_name") == F.col("_detector")).drop("_detector")
     v, t, op = F.col("value"), F.col("threshold"), F.col("op")
-    fired = F.when(op == "GREATER_THAN", v > t)
-    for name, test in (
-        ("GREATER_THAN_OR_EQUAL", v >= t),
-        ("LESS_THAN", v < t),
-        ("LESS_THAN_OR_EQUAL", v <= t),
-        ("EQUAL", v == t),
-        ("NOT_EQUAL", v != t),
-    ):
-        fired = fired.when(op == name, test)
+    fired = F.when(op.isNull(), F.raise_error(F.concat(F.lit("rule without an operator: "), F.col("name"))).cast("boolean"))
+    for name, test in OPERATORS.items():
+        fired = fired.when(op == name, test(v, t))
+    fired = fired.otherwise(F.raise_error(F.concat(F.lit("unknown rule operator: "), op)).cast("boolean"))
     # a null value (no data) never fires
     return j.withColumn("fired", F.coalesce(fired, F.lit(False)))
 
 
 def route(evaluated: DataFrame, escalation: DataFrame, environment: str) -> DataFrame:
     """U8 + U10: fired alerts with their channel and notification text."""
-    e = bounded_broadcast(escalation.withColumnRenamed("severity", "_sev"))
+    e = escalation.withColumnRenamed("severity", "_sev")
     f = evaluated.filter(F.col("fired")).join(e, F.col("severity") == F.col("_sev"), "left").drop("_sev")
     body = F.format_string(C.ALERT_MESSAGE, F.col("name"), F.col("severity"), F.lit(environment), F.col("description"))
     return f.withColumn("message", body)
@@ -207,22 +181,17 @@ def backtest_backpressure(prog: DataFrame, lookback_minutes: int, step_seconds:
     return g.select(F.lit("alert_sustained_backpressure").alias("query_name"), F.col("query_name").alias("entity"), "value", F.timestamp_seconds("_t").alias("evaluated_at"))
 
 
-def backtest_duration_spike(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end, factor: float = 3.0, history: int = 20, top: int = 10) -> DataFrame:
+def backtest_duration_spike(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end, factor: float = 3.0, history: int = 20) -> DataFrame:
     """U9 for alert 3: per grid instant, spikes against the average of the
-    previous ``history`` batches inside the lookback, the ``top`` largest
-    (ties by stream, batch); value = unrounded factor."""
+    previous ``history`` batches inside the lookback, every one of them;
+    value = unrounded factor."""
     from pyspark.sql import Window
 
-    from vigil.functions.core import round_half_up
-
     t = backtest_rows(prog, lookback_minutes, step_seconds, start, end).select("query_id", "query_name", "batch_id", "batch_duration_ms", "_t")
     avg = F.avg("batch_duration_ms").over(Window.partitionBy("_t", "query_id").orderBy("batch_id").rowsBetween(-history, -1))
     c = t.select("*", avg.alias("_avg")).filter((F.col("batch_duration_ms") > F.lit(factor) * F.col("_avg")) & F.col("_avg").isNotNull())
     raw = F.col("batch_duration_ms") / F.nullif(F.col("_avg"), F.lit(0.0))
-    c = c.select("*", raw.alias("_raw"), round_half_up(raw, 2).alias("_sf"))
-    rank = F.row_number().over(Window.partitionBy("_t").orderBy(F.col("_sf").desc(), "query_id", "batch_id"))
-    k = c.select("*", rank.alias("_rk")).filter(F.col("_rk") <= top)
-    return k.select(
+    return c.select("*", raw.alias("_raw")).select(
         F.lit("alert_batch_duration_spike").alias("query_name"),
         F.concat_ws("/", "query_name", F.col("batch_id").cast("string")).alias("entity"),
         F.col("_raw").alias("value"),

@@ -26,7 +26,12 @@ def scoped(df: DataFrame, cfg: MonitorConfig, ts: str = "timestamp") -> DataFram
 
     On tables stored by day the same range is also stated on ``event_date``
     so that the scan prunes partitions."""
-    cond = (F.col("environment") == F.lit(cfg.environment)) & lookback_days_filter(ts, cfg.as_of, cfg.lookback_days)
+    cond = F.col("environment") == F.lit(cfg.environment)
+    if df.isStreaming and cfg.as_of is None and cfg.lookback_days is None:
+        # no clock on a stream: a row stamped ahead of the driver would be
+        # lost for ever, where a batch run shows it later
+        return df.filter(cond)
+    cond = cond & lookback_days_filter(ts, cfg.as_of, cfg.lookback_days)
     if "event_date" in df.columns:
         cond = cond & partition_days_filter(cfg.as_of, days=cfg.lookback_days)
     return df.filter(cond)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vigil import config as C
 from vigil import schemas
 from vigil.config import MonitorConfig
-from vigil.functions.core import bounded_broadcast, fold_sum, iso_timestamp, ms_between, null_safe_gt, sanitize_name, seconds_between
+from vigil.functions.core import fold_sum, iso_timestamp, ms_between, null_safe_gt, sanitize_name, seconds_between
 
 PROGRESS_EVENT = "stream_progress"
 ERROR_LEVELS = ("ERROR", "WARN")
@@ -46,9 +46,8 @@ def streaming_metrics(bronze: DataFrame, cfg: MonitorConfig, tags: DataFrame | N
     workspace and business tags (criticality defaults to ``medium``).
 
     ``tags`` is a dimension table (one row per query id); it is joined on the
-    query id carried in ``origin.flow_id``.  It is broadcast after a size
-    check (``bounded_broadcast``); a larger table falls back to a shuffle
-    join.
+    query id carried in ``origin.flow_id``; Spark picks the join by the size
+    it measures.
     """
     df = bronze.filter(F.col("event_type") == PROGRESS_EVENT).select(
         *[F.col(c) for c in (f.name for f in schemas.EVENT_LOG.fields)],
@@ -59,9 +58,7 @@ def streaming_metrics(bronze: DataFrame, cfg: MonitorConfig, tags: DataFrame | N
     if tags is None:
         df = df.select("*", F.lit(None).cast("string").alias("_domain"), F.lit(None).cast("string").alias("_owner"), F.lit(None).cast("string").alias("_crit"))
     else:
-        t = bounded_broadcast(
-            tags.select(F.col("query_id").alias("_tqid"), F.col("domain").alias("_domain"), F.col("owner").alias("_owner"), F.col("criticality").alias("_crit"))
-        )
+        t = tags.select(F.col("query_id").alias("_tqid"), F.col("domain").alias("_domain"), F.col("owner").alias("_owner"), F.col("criticality").alias("_crit"))
         df = df.join(t, df["_qid"] == t["_tqid"], "left").drop("_tqid")
     return df.select(
         *[f.name for f in schemas.EVENT_LOG.fields],

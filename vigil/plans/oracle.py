@@ -426,12 +426,10 @@ EVALS = f"""
         FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, WEEK)}) x
   WHERE rn <= 5 GROUP BY query_id, query_name
   UNION ALL
-  SELECT * FROM (
     SELECT 'streaming_batch_duration_spike', query_name || '/' || CAST(batch_id AS VARCHAR), batch_duration_ms / NULLIF(avg20, 0), 3.0, 'warning'
     FROM (SELECT *, AVG(batch_duration_ms) OVER (PARTITION BY query_id ORDER BY batch_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS avg20
           FROM prog WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, MONTH)}) x
     WHERE batch_duration_ms > 3.0 * avg20 AND avg20 IS NOT NULL
-    ORDER BY {r('batch_duration_ms / NULLIF(avg20, 0)', 2)} DESC, query_id, batch_id LIMIT 10)
   UNION ALL
   SELECT 'streaming_stream_terminated', query_id, CAST(COUNT(*) AS DOUBLE), 0.0, 'failure'
   FROM errs WHERE environment = 'prod' AND {lookback_minutes(AS_OF_END, DAY)} GROUP BY query_id
@@ -590,12 +588,11 @@ w AS (
   SELECT *, AVG(batch_duration_ms) OVER (PARTITION BY t, query_id ORDER BY batch_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS a
   FROM r WHERE t >= 1704067200 AND t <= 1706659200),
 c AS (
-  SELECT *, batch_duration_ms / NULLIF(a, 0) AS raw, {r('batch_duration_ms / NULLIF(a, 0)', 2)} AS sf
-  FROM w WHERE batch_duration_ms > 3.0 * a AND a IS NOT NULL),
-k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY t ORDER BY sf DESC, query_id, batch_id) AS rk FROM c)
+  SELECT *, batch_duration_ms / NULLIF(a, 0) AS raw
+  FROM w WHERE batch_duration_ms > 3.0 * a AND a IS NOT NULL)
 SELECT 'streaming_batch_duration_spike' AS name, query_name || '/' || CAST(batch_id AS VARCHAR) AS entity,
        TIMESTAMP '1970-01-01 00:00:00' + t * INTERVAL 1 SECOND AS evaluated_at, raw AS value, raw > 3.0 AS fired
-FROM k WHERE rk <= 10""")
+FROM c""")
 
 ORACLE["throughput_trends_stream"] = with_(["prog"], f"""
 SELECT query_name, time_bucket(INTERVAL '1 minute', timestamp) AS time_bucket,

@@ -80,8 +80,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) is a scratch folder created
-    and registered."""
+    as is.  Only a local master (tests) gets a scratch folder when it is
+    unset; a cluster without one is an error, since executors and driver
+    share no other folder."""
     global _LOCAL_CHECKPOINT_DIR
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -94,6 +95,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = None
     if d:
         return d
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _LOCAL_CHECKPOINT_DIR is None:
         _LOCAL_CHECKPOINT_DIR = tempfile.mkdtemp(prefix="vigil-ckpt-")
     try:
@@ -108,10 +111,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for stream checkpoints
     and staged tables."""
-    base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") else base
-    path = os.path.join(base, name)
-    return path
+    return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
 def cluster_settings(total_cores: int, shuffle_bytes_hint: int | None = None) -> dict[str, str]:

@@ -6,8 +6,8 @@ so the listener bus is never blocked.  ``flush`` turns the buffered
 documents into event-log rows with Spark expressions (same code as the
 silver layer) and appends them to the bronze folder; a background thread
 flushes on size (50) or age (10 s), and ``stop`` drains what is left.
-Overflow drops the newest record and counts it; a failed write puts its
-records back into the buffer.
+A callback that finds the buffer at its bound writes it; a failed write puts
+its records back into the buffer.  No record is dropped.
 """
 
 from __future__ import annotations
@@ -63,7 +63,6 @@ class ProgressCapture(StreamingQueryListener):
         self.batch_size = batch_size
         self.flush_seconds = flush_seconds
         self.max_queued = max_queued
-        self.dropped = 0
         self.flushed = 0
         self.failed_flushes = 0
         self.terminated: set[str] = set()
@@ -81,10 +80,16 @@ class ProgressCapture(StreamingQueryListener):
     # -- listener callbacks: append only ---------------------------------
     def _put(self, kind: str, payload: str) -> None:
         with self._lock:
-            if len(self._buf) >= self.max_queued:
-                self.dropped += 1
-                return
             self._buf.append((kind, payload, datetime.now(timezone.utc).replace(tzinfo=None)))
+            full = len(self._buf) >= self.max_queued
+        if full:
+            # the writer is behind: this callback writes, so that the buffer
+            # stays bounded and no record is lost; if the write fails the
+            # records wait in the buffer for the next one
+            try:
+                self.flush()
+            except Exception:
+                self.failed_flushes += 1
 
     def onQueryStarted(self, event) -> None:
         # remembered so that the termination row carries the stream's name
@@ -165,13 +170,9 @@ class ProgressCapture(StreamingQueryListener):
             append_event_log(_to_event_log(df, self.cfg, self.include_clean), self.bronze_dir)
         except Exception:
             # a failed write loses nothing: the records go back to the front of
-            # the buffer (what no longer fits is counted as dropped)
+            # the buffer, over its bound if need be
             with self._lock:
-                for r in reversed(rows):
-                    if len(self._buf) < self.max_queued:
-                        self._buf.appendleft(r)
-                    else:
-                        self.dropped += 1
+                self._buf.extendleft(reversed(rows))
             raise
         self.flushed += len(rows)
         return len(rows)
