@@ -29,8 +29,38 @@ def test_pipeline_then_alerts_then_maintenance(spark):
     db = "vigil_jobs_db"
     maintain.create_monitoring_tables(spark, db, f"{root}/catalog")
     maintain.append(c.bronze, f"{db}.raw_events")
-    counts = {r.table_name: r.row_count for r in jobs.maintenance(spark, db, f"{root}/compacted", "2024-01-31 00:00:00", 20).collect()}
+    counts = {r.table_name: r.row_count for r in jobs.maintenance(spark, db, "2024-01-31 00:00:00", 20).collect()}
     assert counts["raw_events"] == c.bronze.filter(F.to_date("timestamp") >= "2024-01-11").count()
+    # the same over tables declared on the pipeline's own folders
+    spark.sql("CREATE DATABASE IF NOT EXISTS vigil_lake_db")
+    for t in ("stream_errors", "stream_progress", "mv_stream_overview"):
+        spark.catalog.createTable(f"vigil_lake_db.{t}", path=out[t], source="parquet")
+    rows = spark.read.parquet(out["stream_errors"]).filter(F.col("event_date") >= "2024-01-11").count()
+    for _ in range(2):
+        counts = {r.table_name: r.row_count for r in jobs.maintenance(spark, "vigil_lake_db", "2024-01-31 00:00:00", 20).collect()}
+        assert counts["stream_errors"] == rows == spark.read.parquet(out["stream_errors"]).count() and counts["mv_stream_overview"] == 5
+
+
+def test_batches_and_swaps_are_idempotent(spark):
+    root = tempfile.mkdtemp(prefix="vigil-batch-")
+    db = "vigil_swap_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.t (x bigint, event_date date) USING parquet PARTITIONED BY (event_date) LOCATION '{root}/t'")
+    df = spark.range(100).select(F.col("id").alias("x"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("event_date"))
+    for batch in (0, 1, 1, 0, 2):  # batches 0 and 1 are repeated
+        days = maintain.write_batch(df.repartition(3), f"{root}/t", "src", batch)
+        maintain.register_days(spark, f"{db}.t", days)
+    assert spark.table(f"{db}.t").count() == 300
+    # a swap cut off after its journal is finished by the next run
+    store = maintain._Store(spark, f"{root}/t")
+    old = [f"{d}/{f}" for d, f, _ in store.files("event_date=2024-01-01/*.parquet")]
+    spark.table(f"{db}.t").where("event_date = '2024-01-01'").coalesce(1).write.partitionBy("event_date").parquet(f"{root}/t/_compact/new")
+    import json
+
+    store.write("_compact/journal.json", json.dumps(old))
+    assert maintain.compact(spark, f"{db}.t", ["x"]) == ["2024-01-02", "2024-01-03"]
+    assert spark.table(f"{db}.t").count() == 300 and len(store.files("event_date=*/*.parquet")) == 3
+    assert maintain.compact(spark, f"{db}.t", ["x"]) == []
 
 
 def test_alerts_job_rearm_across_runs(spark):

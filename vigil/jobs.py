@@ -9,7 +9,7 @@
 
     python -m vigil.jobs pipeline --bronze DIR --root DIR [--environment prod]
     python -m vigil.jobs alerts --root DIR [--as-of "2024-01-31 00:00:00"]
-    python -m vigil.jobs maintenance --database DB --root DIR [--retention-days 90]
+    python -m vigil.jobs maintenance --database DB --as-of TS [--retention-days 90]
 """
 
 from __future__ import annotations
@@ -108,17 +108,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def maintenance(spark: SparkSession, database: str, root: str, as_of: str, retention_days: int = C.RETENTION_DAYS) -> DataFrame:
-    """Retention, compaction (location swap) and row counts for every table
-    of ``database``."""
-    import uuid
-
+def maintenance(spark: SparkSession, database: str, as_of: str, retention_days: int = C.RETENTION_DAYS) -> DataFrame:
+    """Retention and compaction of every table of ``database`` that is stored
+    by day, and row counts of all."""
     names = maintain.list_tables(spark, database)
     for n in names:
         t = f"{database}.{n}"
+        if maintain.PARTITION not in spark.table(t).columns:
+            continue
         maintain.apply_retention(spark, t, as_of, retention_days)
         cols = maintain.CLUSTER_BY.get(n) or [c for c in ("event_type", "timestamp") if c in spark.table(t).columns]
-        maintain.compact(spark, t, os.path.join(root, f"{n}_{uuid.uuid4().hex[:8]}"), cols)
+        maintain.compact(spark, t, cols)
     return maintain.row_counts({n: spark.table(f"{database}.{n}") for n in names})
 
 
@@ -133,7 +133,6 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--as-of", required=True)
     m = sub.add_parser("maintenance")
     m.add_argument("--database", required=True)
-    m.add_argument("--root", required=True)
     m.add_argument("--as-of", required=True)
     m.add_argument("--retention-days", type=int, default=C.RETENTION_DAYS)
     for s in (p, a, m):
@@ -147,7 +146,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "alerts":
         alerts_job(spark, args.root, cfg, args.as_of).show(truncate=False)
     else:
-        maintenance(spark, args.database, args.root, args.as_of, args.retention_days).show()
+        maintenance(spark, args.database, args.as_of, args.retention_days).show()
 
 
 if __name__ == "__main__":

@@ -11,6 +11,7 @@ old or the new files, never a mix.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,39 +132,107 @@ def retained(df: DataFrame, as_of: dt.datetime | str, days: int) -> DataFrame:
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 
-def compact(spark: SparkSession, name: str, new_location: str, sort_cols: list[str], target_file_bytes: int = TARGET_FILE_BYTES) -> None:
-    """K9: rewrite the table with few, sorted files per partition, then
-    swap the table location.
-
-    The number of output files is the table's size on disk (file-system
-    metadata, no data read) divided by ``target_file_bytes``, and at least
-    one per day.  ``repartitionByRange`` on (event_date, sort keys) cuts the
-    data into sampled, equally sized ranges, so one busy day is written by
-    several tasks; files are sorted by the clustering columns so min/max
-    statistics prune well."""
-    days = len(_partitions(spark, name))
-    if days == 0:
-        return
-    size = _path_bytes(spark, table_location(spark, name))
-    n = max(days, -(-size // target_file_bytes))
-    (
-        spark.table(name)
-        .repartitionByRange(n, PARTITION, *sort_cols)
-        .sortWithinPartitions(PARTITION, *sort_cols)
-        .write.mode("overwrite")
-        .partitionBy(PARTITION)
-        .parquet(new_location)
-    )
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_location}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+class _Store:
+    """File metadata operations of a table folder on the cluster's file
+    system, from the driver."""
+
+    def __init__(self, spark: SparkSession, location: str):
+        self.jvm = spark.sparkContext._jvm
+        self.root = location.rstrip("/")
+        self.fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def files(self, pattern: str) -> list[tuple[str, str, int]]:
+        """(folder, file, bytes) of the files below the root that match."""
+        found = self.fs.globStatus(self._path(pattern)) or []
+        return sorted((f.getPath().getParent().getName(), f.getPath().getName(), f.getLen()) for f in found if f.isFile())
+
+    def move(self, source: str, target: str) -> None:
+        self.fs.mkdirs(self._path(target).getParent())
+        if not self.fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot move {source} to {target} in {self.root}")
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self._path(name), True)
+
+    def write(self, name: str, text: str) -> None:
+        out = self.fs.create(self._path(name), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read(self, name: str) -> str | None:
+        if not self.fs.exists(self._path(name)):
+            return None
+        size = self.fs.getFileStatus(self._path(name)).getLen()
+        data = self.fs.open(self._path(name)).readNBytes(size)
+        return bytes(data).decode()
+
+
+def write_batch(df: DataFrame, location: str, source: str, batch_id: int) -> list[str]:
+    """One micro-batch into plain day partitions, idempotent: the batch is
+    written beside the table and its files are moved into the days under
+    names that hold ``source`` and ``batch_id``; a repeated batch first takes
+    away what an earlier attempt moved.  No sink log is kept, so retention and
+    compaction may replace any file.  Returns the days."""
+    store = _Store(df.sparkSession, location)
+    staging, prefix = f"_staging-{source}", f"{source}-{batch_id:012d}-"
+    store.delete(staging)
+    df.write.mode("overwrite").partitionBy(PARTITION).parquet(f"{store.root}/{staging}")
+    for day, name, _ in store.files(f"{PARTITION}=*/{prefix}*"):
+        store.delete(f"{day}/{name}")
+    moved = store.files(f"{staging}/{PARTITION}=*/part-*")
+    for day, name, _ in moved:
+        store.move(f"{staging}/{day}/{name}", f"{day}/{prefix}{name}")
+    store.delete(staging)
+    return sorted({day.split("=", 1)[1] for day, _, _ in moved})
+
+
+def register_days(spark: SparkSession, name: str, days: list[str]) -> None:
+    for d in days:
+        if d != "__HIVE_DEFAULT_PARTITION__":
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({PARTITION} = DATE'{d}')")
     spark.catalog.refreshTable(name)
 
 
-def _path_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+def compact(spark: SparkSession, name: str, sort_cols: list[str], target_file_bytes: int = TARGET_FILE_BYTES) -> list[str]:
+    """K9: rewrite, in place, the days that have more files than their size
+    asks for; returns those days.
+
+    File sizes come from file-system metadata.  The days' rows are range
+    partitioned by (event_date, sort keys), so one busy day is written by
+    several tasks and min/max statistics prune well.  The new files are
+    written beside the table; a journal names the files they replace before
+    any is touched, and the next run finishes a swap that was cut off."""
+    if not _partitions(spark, name):
+        return []
+    store = _Store(spark, table_location(spark, name))
+    _finish_swap(store)
+    by_day: dict[str, list[tuple[str, int]]] = {}
+    for day, file, size in store.files(f"{PARTITION}=*/[!_.]*"):
+        by_day.setdefault(day, []).append((file, size))
+    due = {d: fs for d, fs in by_day.items() if len(fs) > max(1, -(-sum(x for _, x in fs) // target_file_bytes))}
+    if not due:
+        return []
+    schema = spark.table(name).schema
+    rows = spark.read.schema(schema).option("basePath", store.root).parquet(*[f"{store.root}/{d}" for d in sorted(due)])
+    n = max(len(due), -(-sum(x for fs in due.values() for _, x in fs) // target_file_bytes))
+    rows.repartitionByRange(n, PARTITION, *sort_cols).sortWithinPartitions(PARTITION, *sort_cols).write.mode("overwrite").partitionBy(PARTITION).parquet(f"{store.root}/_compact/new")
+    store.write("_compact/journal.json", json.dumps([f"{d}/{f}" for d, fs in due.items() for f, _ in fs]))
+    _finish_swap(store)
+    spark.catalog.refreshTable(name)
+    return sorted(d.split("=", 1)[1] for d in due)
+
+
+def _finish_swap(store: _Store) -> None:
+    journal = store.read("_compact/journal.json")
+    if journal is not None:
+        for day, file, _ in store.files(f"_compact/new/{PARTITION}=*/part-*"):
+            store.move(f"_compact/new/{day}/{file}", f"{day}/compact-{file}")
+        for old in json.loads(journal):
+            store.delete(old)
+    store.delete("_compact")
 
 
 def latest(df: DataFrame, n: int, order: list[str]) -> DataFrame:

@@ -492,6 +492,10 @@ SELECT event_date, COUNT(*) AS row_count FROM (
   SELECT CAST(timestamp AS DATE) AS event_date FROM prog UNION ALL SELECT CAST(timestamp AS DATE) FROM errs) x
 WHERE event_date >= DATE '2024-01-11' GROUP BY 1""")
 
+ORACLE["streamed_table_lifecycle"] = with_(["errs"], """
+SELECT CAST(timestamp AS DATE) AS event_date, COUNT(*) AS row_count, COUNT(DISTINCT exception_message) AS distinct_messages
+FROM errs WHERE CAST(timestamp AS DATE) >= DATE '2024-01-11' GROUP BY 1""")
+
 ORACLE["compaction_preserves_rows"] = with_(["prog", "errs"], """
 SELECT CAST(timestamp AS DATE) AS event_date, COUNT(*) AS row_count, COUNT(DISTINCT id) AS distinct_ids, MIN(id) AS min_id, MAX(id) AS max_id
 FROM (SELECT timestamp, id FROM prog UNION ALL SELECT timestamp, id FROM errs) x GROUP BY 1""")

@@ -4,11 +4,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.config import MonitorConfig
-from vigil.operators import silver
+from vigil.operators import maintain, silver
 from vigil.sources.event_log import read_event_log_stream
 from vigil.streaming.state import backpressure_stream
 
@@ -30,8 +32,9 @@ def run_silver_flow(
 ):
     """One stateless silver flow (streaming_metrics / stream_progress /
     stream_errors / sla_latency_metrics / data_quality_metrics) from the
-    bronze stream,
-    appended with its own checkpoint.  Default: drain what is there
+    bronze stream, with its own checkpoint.  Each micro-batch goes into plain
+    day partitions (``maintain.write_batch``: idempotent, no sink log), which
+    retention and compaction may rewrite.  Default: drain what is there
     (``availableNow``) and stop; with ``processing_time`` (T6) the flow runs
     continuously and the running query is returned.
 
@@ -57,16 +60,17 @@ def run_silver_flow(
         out = silver.data_quality_metrics(silver.progress(bronze, cfg), cfg)
     else:
         raise ValueError(table)
-    q = (
-        out.withColumn("event_date", F.to_date("timestamp"))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_date")
-        .queryName(f"silver_{table}")
-        .option("checkpointLocation", checkpoint)
-    )
+    location = maintain.table_location(spark, to_table) if to_table else out_dir
+    source = hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        days = maintain.write_batch(batch, location, source, batch_id)
+        if to_table:
+            maintain.register_days(batch.sparkSession, to_table, days)
+
+    q = out.withColumn("event_date", F.to_date("timestamp")).writeStream.foreachBatch(write).queryName(f"silver_{table}").option("checkpointLocation", checkpoint)
     q = q.trigger(processingTime=processing_time) if processing_time else q.trigger(availableNow=True)
-    q = q.toTable(to_table) if to_table else q.start(out_dir)
+    q = q.start()
     if processing_time:
         return q
     q.awaitTermination()
