@@ -730,29 +730,31 @@ def monitoring_tables(c: Context) -> DataFrame:
 
 # ------------------------------------------------------ dashboard SQL -------
 
-def _sql_check(dataset: str, days: int, as_of: str = AS_OF_END):
+def _ranked(df: DataFrame) -> DataFrame:
+    """``display_rank``: place of each row in the order it is delivered in."""
+    from pyspark.sql import Window
+
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    return placed.withColumn("display_rank", F.row_number().over(Window.orderBy("_place"))).drop("_place")
+
+
+def _sql_check(dataset: str, context, **params):
     def fn(c: Context) -> DataFrame:
         from vigil.plans import dashboard_sql
 
-        dashboard_sql.register_views(
-            {"stream_progress": c.prog, "stream_errors": c.errors, "sla_latency_metrics": c.sla, "data_quality_metrics": c.dq, "infrastructure_metrics": c.infra}
-        )
-        return dashboard_sql.run(c.spark, dataset, c.cfg.environment, as_of, days)
+        m = context(c)
+        views = {"stream_progress": m.prog, "stream_errors": m.errors, "sla_latency_metrics": m.sla, "data_quality_metrics": m.dq, "infrastructure_metrics": m.infra}
+        return _ranked(dashboard_sql.run(c.spark, dataset, views, m.cfg, **params))
 
-    fn.__doc__ = f"P20: the {dataset} dataset as parameterised Spark SQL over the silver views."
+    fn.__doc__ = f"P20 / O1 / O2 / O5: the {dataset} read as parameterised Spark SQL, in display order."
     return fn
 
 
-for _name, _days, _as_of in [
-    ("stream_overview", 100000, AS_OF_OVERVIEW),
-    ("throughput_trends", 7, AS_OF_END),
-    ("latency_sla", 7, AS_OF_END),
-    ("backpressure", 30, AS_OF_END),
-    ("state_store_health", 30, AS_OF_END),
-    ("data_quality_hourly", 7, AS_OF_END),
-    ("infra_cost_hourly", 7, AS_OF_END),
-]:
-    check(f"sql_{_name}")(_sql_check(_name, _days, _as_of))
+check("sql_stream_overview")(_sql_check("stream_overview", _overview_ctx))
+for _name in ("throughput_trends", "latency_sla", "data_quality_hourly", "infra_cost_hourly"):
+    check(f"sql_{_name}")(_sql_check(_name, lambda c: c))
+for _name in ("backpressure", "state_store_health"):
+    check(f"sql_{_name}")(_sql_check(_name, _month))
 
 
 @check("alert_backtest_terminated")
@@ -854,22 +856,11 @@ def gold_incremental_refresh(c: Context) -> DataFrame:
 
 # --------------------------------------------------------- alert SQL --------
 
-def _alert_sql_check(alert: str, minutes: int, **params):
-    def fn(c: Context) -> DataFrame:
-        from vigil.plans import dashboard_sql
-
-        dashboard_sql.register_views({"stream_progress": c.prog, "stream_errors": c.errors, "sla_latency_metrics": c.sla})
-        return dashboard_sql.run_alert(c.spark, alert, c.cfg.environment, AS_OF_END, minutes, **params)
-
-    fn.__doc__ = f"P20: {alert} as parameterised Spark SQL over the silver views."
-    return fn
-
-
-check("sql_alert_sla_breach")(_alert_sql_check("alert_sla_breach", DAY))
-check("sql_alert_backpressure")(_alert_sql_check("alert_sustained_backpressure", WEEK, min_count=4))
-check("sql_alert_duration_spike")(_alert_sql_check("alert_batch_duration_spike", MONTH))
-check("sql_alert_terminated")(_alert_sql_check("alert_stream_terminated", DAY))
-check("sql_alert_state_growth")(_alert_sql_check("alert_state_memory_growth", WEEK))
+check("sql_alert_sla_breach")(_sql_check("alert_sla_breach", lambda c: c, lookback_minutes=DAY))
+check("sql_alert_backpressure")(_sql_check("alert_sustained_backpressure", lambda c: c, lookback_minutes=WEEK, min_count=4))
+check("sql_alert_duration_spike")(_sql_check("alert_batch_duration_spike", lambda c: c, lookback_minutes=MONTH))
+check("sql_alert_terminated")(_sql_check("alert_stream_terminated", lambda c: c, lookback_minutes=DAY))
+check("sql_alert_state_growth")(_sql_check("alert_state_memory_growth", lambda c: c, lookback_minutes=WEEK))
 
 
 @check("observed_metrics")

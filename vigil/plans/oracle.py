@@ -548,8 +548,22 @@ UNION ALL SELECT 'data_quality_metrics', COUNT(*) FROM prog WHERE has_quality
 UNION ALL SELECT 'infrastructure_metrics', COUNT(*) FROM events
 UNION ALL SELECT 'sensor_bronze', COUNT(*) FROM events
 UNION ALL SELECT 'sensor_gold', 0""")
-for _n in ("stream_overview", "throughput_trends", "latency_sla", "backpressure", "state_store_health", "data_quality_hourly", "infra_cost_hourly"):
-    ORACLE[f"sql_{_n}"] = ORACLE[_n]
+
+
+def _ranked(sql: str, order: str) -> str:
+    return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS display_rank FROM ({sql}) ranked"
+
+
+for _n, _order in (
+    ("stream_overview", "query_name"),
+    ("throughput_trends", "query_name, time_bucket"),
+    ("latency_sla", "query_name, time_bucket"),
+    ("backpressure", "query_name, batch_id DESC"),
+    ("state_store_health", "query_name, batch_id"),
+    ("data_quality_hourly", "query_name, time_bucket"),
+    ("infra_cost_hourly", "cluster_id, time_bucket"),
+):
+    ORACLE[f"sql_{_n}"] = _ranked(ORACLE[_n], _order)
 
 ORACLE["alert_backtest_terminated"] = with_(["errs"], """
 , r AS (
@@ -632,8 +646,14 @@ SELECT query_name, time_bucket(INTERVAL '1 minute', timestamp) AS time_bucket,
        {r('AVG(CAST(floor(epoch(timestamp)) AS BIGINT) - CAST(floor(epoch(watermark)) AS BIGINT))', 0)} AS avg_watermark_delay_sec
 FROM prog WHERE timestamp <= {AS_OF_END}
 GROUP BY 1, 2""")
-for _n in ("sla_breach", "backpressure", "duration_spike", "terminated", "state_growth"):
-    ORACLE[f"sql_alert_{_n}"] = ORACLE[f"alert_{_n}"]
+for _n, _order in (
+    ("sla_breach", "query_name"),
+    ("backpressure", "query_name"),
+    ("duration_spike", "spike_factor DESC, query_name, batch_id"),
+    ("terminated", "terminated_at DESC, query_id, exception_message"),
+    ("state_growth", "query_name"),
+):
+    ORACLE[f"sql_alert_{_n}"] = _ranked(ORACLE[f"alert_{_n}"], _order)
 
 ORACLE["observed_metrics"] = with_(["prog"], """
 SELECT query_id, query_name, batch_id, timestamp, 'quality' AS observation, metric, value FROM (
