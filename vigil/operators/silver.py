@@ -111,6 +111,8 @@ def progress(metrics: DataFrame, cfg: MonitorConfig) -> DataFrame:
         q["duplicate_rate"].alias("duplicate_rate"),
         q["dropped_record_count"].alias("dropped_record_count"),
         q["late_record_percentage"].alias("late_record_percentage"),
+        q["null_rate_by_column"].alias("null_rate_by_column"),
+        q["schema_change_detected"].alias("schema_change_detected"),
         q.isNotNull().alias("has_quality"),
         "environment",
         "workspace_id",
@@ -185,10 +187,10 @@ def data_quality_metrics(prog: DataFrame, cfg: MonitorConfig) -> DataFrame:
         "query_name",
         "batch_id",
         "timestamp",
-        F.lit(None).cast("map<string,double>").alias("null_rate_by_column"),
+        "null_rate_by_column",
         "duplicate_rate",
         "dropped_record_count",
-        F.lit(False).alias("schema_change_detected"),
+        F.coalesce("schema_change_detected", F.lit(False)).alias("schema_change_detected"),
         "late_record_percentage",
         "environment",
         "workspace_id",
@@ -250,7 +252,8 @@ def observed_metrics(bronze: DataFrame, cfg: MonitorConfig) -> DataFrame:
 
     The observation names and metrics are data, not schema: the document is
     read as map<string, map<string, string>> and exploded, so any set of
-    rules lands in the same table."""
+    rules lands in the same table.  Values that are no numbers (the null-rate
+    map, the schema flag) are left to ``data_quality_metrics``."""
     obs = F.from_json(F.get_json_object(F.col("details"), "$.stream_progress.observedMetrics"), "map<string,map<string,string>>")
     p = bronze.filter(F.col("event_type") == PROGRESS_EVENT).select(
         F.get_json_object(F.col("details"), "$.stream_progress.id").alias("query_id"),
@@ -262,4 +265,4 @@ def observed_metrics(bronze: DataFrame, cfg: MonitorConfig) -> DataFrame:
     return p.select(
         "query_id", "query_name", "batch_id", "timestamp", "observation",
         F.explode("_m").alias("metric", "_v"),
-    ).select("query_id", "query_name", "batch_id", "timestamp", "observation", "metric", _tcast(F.col("_v"), "double").alias("value"), _env(cfg).alias("environment"))
+    ).select("query_id", "query_name", "batch_id", "timestamp", "observation", "metric", _tcast(F.col("_v"), "double").alias("value"), _env(cfg).alias("environment")).where("value is not null")

@@ -68,7 +68,7 @@ def silver_sla_latency(c: Context) -> DataFrame:
 @check("silver_data_quality")
 def silver_data_quality(c: Context) -> DataFrame:
     """Quality figures from observedMetrics.quality."""
-    return c.dq.drop("ingestion_ts", "null_rate_by_column")
+    return c.dq.withColumn("value_null_rate", F.col("null_rate_by_column")["value"]).drop("ingestion_ts", "null_rate_by_column")
 
 
 @check("silver_progress")

@@ -53,6 +53,8 @@ PROG = """prog AS (
          CASE WHEN event_type = 'signup' THEN NULL ELSE (n - nu) / CAST(n AS DOUBLE) END AS duplicate_rate,
          CASE WHEN event_type = 'signup' THEN NULL ELSE small END AS dropped_record_count,
          CASE WHEN event_type = 'signup' THEN NULL ELSE late / CAST(n AS DOUBLE) END AS late_record_percentage,
+         CASE WHEN event_type = 'signup' THEN NULL ELSE small / CAST(n AS DOUBLE) END AS value_null_rate,
+         event_type <> 'signup' AND batch_id % 24 = 5 AS schema_change_detected,
          event_type <> 'signup' AS has_quality,
          'prod' AS environment, 'ws-0001' AS workspace_id,
          sha256(concat_ws('|', 'progress', 'q-' || event_type, CAST(batch_id AS VARCHAR))) AS id
@@ -157,7 +159,7 @@ FROM sla""")
 
 ORACLE["silver_data_quality"] = with_(["prog"], """
 SELECT query_id, query_name, batch_id, timestamp, duplicate_rate, dropped_record_count,
-       false AS schema_change_detected, late_record_percentage, environment, workspace_id
+       schema_change_detected, value_null_rate, late_record_percentage, environment, workspace_id
 FROM prog WHERE has_quality""")
 
 ORACLE["silver_progress"] = with_(["prog"], """
@@ -257,7 +259,7 @@ SELECT query_name, date_trunc('hour', timestamp) AS time_bucket,
        {r('AVG(duplicate_rate) * 100', 2)} AS avg_duplicate_rate_pct,
        CAST(SUM(dropped_record_count) AS BIGINT) AS total_dropped_records,
        {r('AVG(late_record_percentage) * 100', 2)} AS avg_late_record_pct,
-       CAST(0 AS BIGINT) AS schema_change_count, COUNT(*) AS batch_count
+       CAST(SUM(CASE WHEN schema_change_detected THEN 1 ELSE 0 END) AS BIGINT) AS schema_change_count, COUNT(*) AS batch_count
 FROM prog WHERE has_quality AND environment = 'prod' AND {WEEK_END}
 GROUP BY 1, 2""")
 
@@ -668,7 +670,7 @@ SELECT query_name, date_trunc('hour', timestamp) AS time_bucket,
        {r('AVG(duplicate_rate) * 100', 2)} AS avg_duplicate_rate_pct,
        CAST(SUM(dropped_record_count) AS BIGINT) AS total_dropped_records,
        {r('AVG(late_record_percentage) * 100', 2)} AS avg_late_record_pct,
-       CAST(0 AS BIGINT) AS schema_change_count, COUNT(*) AS batch_count
+       CAST(SUM(CASE WHEN schema_change_detected THEN 1 ELSE 0 END) AS BIGINT) AS schema_change_count, COUNT(*) AS batch_count
 FROM prog WHERE has_quality
 GROUP BY 1, 2
 HAVING date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= (SELECT MAX(timestamp) FROM prog WHERE has_quality) - INTERVAL 10 MINUTE""")

@@ -103,6 +103,8 @@ def _progress_details(mb: DataFrame) -> Column:
             ((n - nu) / n.cast("double")).alias("duplicate_rate"),
             F.col("small").alias("dropped_record_count"),
             (F.col("late") / n.cast("double")).alias("late_record_percentage"),
+            F.create_map(F.lit("value"), F.col("small") / n.cast("double")).alias("null_rate_by_column"),
+            (F.col("batch_id") % 24 == 5).alias("schema_change_detected"),
         )
     )
     progress = F.struct(
