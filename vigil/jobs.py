@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from vigil import config as C
 from vigil.config import MonitorConfig
-from vigil.operators import alerts, evaluate, maintain, silver
+from vigil.operators import alerts, evaluate, maintain
 from vigil.plans import datasets
 from vigil.session import configure
 from vigil.streaming import flows
@@ -69,7 +69,9 @@ def alerts_job(spark: SparkSession, root: str, cfg: MonitorConfig, as_of: str, r
     the same clock replaces its own rows.  Returns the fired rows of this
     run."""
     prog = spark.read.parquet(os.path.join(root, "stream_progress"))
-    errors = silver.with_restart_counts(spark.read.parquet(os.path.join(root, "stream_errors")), cfg)
+    # the rules count terminations per query, so the lookback prunes days and
+    # no history is numbered
+    errors = spark.read.parquet(os.path.join(root, "stream_errors"))
     sla = spark.read.parquet(os.path.join(root, "sla_latency_metrics"))
     evaluated = evaluate.evaluate(detector_evaluations(prog, errors, sla, cfg, as_of), rules)
     routed = evaluate.route(evaluated, evaluate.escalation_df(spark), cfg.environment)

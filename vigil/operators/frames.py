@@ -110,9 +110,23 @@ def rows_frame(
     return out.filter(~F.col(_HALO)).drop(_BLOCK, _HALO, _IDX)
 
 
-def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str, chunk: Column | None = None) -> DataFrame:
-    """1-based running count of rows per key (skew-safe with ``chunk``)."""
-    return dense_index(df, keys, order, chunk, name=name).withColumn(name, (F.col(name) + 1).cast("int"))
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str, chunk: Column) -> DataFrame:
+    """Sum of ``value`` over the key's rows up to each row (by ``order``).
+
+    The sum of earlier chunks comes from a per-chunk aggregate (one row per
+    chunk), the rest from a window inside the chunk, so no window spans more
+    than one chunk of a key."""
+    d = df.withColumn(_CHUNK, chunk)
+    upto, before = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    local = F.sum(value).over(Window.partitionBy(*keys, _CHUNK).orderBy(*_cols(order)).rowsBetween(*upto))
+    sums = d.groupBy(*keys, _CHUNK).agg(F.sum(value).alias("_csum"))
+    earlier = sums.select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys],
+        F.col(_CHUNK).alias("_o_chunk"),
+        F.coalesce(F.sum("_csum").over(Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(*before)), F.lit(0)).alias("_off"),
+    )
+    cond = [d[k].eqNullSafe(earlier[f"_o_{k}"]) for k in keys] + [d[_CHUNK].eqNullSafe(earlier["_o_chunk"])]
+    return d.withColumn("_local", local).join(earlier, cond, "inner").withColumn(name, F.col("_off") + F.col("_local")).drop("_local", "_off", "_o_chunk", _CHUNK, *[f"_o_{k}" for k in keys])
 
 
 def max_before(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, chunk: Column | None = None) -> DataFrame:

@@ -225,24 +225,28 @@ def event_log_record(prog_rows: DataFrame, cfg: MonitorConfig) -> DataFrame:
     )
 
 
+#: Fixed value: reason of an error that did not end the stream.
+RETRYABLE = "RETRYABLE"
+
+
 def dedupe_events(bronze: DataFrame) -> DataFrame:
     """Replay idempotence: one row per event id (ids are deterministic)."""
     return bronze.dropDuplicates(["id"])
 
 
 def with_restart_counts(errors: DataFrame, cfg: MonitorConfig) -> DataFrame:
-    """Every error row is a termination record; ``restart_count`` is the
-    number of terminations of the query so far (1 for the first).
+    """``restart_count`` is the number of terminations of the query up to
+    and with each row (1 at the first).  Rows of a retryable error are no
+    terminations; they show the count so far.
 
     The running count is split by day, so a stream with a very long error
     history is numbered by many tasks (see frames.dense_index)."""
     from vigil.operators import frames
 
     chunk = F.floor(F.unix_seconds(F.col("timestamp")) / F.lit(cfg.time_chunk_seconds))
-    counted = frames.running_count(
-        errors.drop("restart_count"), ["query_id"], ["timestamp", "exception_message"], "restart_count", chunk
-    )
-    return counted.select(*[f.name for f in schemas.STREAM_ERRORS.fields])
+    ended = F.when(F.col("termination_reason").eqNullSafe(RETRYABLE), 0).otherwise(1)
+    counted = frames.running_sum(errors.withColumn("_ended", ended), ["query_id"], ["timestamp", "exception_message"], "_ended", "restart_count", chunk)
+    return counted.withColumn("restart_count", F.col("restart_count").cast("int")).select(*[f.name for f in schemas.STREAM_ERRORS.fields])
 
 
 def observed_metrics(bronze: DataFrame, cfg: MonitorConfig) -> DataFrame:

@@ -153,7 +153,7 @@ def latest_batch(c: Context) -> DataFrame:
 def last_error(c: Context) -> DataFrame:
     """A2."""
     o = _overview_ctx(c)
-    return gold.last_error(o.errors, o.cfg)
+    return gold.last_error(o.errors_raw, o.cfg)
 
 
 @check("breach_counts")
@@ -167,7 +167,7 @@ def breach_counts(c: Context) -> DataFrame:
 def stream_overview(c: Context) -> DataFrame:
     """Status, uptime, breaches, last error per stream."""
     o = _overview_ctx(c)
-    return gold.stream_overview(o.prog, o.errors, o.sla, o.cfg)
+    return gold.stream_overview(o.prog, o.errors_raw, o.sla, o.cfg)
 
 
 # -------------------------------------------------------------- trends ------
@@ -419,7 +419,7 @@ def _evaluations(c: Context) -> DataFrame:
     sp = alerts.duration_spike_candidates(c.prog, c.cfg, lookback_minutes=MONTH)
     sp = sp.withColumn("_e", F.concat_ws("/", "query_name", F.col("batch_id").cast("string")))
     sp = ev.to_evaluations(sp, "alert_batch_duration_spike", "_e", "raw_spike_factor", at)
-    te = ev.to_evaluations(alerts.stream_terminated(c.errors, c.cfg, lookback_minutes=DAY), "alert_stream_terminated", "query_id", None, at, count=True)
+    te = ev.to_evaluations(alerts.stream_terminated(c.errors_raw, c.cfg, lookback_minutes=DAY), "alert_stream_terminated", "query_id", None, at, count=True)
     gr = ev.to_evaluations(alerts.state_growth(c.prog, c.cfg, lookback_minutes=WEEK, pct=-1e300), "alert_state_memory_growth", "query_name", "growth_pct", at)
     return sla.unionByName(bp).unionByName(sp).unionByName(te).unionByName(gr)
 
@@ -743,7 +743,7 @@ def _sql_check(dataset: str, context, **params):
         from vigil.plans import dashboard_sql
 
         m = context(c)
-        views = {"stream_progress": m.prog, "stream_errors": m.errors, "sla_latency_metrics": m.sla, "data_quality_metrics": m.dq, "infrastructure_metrics": m.infra}
+        views = {"stream_progress": m.prog, "stream_errors": m.errors if dataset == "alert_stream_terminated" else m.errors_raw, "sla_latency_metrics": m.sla, "data_quality_metrics": m.dq, "infrastructure_metrics": m.infra}
         return _ranked(dashboard_sql.run(c.spark, dataset, views, m.cfg, **params))
 
     fn.__doc__ = f"P20 / O1 / O2 / O5: the {dataset} read as parameterised Spark SQL, in display order."
@@ -763,7 +763,7 @@ def alert_backtest_terminated(c: Context) -> DataFrame:
     replayed every minute over the month."""
     from vigil.operators import evaluate as ev
 
-    e = c.errors.filter(F.col("environment") == c.cfg.environment)
+    e = c.errors_raw.filter(F.col("environment") == c.cfg.environment)
     counts = ev.backtest_counts(e, "alert_stream_terminated", "query_id", 10, 60, "2024-01-01 00:00:00", AS_OF_END)
     return ev.evaluate(counts).select("name", "entity", "evaluated_at", "value", "fired")
 

@@ -74,7 +74,8 @@ ERRS = f"""errs AS (
          sha256(concat_ws('|', 'error', CAST(event_id AS VARCHAR))) AS id
   FROM events WHERE event_type = 'error'),
 errs_rc AS (
-  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY timestamp, exception_message) AS INTEGER) AS restart_count
+  SELECT *, CAST(SUM(CASE WHEN termination_reason = 'RETRYABLE' THEN 0 ELSE 1 END)
+                OVER (PARTITION BY query_id ORDER BY timestamp, exception_message ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS restart_count
   FROM errs)"""
 
 SLA = f"""sla AS (
