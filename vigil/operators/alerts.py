@@ -129,22 +129,22 @@ def state_growth(
     The reference takes FIRST_VALUE / LAST_VALUE over a whole-partition
     frame and then DISTINCT; the same values come from a ``min_by`` /
     ``max_by`` group aggregate, which pre-aggregates per task instead of
-    buffering every row of a stream."""
+    buffering every row of a stream; the names a query had (a set of few)
+    come from the same pass."""
     r = _recent(prog, cfg, lookback_minutes)
     order = F.struct("timestamp", "batch_id")
     per = r.groupBy("query_id").agg(
         F.min_by("state_memory_bytes", order).alias("_start"),
         F.max_by("state_memory_bytes", order).alias("_end"),
+        F.collect_set("query_name").alias("_names"),
     )
-    names = r.select("query_id", "query_name").distinct()
     start = F.col("_start").cast("double")
     end = F.col("_end").cast("double")
     growth = F.try_divide(F.lit(100.0) * (end - start), start)
     return (
-        per.join(names, "query_id")
-        .filter((F.col("_start") > 0) & (growth > F.lit(pct)))
+        per.filter((F.col("_start") > 0) & (growth > F.lit(pct)))
         .select(
-            "query_name",
+            F.explode("_names").alias("query_name"),
             round_half_up(start / F.lit(MB), 2).alias("memory_start_mb"),
             round_half_up(end / F.lit(MB), 2).alias("memory_end_mb"),
             round_half_up(growth, 2).alias("growth_pct"),
