@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, StringStartsWith, WriterCommitMessage
 
-from vigil.llm.common import bounded_batches
+from vigil.llm.common import Scratch, bounded_batches, broadcast_if_small
 
 SCHEMA = "record_type string, record_id string, target_uri string, payload_digest string, refers_to string, headers map<string,string>, payload binary"
 #: Header of each header column.
@@ -45,6 +45,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: An extension header: the length of the payload that a revisit leaves out.
 FULL_LENGTH = "X-Payload-Length"
 BATCH_BYTES = 8 << 20
+#: Groups of equal payloads up to which their table is broadcast (about 60
+#: bytes each).
+BROADCAST_ROWS = 500_000
 
 
 # --------------------------------------------------------------------- records
@@ -101,6 +104,8 @@ def read_records(f: io.BufferedReader, wanted, with_payload: bool) -> Iterator[t
 
 
 def _open_fs(path: str) -> tuple[fs.FileSystem, str]:
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[5:]  # as Hadoop writes local paths
     return fs.FileSystem.from_uri(path)
 
 
@@ -245,13 +250,17 @@ def page_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     A null html is an empty payload and a null url leaves its header out; a
     null page_id ranks below all others and is written without a number;
     rows that tie for the largest page_id are all responses; other columns
-    are ignored.  Which payload is largest is aggregated by digest before the
-    shuffle; AQE splits the join on a digest that many pages share.
+    are ignored.  The groups of equal payloads are aggregated by digest; their
+    table is broadcast if its counted size is within ``BROADCAST_ROWS``, so
+    that no payload is shuffled, else AQE splits the join on a digest that
+    many pages share.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     src = src.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload").cast("long"))
     last = src.where(F.col("bytes") >= least_bytes).groupBy(F.col("digest").alias("_digest")).agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1 and _last is not null")
+    last = Scratch(pages.sparkSession, "warc-groups").save(last.select("_digest", "_last"), "groups")
+    last = broadcast_if_small(last, last.count(), BROADCAST_ROWS)
     out = src.join(last, (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= least_bytes), "left")
     revisit = F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last"))
     record = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
