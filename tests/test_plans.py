@@ -8,6 +8,7 @@ import pytest
 from conftest import SF0001
 
 import __spark_entry__ as E
+from vigil.plans.checks import REGISTRY
 from vigil.operators import alerts, gold
 from vigil.plans.context import BASE, Context
 from vigil.plans.datasets import materialize
@@ -17,7 +18,7 @@ from vigil.sources.event_log import append_event_log, read_event_log
 SIDE_EFFECTS = {
     "sensor_ingest", "incremental_equals_batch", "sensor_window_agg", "foreach_batch_quality", "backpressure_stream",
     "listener_capture", "retention_filter", "compaction_preserves_rows", "materialize_datasets", "silver_flow_stream",
-    "monitoring_tables", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh", "data_quality_stream",
+    "monitoring_tables", "streamed_table_lifecycle", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh", "data_quality_stream",
 }
 PANDAS_ALLOWED = {"alert_rearm"}
 
@@ -26,7 +27,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - SIDE_EFFECTS))
 def test_no_cross_join_no_row_udf(spark, name):
     p = plan(E.queries()[name](spark, SF0001))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
@@ -106,7 +107,7 @@ def test_incremental_refresh_reads_only_the_given_days(stored):
     assert "IN (2024-01-20,2024-01-21)" in line
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - SIDE_EFFECTS))
 def test_every_check_scans_the_given_tables(spark, name):
     """Each registered query reads the given parquet tables (its work grows
     with them); none runs on made-up input alone."""

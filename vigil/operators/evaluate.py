@@ -92,7 +92,10 @@ def evaluate(evaluations: DataFrame, rules=RULES) -> DataFrame:
     if not isinstance(rules, DataFrame):
         rules = evaluations.sparkSession.createDataFrame([tuple(r) for r in rules], schemas.ALERT_RULE)
     r = rules.select(F.col("query_name").alias("_detector"), "name", "op", "threshold", "severity", "rearm_seconds", "description")
-    j = evaluations.join(r, F.col("query_name") == F.col("_detector")).drop("_detector")
+    # the key holds an (empty) part of the entity: with the constant name of a
+    # single detector alone Catalyst would drop the key and plan a nested loop
+    key = F.concat("query_name", F.coalesce(F.substring("entity", 1, 0), F.lit("")))
+    j = evaluations.join(r, key == F.col("_detector")).drop("_detector")
     v, t, op = F.col("value"), F.col("threshold"), F.col("op")
     fired = F.when(op.isNull(), F.raise_error(F.concat(F.lit("rule without an operator: "), F.col("name"))).cast("boolean"))
     for name, test in OPERATORS.items():
