@@ -231,8 +231,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50)
 # -------------------------------------------------------------------------- fit
 
 
+#: Short quotations: the lexicon is learned from what a text says itself.
+QUOTATION = re.compile('"[^"\\n]{1,80}"|“[^”\\n]{1,80}”|«[^»\\n]{1,80}»|„[^“”\\n]{1,80}[“”]')
+
+
 def _terms_of(text: str, rules: ToxicRules) -> set[str]:
-    words = set(WORD.findall(text.lower()))
+    words = set(WORD.findall(QUOTATION.sub(" ", text.lower())))
     out = {w for w in words if len(w) >= 3}
     for w in words:
         out.update(w[:n] + STEM for n in rules.stems if len(w) > n)
