@@ -76,3 +76,18 @@ def test_edges(spark):
     out = P.main_text(page_df(spark, rows)).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in out if r.page_id != 3) == [(0, 13 * 5000 + 4999), (1, 0), (2, 0), (4, len("cut off &am"))]
     assert len(out) == 6 and P.main_text(page_df(spark, rows).limit(0)).count() == 0
+
+
+def test_one_result_for_any_number_of_ranges(spark):
+    page = lambda own: f"<div>Welcome</div><div>{own}</div><div>All rights</div>"
+    rows = [(h * 10 + i, f"http://h{h}.org/{i // 2}/{i}", page(f"own {h} {i}")) for h in range(12) for i in range(h % 3 + 2)]
+    rows += [(500, "http://h3.org/same?a", page("x")), (500, "http://h3.org/same?b", page("y")), (500, "http://h3.org/same?b", page("z")), (500, "http://h3.org/same?b", page("z")), (None, None, "alone"), (None, "http://h3.org/same", None)]
+    conf, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 2, 5, 40, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted(map(repr, P.main_text(page_df(spark, rows)).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", conf)
+    assert len(found[0]) == len(rows) and all(f == found[0] for f in found)
+    assert not any("Welcome" in f for f in found[0] if "own" in f)

@@ -1,11 +1,11 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
-Pages are range-partitioned and sorted by host, URL path and page_id, so a hot
-host is spread over many tasks and every page meets its nearest URLs as
-neighbours.  A task parses each page once into lines (block by block) and
-pairs it with the neighbour of the same host that shares the longer start of
-the path (ties: the one before; the first and last page of a task have one
-neighbour there).  The lines of a pair are aligned by longest common
+Pages are dealt in ranges of host, URL path and page_id, so a hot host is
+spread over many tasks and every page meets its nearest URLs as neighbours;
+the first and last page of a range go to the neighbouring range as well, so
+the result does not depend on the ranges.  A task parses each page into lines
+(block by block) and pairs it with the neighbour of the same host that shares
+the longer start of the path (ties: the one before).  The lines of a pair are aligned by longest common
 subsequence, and shared lines are deleted.
 
 Two kinds of lines are not left to that comparison:
@@ -22,6 +22,7 @@ that the comparison leaves.
 from __future__ import annotations
 
 import html
+import json
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -193,25 +194,64 @@ KINDS = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, own, page ..), sorted: the pages of each range, and not its
+    own those of its neighbours at the edge."""
     names = [f.split()[0] for f in RESULT.split(", ")]
     before = this = None
+    part, mine = None, False
     rows, size = [], 0
 
     for b in batches:
-        for values in zip(*(c.to_pylist() for c in b.columns)):
+        for of, own, *values in zip(*(c.to_pylist() for c in b.columns)):
             after = _Page(*values)
-            if this is not None:
-                rows.append(this.row(this.nearer(before, after)))
+            if mine:
+                rows.append(this.row(this.nearer(before, after if of == part else None)))
                 size += rows[-1][3] + 200
-            before, this = this, after
+            before, this, part, mine = this if of == part else None, after, of, own
             if size > 8 << 20:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), KINDS)], names)
                 rows, size = [], 0
-    if this is not None:
+    if mine:
         rows.append(this.row(this.nearer(before, None)))
+    if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), KINDS)], names)
 
 
+KEY = "struct<host:string,path:string,page_id:bigint,url:string>"
+#: Keys looked at for each range.
+SAMPLED = 20
+
+
+def _literal(rows: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(rows)), kind)
+
+
+def _dealt(src: DataFrame) -> DataFrame:
+    """``src`` with ``part``, the number of its range of keys, and ``own``:
+    false in the repeats of the rows with the last key of the range before and
+    the first key of the range after."""
+    key = F.struct("host", "path", "page_id", "url")
+    keys, n = src.select(key.alias("key")), int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = keys.count()
+    some = keys.sample(min(1.0, SAMPLED * n / max(rows, 1)), seed=1).orderBy("key").collect()  # bounded by the ranges
+    step = max(1, -(-len(some) // n))
+    starts = [list(r["key"].asDict().values()) for r in some[step::step]]
+    names = ["host", "path", "page_id", "url"]
+    bounds = _literal([dict(zip(names, x)) for x in starts], f"array<{KEY}>")
+    part = lambda k: F.size(F.filter(bounds, lambda b: b <= k)) if starts else F.lit(0)
+    ends = sorted(keys.select(part(F.col("key")).alias("part"), "key").groupBy("part").agg(F.min_by("key", "key").alias("a"), F.max_by("key", "key").alias("b")).collect())  # a row per range
+    first, last = ({r["part"]: r[x].asDict() for r in ends} for x in "ab")
+    used = [r["part"] for r in ends]
+    # by the number of the range: the numbers of its neighbours, its first and its last key
+    table = [{"a": first.get(p), "b": last.get(p), "before": max((q for q in used if q < p), default=None), "after": min((q for q in used if q > p), default=None)} for p in range(len(starts) + 1)]
+    edge = F.get(_literal(table, f"array<struct<a:{KEY},b:{KEY},before:int,after:int>>"), F.col("_part"))
+    out = src.withColumn("_part", part(key)).withColumn("_edge", edge)
+    here = F.struct(F.col("_part").alias("part"), F.lit(True).alias("own"))
+    to = lambda at, end: F.struct(F.when(F.col(f"_edge.{end}") == key, F.col(f"_edge.{at}")).alias("part"), F.lit(False).alias("own"))
+    places = F.filter(F.array(here, to("before", "a"), to("after", "b")), lambda x: x["part"].isNotNull())
+    return out.select(F.explode(places).alias("at"), *src.columns).select("at.part", "at.own", *src.columns)
+
+
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
 
@@ -230,11 +270,11 @@ def main_text(pages: DataFrame) -> DataFrame:
     blocks are joined by ``\\n`` in page order.  A null html is an empty page;
     pages without a URL, or with one without a host, form a host of their
     own; repeated rows and pages of one URL are neighbours in the order of
-    page_id (nulls first); other columns are ignored; an empty table gives an
+    page_id (nulls first), url and html; other columns are ignored; an empty table gives an
     empty table.
     """
     bounded_batches(pages.sparkSession)
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host(url).alias("host"), path(url).alias("path"), F.col("html").cast("string").alias("html"))
-    order = ["host", "path", "page_id"]
-    return src.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_difference, RESULT)
+    dealt = _dealt(src).repartitionByRange("part")
+    return dealt.sortWithinPartitions("part", "host", "path", "page_id", "url", "html").mapInArrow(_difference, RESULT)
