@@ -91,3 +91,10 @@ def test_one_result_for_any_number_of_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", conf)
     assert len(found[0]) == len(rows) and all(f == found[0] for f in found)
     assert not any("Welcome" in f for f in found[0] if "own" in f)
+
+
+def test_own_text_beside_an_article_stays(spark):
+    page = lambda own: f"<nav>menu {own}</nav><p>Welcome</p><p>intro {own}</p><article><p>{own}</p><p>common</p></article><p>All rights</p>"
+    rows = [(i, f"http://a.org/{i}", page(f"story {i}")) for i in (1, 2, 3)]
+    got = {r.page_id: r.text for r in P.main_text(page_df(spark, rows)).collect()}
+    assert got == {i: f"intro story {i}\nstory {i}\ncommon" for i in (1, 2, 3)}

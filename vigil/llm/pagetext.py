@@ -15,8 +15,8 @@ Two kinds of lines are not left to that comparison:
 * lines of an ``article`` or ``main`` element stay even if shared: two copies
   of an article on one host would otherwise delete each other.
 
-Where a page has such an element, the main text is its lines; else the lines
-that the comparison leaves.
+All other lines are left to the comparison, beside an article too: the main
+text is the lines of such elements and what the comparison leaves around them.
 """
 
 from __future__ import annotations
@@ -178,8 +178,7 @@ class _Page:
 
     def row(self, partner: _Page | None) -> tuple:
         shared = shared_places(self.lines, partner.lines) if partner else set()
-        core = ZONE_CORE in self.zones
-        kept = [x for i, (x, z) in enumerate(zip(self.lines, self.zones)) if z == ZONE_CORE or not core and z == ZONE_LOOSE and i not in shared]
+        kept = [x for i, (x, z) in enumerate(zip(self.lines, self.zones)) if z == ZONE_CORE or z == ZONE_LOOSE and i not in shared]
         text = "\n".join(kept)
         return self.page_id, self.url, text, len(text), partner.page_id if partner else None, len(shared)
 
