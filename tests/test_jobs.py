@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from conftest import SF0001
+from sf_paths import SF0001
 from pyspark.sql import functions as F
 
 from vigil import jobs

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF001
+from sf_paths import SF001
 from oracle_compare import compare, duck
 
 import __spark_entry__ as E

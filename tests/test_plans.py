@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import pytest
-from conftest import SF0001
+from sf_paths import SF0001
 
 import __spark_entry__ as E
 from vigil.plans.checks import REGISTRY
