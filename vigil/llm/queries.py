@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chat, decontam, lines, packing, pagetext, quality, secrets, simhash, toxicity, warc
+from vigil.llm import align, chat, decontam, hardneg, lines, packing, pagetext, quality, secrets, simhash, tokencount, toxicity, warc
 from vigil.llm.common import Scratch, bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,25 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hilbert_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positives and score-window negatives of every hundredth vector.  Every
+    seventh row carries a shifted label, as if wrongly labelled."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.withColumn("label", label), hardneg.MiningRules(anchor_every=100))
+
+
+def op12_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and which documents are over 1024."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), limit=1024)
+
+
+def op13_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and piece tokens of every document aligned, with the corpus
+    figures of the linked ids."""
+    return align.alignment(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_suffix_array_repetition": op1_suffix_array_repetition,
     "op2_levenshtein_toxicity": op2_levenshtein_toxicity,
@@ -89,7 +108,11 @@ REGISTRY: dict[str, Query] = {
     "op8_simhash_gray_index": op8_simhash_gray_index,
     "op9_fuzzy_line_minhash": op9_fuzzy_line_minhash,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
+    "op11_hilbert_hard_negatives": op11_hilbert_hard_negatives,
+    "op12_whole_token_counts": op12_whole_token_counts,
+    "op13_interval_alignment": op13_interval_alignment,
 }
+
 _TURNS = """
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
@@ -104,6 +127,26 @@ SELECT p.page_id, p.bytes AS payload_bytes, sha1(p.html) AS payload_digest,
     CASE WHEN last.page_id > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN last.page_id > p.page_id THEN last.page_id END AS refers_to
 FROM p LEFT JOIN last ON p.bytes >= 1000 AND last.html = p.html
+""",
+    "op11_hilbert_hard_negatives": """
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+    SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+        (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank
+    FROM p JOIN scored s ON s.anchor_id = p.anchor_id
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
     "op7_chat_round_trip": f"""
 WITH turns AS ({_TURNS}),
