@@ -28,15 +28,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import Scratch, bounded_batches
+from vigil.llm.common import Scratch, bounded_batches, broadcast_if_small, fresh
 from vigil.llm.components import connected_components
 
 LEAF = 64
 FANOUT = 8
 PAIRS_AT_ONCE = 1 << 20
+#: Rows of representatives (three longs each) up to which they are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -61,17 +63,23 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return sum(1 << int(i) for i in np.flatnonzero(2 * counts > n))
 
 
+def text_id(text: Column) -> Column:
+    """Tells the texts of a repeated doc_id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per input row, ``fp`` the fingerprint as a
-    signed 64-bit long."""
+    """(doc_id, fp, text_id): one row per input row, ``fp`` the fingerprint as
+    a signed 64-bit long, ``text_id`` the XXH64 of the text (null: empty)."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["doc_id", "fp", "text_id"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_id(text).alias("text_id")).mapInArrow(run, "doc_id long, fp long, text_id long")
 
 
 # ----------------------------------------------------------------- local index
@@ -237,10 +245,12 @@ def links(fps: DataFrame, max_bits: int = 3, hot_rows: int = 100_000) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, hot_rows: int = 100_000) -> DataFrame:
-    """(doc_id, fp, component_id): one row per input row.
+    """(doc_id, fp, component_id, component, text_id): one row per input row.
 
     ``component_id`` is the smallest doc_id whose fingerprint is reachable by
-    links of at most ``max_bits`` differing bits, the document's own included.
+    links of at most ``max_bits`` differing bits, the document's own included;
+    ``component`` tells components apart whose doc_ids repeat (its smallest
+    fingerprint as a signed long), ``text_id`` the texts of one doc_id.
     Null and wordless texts have fingerprint zero and link like any other;
     repeated rows are returned as often as given; a null doc_id has no rank
     (a component of null ids only has a null component_id); columns other
@@ -252,6 +262,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, hot_ro
     groups = scratch.save(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "groups")
     cc = scratch.save(connected_components(links(groups.select("fp"), max_bits, hot_rows), scratch), "components")
     least = cc.join(groups, cc["node"] == groups["fp"]).groupBy("component").agg(F.min("least").alias("component_id"))
-    linked = cc.join(least, "component").select(F.col("node").alias("_fp"), F.col("component_id"))
-    by_fp = groups.join(linked, groups["fp"] == linked["_fp"], "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "least").alias("component_id"))
-    return fps.join(by_fp, fps["fp"] == by_fp["_fp"]).select("doc_id", "fp", "component_id")
+    linked = cc.join(least, "component").select(F.col("node").alias("_fp"), "component", "component_id")
+    by_fp = groups.join(linked, groups["fp"] == linked["_fp"], "left")
+    by_fp = by_fp.select(F.col("fp").alias("_fp"), F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "least").alias("component_id"))
+    return fps.join(by_fp, fps["fp"] == by_fp["_fp"]).select("doc_id", "fp", "component_id", "component", "text_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id, and
+    of several texts under it the one with the smallest ``text_id``.
+
+    A document is a doc_id with its text, so rows that repeat a doc_id with
+    another text are judged by their own fingerprint, and of rows equal in
+    both one stays (the least by a hash of all its columns).  Rows without a
+    doc_id stay as they are.  The result does not depend on the order of the
+    rows."""
+    scratch = Scratch(docs.sparkSession, "simhash-one")
+    doc, name, times = (fresh(docs, c) for c in ("_doc", "_name", "_times"))
+    own = near_duplicates(docs, shingle, max_bits).where("doc_id = component_id")
+    rows = own.groupBy("component", "doc_id", "text_id").agg(F.count(F.lit(1)).alias("n"))
+    reps = rows.groupBy("component").agg(F.min(F.struct("text_id", "doc_id", "n")).alias("s"))
+    reps = scratch.save(reps.select(F.col("s.doc_id").alias(doc), F.col("s.text_id").alias(name), F.col("s.n").alias(times)), "reps")
+    same = (F.col("doc_id").cast("long") == F.col(doc)) & (text_id(F.col("text")) == F.col(name))
+    kept = docs.join(broadcast_if_small(reps, reps.count(), BROADCAST_ROWS), same)
+    order = Window.partitionBy(doc, name).orderBy(F.xxhash64(*docs.columns))
+    repeated = kept.where(F.col(times) > 1).withColumn(times, F.row_number().over(order)).where(F.col(times) == 1)
+    return kept.where(F.col(times) == 1).unionAll(repeated).select(*docs.columns).unionAll(docs.where("doc_id is null"))
