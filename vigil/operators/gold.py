@@ -73,9 +73,13 @@ def stream_overview(prog: DataFrame, errors: DataFrame, sla: DataFrame, cfg: Mon
 
     All three inputs are aggregated to one row per stream before the two
     left joins, so the joins see (number of streams) rows per side."""
-    lb = latest_batch(prog, cfg)
-    es = last_error(errors, cfg).withColumnRenamed("query_id", "_es_qid")
-    sb = breach_counts(sla, cfg).withColumnRenamed("query_id", "_sb_qid")
+    return overview_status(latest_batch(prog, cfg), last_error(errors, cfg), breach_counts(sla, cfg), cfg)
+
+
+def overview_status(lb: DataFrame, es: DataFrame, sb: DataFrame, cfg: MonitorConfig) -> DataFrame:
+    """A4 from the per-stream aggregates A1, A2 and A3."""
+    es = es.withColumnRenamed("query_id", "_es_qid")
+    sb = sb.withColumnRenamed("query_id", "_sb_qid")
     now = as_of_col(cfg.as_of)
     j = lb.join(es, lb["query_id"] == es["_es_qid"], "left").join(sb, lb["query_id"] == sb["_sb_qid"], "left")
     breaches = F.coalesce(F.col("breach_count"), F.lit(0).cast("bigint"))

@@ -658,6 +658,11 @@ for _n, _order in (
 ):
     ORACLE[f"sql_alert_{_n}"] = _ranked(ORACLE[f"alert_{_n}"], _order)
 
+ORACLE["overview_by_delta"] = ORACLE["stream_overview"]
+ORACLE["backpressure_by_delta"] = ORACLE["backpressure"].replace(MONTH_END, lookback_days(AS_OF_END, None))
+ORACLE["state_growth_by_delta"] = ORACLE["state_store_health"].replace(MONTH_END, lookback_days(AS_OF_END, None))
+ORACLE["infrastructure_datasets"] = ORACLE["infra_cost_hourly"]
+
 ORACLE["observed_metrics"] = with_(["prog"], """
 SELECT query_id, query_name, batch_id, timestamp, 'quality' AS observation, metric, value FROM (
   SELECT query_id, query_name, batch_id, timestamp, 'duplicate_rate' AS metric, duplicate_rate AS value FROM prog WHERE has_quality
