@@ -19,6 +19,7 @@ SIDE_EFFECTS = {
     "sensor_ingest", "incremental_equals_batch", "sensor_window_agg", "foreach_batch_quality", "backpressure_stream",
     "listener_capture", "retention_filter", "compaction_preserves_rows", "materialize_datasets", "silver_flow_stream",
     "monitoring_tables", "streamed_table_lifecycle", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh", "data_quality_stream",
+    "overview_by_delta", "backpressure_by_delta", "state_growth_by_delta", "infrastructure_datasets",
 }
 PANDAS_ALLOWED = {"alert_rearm"}
 
