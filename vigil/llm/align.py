@@ -18,6 +18,7 @@ rows, are joined by a shuffle.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,7 @@ class ByteTokenizer(dict):
         self.first = len(self)
 
     def __missing__(self, piece: str) -> bytes:
-        got = np.array(self.pre.merge(piece), np.uint32).tobytes()
+        got = array("I", [t.id for t in self.pre.merge(piece)]).tobytes()
         if len(piece) <= CACHE_CHARS:
             if len(self) >= self.first + CACHE_ENTRIES:
                 self.clear()

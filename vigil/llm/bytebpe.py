@@ -19,7 +19,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 #: library itself.
 AGREED = regex.compile("[\x00-ɏ‐-‧]*+")
 #: Merged pre-tokens kept per worker, and the longest that is kept.
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
 
 
 def byte_strings(tokenizer: Tokenizer) -> dict[int, bytes]:
@@ -53,7 +53,7 @@ class Pretokens:
         self.tokenizer = tokenizer
         self.model = tokenizer.model
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.shown = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = str.maketrans({b: c for b, c in enumerate(_byte_characters())})
 
     def of(self, text: str) -> list[str]:
         if text.isascii() or AGREED.fullmatch(text):
@@ -63,8 +63,9 @@ class Pretokens:
     def by_library(self, text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def merge(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(self.shown(piece)[0][0])]
+    def merge(self, piece: str) -> list:
+        """The tokens (with ``id``) of one pre-token."""
+        return self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))
 
 
 def prove_whole(path: str) -> dict[str, int]:
@@ -81,6 +82,6 @@ def prove_whole(path: str) -> dict[str, int]:
         if i in added:
             continue
         text = decode.decode([word])
-        if "�" not in text and pre.by_library(text) == [text] and pre.merge(text) == [i]:
+        if "�" not in text and pre.by_library(text) == [text] and [t.id for t in pre.merge(text)] == [i]:
             whole[text] = i
     return whole
