@@ -114,11 +114,23 @@ def route(evaluated: DataFrame, escalation: DataFrame, environment: str) -> Data
 
 
 def grid_times(ts: str, lookback_seconds: int, step_seconds: int):
-    """Evaluation instants t (multiples of the step) with t - lookback <= ts <= t."""
+    """Evaluation instants t (multiples of the step) with t - lookback <= ts <= t
+    (none where a step longer than the lookback passes over the row)."""
     s = F.unix_seconds(F.col(ts))
     first = (F.ceil(s / F.lit(step_seconds)) * step_seconds).cast("bigint")
     last = (F.floor((s + F.lit(lookback_seconds)) / F.lit(step_seconds)) * step_seconds).cast("bigint")
-    return F.explode(F.sequence(first, last, F.lit(step_seconds).cast("bigint")))
+    return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(step_seconds).cast("bigint"))))
+
+
+def seen_rows(rows: DataFrame, lookback_minutes: int, start, end, ts: str = "timestamp") -> DataFrame:
+    """Rows that some instant in [start, end] can see (prunes days on stored
+    tables)."""
+    first = F.to_timestamp(F.lit(str(start))) - F.expr(f"INTERVAL {int(lookback_minutes)} MINUTES")
+    last = F.to_timestamp(F.lit(str(end)))
+    cond = (F.col(ts) >= first) & (F.col(ts) <= last)
+    if "event_date" in rows.columns:
+        cond = cond & (F.col("event_date") >= F.to_date(first)) & (F.col("event_date") <= F.to_date(last))
+    return rows.filter(cond)
 
 
 def backtest_rows(rows: DataFrame, lookback_minutes: int, step_seconds: int, start, end, ts: str = "timestamp") -> DataFrame:
@@ -131,23 +143,36 @@ def backtest_rows(rows: DataFrame, lookback_minutes: int, step_seconds: int, sta
     lb = lookback_minutes * 60
     lo = F.unix_seconds(F.to_timestamp(F.lit(str(start))))
     hi = F.unix_seconds(F.to_timestamp(F.lit(str(end))))
-    # only rows some instant in [start, end] can see: prunes days on stored tables
-    first = F.to_timestamp(F.lit(str(start))) - F.expr(f"INTERVAL {int(lookback_minutes)} MINUTES")
-    last = F.to_timestamp(F.lit(str(end)))
-    cond = (F.col(ts) >= first) & (F.col(ts) <= last)
-    if "event_date" in rows.columns:
-        cond = cond & (F.col("event_date") >= F.to_date(first)) & (F.col("event_date") <= F.to_date(last))
-    t = rows.filter(cond).select("*", grid_times(ts, lb, step_seconds).alias("_t"))
+    t = seen_rows(rows, lookback_minutes, start, end, ts).select("*", grid_times(ts, lb, step_seconds).alias("_t"))
     return t.filter((F.col("_t") >= lo) & (F.col("_t") <= hi))
 
 
 def backtest_counts(rows: DataFrame, detector: str, entity_col: str, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:
     """U9 for count-style alerts (SLA breach, termination): for every grid
-    instant in [start, end], the rows per entity inside its lookback."""
-    t = backtest_rows(rows, lookback_minutes, step_seconds, start, end).select(F.col(entity_col).cast("string").alias("entity"), "_t")
-    return t.groupBy("entity", "_t").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit(detector).alias("query_name"), "entity", "value", F.timestamp_seconds("_t").alias("evaluated_at")
-    )
+    instant in [start, end], the rows per entity inside its lookback.
+
+    A sweep line: a row adds one at the first instant that sees it and takes
+    one off after the last, so each row is sent on twice at most, whatever the
+    lookback and the step (and aggregated per task before it is).  The window
+    holds at most one row per entity and grid instant; the instants between
+    two changes are filled in after it."""
+    from pyspark.sql import Window
+
+    step = int(step_seconds)
+    s = F.unix_seconds(F.col("timestamp"))
+    lo = F.unix_seconds(F.to_timestamp(F.lit(str(start))))
+    hi = F.unix_seconds(F.to_timestamp(F.lit(str(end))))
+    first = (F.ceil(F.greatest(s, lo) / F.lit(step)) * step).cast("bigint")
+    last = (F.floor(F.least(s + F.lit(lookback_minutes * 60), hi) / F.lit(step)) * step).cast("bigint")
+    seen = seen_rows(rows, lookback_minutes, start, end).select(F.col(entity_col).cast("string").alias("entity"), first.alias("_first"), last.alias("_last"))
+    ends = F.array(F.struct(F.col("_first").alias("t"), F.lit(1).alias("d")), F.struct((F.col("_last") + step).alias("t"), F.lit(-1).alias("d")))
+    change = seen.filter(F.col("_first") <= F.col("_last")).select("entity", F.inline(ends)).groupBy("entity", "t").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy("entity").orderBy("t")
+    level = change.select("entity", "t", F.sum("d").over(w).cast("double").alias("value"), F.lead("t").over(w).alias("_next"))
+    instants = F.explode(F.sequence("t", F.col("_next") - step, F.lit(step).cast("bigint")))
+    return level.filter(F.col("value") > 0).select(
+        F.lit(detector).alias("query_name"), "entity", "value", instants.alias("_t")
+    ).select("query_name", "entity", "value", F.timestamp_seconds("_t").alias("evaluated_at"))
 
 
 def backtest_state_growth(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:

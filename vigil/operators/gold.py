@@ -160,6 +160,47 @@ def latency_sla(sla: DataFrame, cfg: MonitorConfig, bucket: str = "5 minutes") -
     )
 
 
+#: Size parameter of the stored latency sketches: ranks are then off by less
+#: than 0.014 in 99 of 100 reads (and exact up to 200 values).
+LATENCY_SKETCH_K = 200
+
+
+def latency_sketches(sla: DataFrame, cfg: MonitorConfig, bucket: str = "5 minutes") -> DataFrame:
+    """A6 in mergeable form: per bucket a KLL sketch of the latencies beside
+    the counts and the maximum.  Stored once, ``latency_from_sketches`` reads
+    any coarser grain from it without the raw rows."""
+    s = scoped(sla, cfg).filter(F.col("latency_ms").isNotNull())
+    return _bucketed(
+        s,
+        ["query_name", "sla_threshold_ms"],
+        bucket,
+        F.kll_sketch_agg_bigint("latency_ms", F.lit(LATENCY_SKETCH_K)).alias("latency_sketch"),
+        F.max("max_latency").alias("max_latency_ms"),
+        F.count(F.lit(1)).alias("batch_count"),
+        F.sum(F.when(F.col("sla_breach_flag"), 1).otherwise(0)).cast("bigint").alias("breach_count"),
+    )
+
+
+def latency_from_sketches(sketches: DataFrame, bucket: str | None) -> DataFrame:
+    """A6 per stream, threshold and ``bucket`` (None: the whole range) from
+    stored sketches: sketches merge (with a partial merge in each task),
+    counts add, maxima combine.  ``bucket`` must be a multiple of the stored
+    one."""
+    keys = ["query_name", "sla_threshold_ms"]
+    s = sketches if bucket is None else sketches.withColumn("time_bucket", F.window("time_bucket", bucket)["start"])
+    m = s.groupBy(*keys, *([] if bucket is None else ["time_bucket"])).agg(
+        F.kll_merge_agg_bigint("latency_sketch", F.lit(LATENCY_SKETCH_K)).alias("_k"),
+        F.max("max_latency_ms").alias("max_latency_ms"),
+        F.sum("batch_count").alias("batch_count"),
+        F.sum("breach_count").alias("breach_count"),
+    )
+    at = [F.kll_sketch_get_quantile_bigint("_k", F.lit(p)).alias(f"p{int(p * 100)}_latency_ms") for p in (0.5, 0.9, 0.99)]
+    pct = F.lit(100.0) * F.col("breach_count").cast("double") / F.col("batch_count").cast("double")
+    return m.select(
+        "query_name", *([] if bucket is None else ["time_bucket"]), *at, "max_latency_ms", "breach_count", "batch_count", round_half_up(pct, 2).alias("breach_percentage"), "sla_threshold_ms"
+    )
+
+
 def data_quality_hourly(dq: DataFrame, cfg: MonitorConfig, bucket: str = "1 hour") -> DataFrame:
     """Hourly duplicate %, dropped records, late %, schema changes."""
     return _bucketed(

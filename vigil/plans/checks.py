@@ -730,12 +730,22 @@ def monitoring_tables(c: Context) -> DataFrame:
 
 # ------------------------------------------------------ dashboard SQL -------
 
-def _ranked(df: DataFrame) -> DataFrame:
-    """``display_rank``: place of each row in the order it is delivered in."""
+def _ranked(c: Context, df: DataFrame) -> DataFrame:
+    """``display_rank``: place of each row in the order it is delivered in.
+
+    The ordered result is written with each row's partition and place in it;
+    the rows of earlier partitions are added from a count per partition, so
+    only that list of counts is ever ordered as a whole."""
     from pyspark.sql import Window
 
-    placed = df.withColumn("_place", F.monotonically_increasing_id())
-    return placed.withColumn("display_rank", F.row_number().over(Window.orderBy("_place"))).drop("_place")
+    place = F.monotonically_increasing_id()
+    out = _run_dir(c, "display")
+    df.withColumn("_part", F.shiftright(place, 33)).withColumn("_place", place.bitwiseAND(F.lit((1 << 33) - 1))).write.parquet(out)
+    rows = c.spark.read.parquet(out)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_part", F.coalesce(earlier, F.lit(0)).alias("_off"))
+    return rows.join(offsets, "_part").withColumn("display_rank", (F.col("_off") + F.col("_place") + 1).cast("int")).drop("_part", "_place", "_off")
 
 
 def _sql_check(dataset: str, context, **params):
@@ -744,7 +754,7 @@ def _sql_check(dataset: str, context, **params):
 
         m = context(c)
         views = {"stream_progress": m.prog, "stream_errors": m.errors if dataset == "alert_stream_terminated" else m.errors_raw, "sla_latency_metrics": m.sla, "data_quality_metrics": m.dq, "infrastructure_metrics": m.infra}
-        return _ranked(dashboard_sql.run(c.spark, dataset, views, m.cfg, **params))
+        return _ranked(c, dashboard_sql.run(c.spark, dataset, views, m.cfg, **params))
 
     fn.__doc__ = f"P20 / O1 / O2 / O5: the {dataset} read as parameterised Spark SQL, in display order."
     return fn
@@ -937,3 +947,85 @@ def data_quality_stream(c: Context) -> DataFrame:
         append_event_log(part, bronze)
         flows.run_quality_hourly_stream(c.spark, bronze, out, f"{base}/_ckpt", c.cfg)
     return c.spark.read.parquet(out)
+
+
+# ------------------------------------------- live detectors, as-of, rollups --
+
+LIVE_DELAY = "2190 minutes"
+
+
+def _disordered_drops(c: Context) -> list[DataFrame]:
+    """The bronze log in 10-day drops, where every third batch arrives a day
+    late (so that it often comes with the next drop)."""
+    from vigil.sources.progress_log import EPOCH
+
+    arrival = F.unix_seconds("timestamp") + F.when(F.col("batch_id") % 3 == 0, 86400).otherwise(0)
+    k = F.floor((arrival - F.lit(EPOCH)) / F.lit(SLICE_DAYS * 86400))
+    rows = c.bronze.withColumn("batch_id", F.get_json_object("sequence", "$.batch_id").cast("bigint"))
+    ids = sorted(r[0] for r in rows.select(k.alias("_k")).distinct().collect())
+    return [rows.filter(k == i).drop("batch_id") for i in ids]
+
+
+def _drain_drops(c: Context, stem: str, run, cfg) -> str:
+    from vigil.sources.event_log import append_event_log
+
+    base = _run_dir(c, stem)
+    for part in _disordered_drops(c):
+        append_event_log(part, f"{base}/bronze")
+        run(c.spark, f"{base}/bronze", f"{base}/out", f"{base}/_ckpt", cfg, LIVE_DELAY)
+    return f"{base}/out"
+
+
+@check("duration_spike_stream")
+def duration_spike_stream(c: Context) -> DataFrame:
+    """Spikes found on the live stream while batches arrive up to a
+    day out of order, for every batch the final watermark has passed."""
+    from vigil.streaming import flows
+
+    return c.spark.read.parquet(_drain_drops(c, "spike_stream", flows.run_spike_stream, c.cfg))
+
+
+@check("stream_status_changes")
+def stream_status_changes(c: Context) -> DataFrame:
+    """A4 live: when each stream became ACTIVE and, by a timer, INACTIVE
+    (no batch for over an hour), up to the final watermark."""
+    from vigil.streaming import flows
+
+    return c.spark.read.parquet(_drain_drops(c, "status_stream", flows.run_status_stream, c.cfg.with_(inactivity_minutes=60)))
+
+
+@check("tags_as_of")
+def tags_as_of(c: Context) -> DataFrame:
+    """J3 in time: each batch with the tags in force at its own time."""
+    from vigil.operators import asof
+
+    return asof.with_tags_as_of(c.prog, c.tag_history, c.cfg).select("query_id", "batch_id", "timestamp", "domain", "owner", "criticality")
+
+
+def _stored_sketches(c: Context) -> DataFrame:
+    out = f"{_run_dir(c, 'sketches')}/latency_sketches"
+    gold.latency_sketches(c.sla, c.cfg.with_(lookback_days=None)).write.parquet(out)
+    return c.spark.read.parquet(out)
+
+
+@check("latency_rollup_day")
+def latency_rollup_day(c: Context) -> DataFrame:
+    """Daily percentiles merged from stored 5-minute sketches (a
+    day's sketch holds few enough batches to be exact)."""
+    return gold.latency_from_sketches(_stored_sketches(c), "1 day")
+
+
+@check("latency_rollup_range")
+def latency_rollup_range(c: Context) -> DataFrame:
+    """Percentiles of the whole range from stored sketches; the true
+    rank of each (share of latencies up to it) is within 0.02 of the asked
+    one."""
+    merged = gold.latency_from_sketches(_stored_sketches(c), None)
+    raw = gold.scoped(c.sla, c.cfg.with_(lookback_days=None)).filter(F.col("latency_ms").isNotNull()).select(F.col("query_name").alias("_q"), "latency_ms")
+    quantiles = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    below = {p: F.avg((F.col("latency_ms") < F.col(f"{p}_latency_ms")).cast("double")) for p in quantiles}
+    upto = {p: F.avg((F.col("latency_ms") <= F.col(f"{p}_latency_ms")).cast("double")) for p in quantiles}
+    j = raw.join(merged, F.col("_q") == F.col("query_name"))
+    # the asked rank lies between the share below the value and the share up to it
+    near = [((below[p] <= q + 0.02) & (upto[p] >= q - 0.02)).alias(f"{p}_within_bound") for p, q in quantiles.items()]
+    return j.groupBy("query_name", "batch_count", "breach_count", "max_latency_ms").agg(*near)

@@ -75,6 +75,20 @@ class Context:
             F.when(et == "purchase", "high").when(et == "error", F.lit(None)).otherwise("low").alias("criticality"),
         )
 
+    @cached_property
+    def tag_history(self) -> DataFrame:
+        """Settings of tags over time: every event sets the tags of its stream
+        from its own time on, with the user's team as owner."""
+        v = F.col("value")
+        return self.events.select(
+            F.concat(F.lit("q-"), F.col("event_type")).alias("query_id"),
+            F.col("ts").cast("timestamp").alias("valid_from"),
+            F.col("event_id").alias("version"),
+            F.when(v < 10, "web").when(v < 30, "commerce").otherwise("platform").alias("domain"),
+            F.concat(F.lit("team-"), F.col("user_id").cast("string")).alias("owner"),
+            F.when(v < 5, F.lit(None)).when(v < 20, "low").otherwise("high").alias("criticality"),
+        )
+
     @cached_property
     def metrics(self) -> DataFrame:
         return silver.streaming_metrics(self.bronze, self.cfg)

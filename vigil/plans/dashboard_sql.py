@@ -1,9 +1,9 @@
 """The dashboard and alert reads as parameterised Spark SQL.
 
 Metrics are defined once, in ``operators/gold.py`` and ``operators/alerts.py``.
-Their results are exposed as views of one session; a read is one
-``spark.sql(text, args=...)`` that binds the entity to show (null: all) and
-gives the display order.
+A read is one ``spark.sql(text, args=...)`` over the metric's DataFrame that
+binds the entity to show (null: all) and gives the display order; the view it
+reads through is the call's own, so reads of one session do not meet.
 """
 
 from __future__ import annotations
@@ -36,11 +36,10 @@ READS: dict[str, tuple[Callable[..., DataFrame], str, str]] = {
 
 def sql_of(dataset: str) -> str:
     _, entity, order = READS[dataset]
-    return f"SELECT * FROM dashboard_{dataset} WHERE :entity IS NULL OR {entity} = :entity ORDER BY {order}"
+    return f"SELECT * FROM {{metric}} WHERE :entity IS NULL OR {entity} = :entity ORDER BY {order}"
 
 
 def run(spark: SparkSession, dataset: str, silver: Silver, cfg: MonitorConfig, entity: str | None = None, **params) -> DataFrame:
     """One read, in display order; ``params`` are those of an alert's
     definition (lookback, thresholds)."""
-    READS[dataset][0](silver, cfg, **params).createOrReplaceTempView(f"dashboard_{dataset}")
-    return spark.sql(sql_of(dataset), args={"entity": entity})
+    return spark.sql(sql_of(dataset), args={"entity": entity}, metric=READS[dataset][0](silver, cfg, **params))

@@ -680,3 +680,48 @@ SELECT query_name, date_trunc('hour', timestamp) AS time_bucket,
 FROM prog WHERE has_quality
 GROUP BY 1, 2
 HAVING date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= (SELECT MAX(timestamp) FROM prog WHERE has_quality) - INTERVAL 10 MINUTE""")
+
+# ------------------------------------------- live detectors, as-of, rollups --
+
+LIVE_WM = "(SELECT MAX(timestamp) - INTERVAL 2190 MINUTE FROM prog)"
+
+ORACLE["duration_spike_stream"] = with_(["prog"], f"""
+SELECT query_id, query_name, batch_id, batch_duration_ms, {r('avg20', 0)} AS rolling_avg_duration_ms,
+       {r('batch_duration_ms / NULLIF(avg20, 0)', 2)} AS spike_factor
+FROM (SELECT *, AVG(batch_duration_ms) OVER (PARTITION BY query_id ORDER BY batch_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS avg20
+      FROM prog WHERE environment = 'prod') x
+WHERE batch_duration_ms > 3.0 * avg20 AND timestamp <= {LIVE_WM}""")
+
+ORACLE["stream_status_changes"] = with_(["prog"], f"""
+, d AS (SELECT query_id, query_name, timestamp, LAG(timestamp) OVER w AS prv, LEAD(timestamp) OVER w AS nxt
+        FROM prog WHERE environment = 'prod' AND timestamp <= {LIVE_WM} WINDOW w AS (PARTITION BY query_id ORDER BY timestamp))
+SELECT query_id, query_name, 'ACTIVE' AS stream_status, timestamp AS since FROM d
+WHERE prv IS NULL OR timestamp - prv > INTERVAL 60 MINUTE
+UNION ALL
+SELECT query_id, query_name, 'INACTIVE', timestamp + INTERVAL 60 MINUTE FROM d
+WHERE COALESCE(nxt - timestamp > INTERVAL 60 MINUTE, timestamp + INTERVAL 60 MINUTE < {LIVE_WM})""")
+
+ORACLE["tags_as_of"] = with_(["prog"], """
+, h AS (SELECT 'q-' || event_type AS query_id, ts AS valid_from, arg_max(value, event_id) AS v, arg_max(user_id, event_id) AS u
+        FROM events GROUP BY 1, 2)
+SELECT p.query_id, p.batch_id, p.timestamp,
+       CASE WHEN h.u IS NULL THEN '' WHEN h.v < 10 THEN 'web' WHEN h.v < 30 THEN 'commerce' ELSE 'platform' END AS domain,
+       COALESCE('team-' || CAST(h.u AS VARCHAR), '') AS owner,
+       CASE WHEN h.u IS NULL OR h.v < 5 THEN 'medium' WHEN h.v < 20 THEN 'low' ELSE 'high' END AS criticality
+FROM prog p ASOF LEFT JOIN h ON p.query_id = h.query_id AND p.timestamp >= h.valid_from""")
+
+ORACLE["latency_rollup_day"] = with_(["sla"], f"""
+SELECT query_name, time_bucket(INTERVAL '1 day', timestamp) AS time_bucket,
+       quantile_disc(latency_ms, 0.5) AS p50_latency_ms, quantile_disc(latency_ms, 0.9) AS p90_latency_ms,
+       quantile_disc(latency_ms, 0.99) AS p99_latency_ms, MAX(latency_ms) AS max_latency_ms,
+       CAST(SUM(CASE WHEN sla_breach_flag THEN 1 ELSE 0 END) AS BIGINT) AS breach_count, COUNT(*) AS batch_count,
+       {r('100.0 * SUM(CASE WHEN sla_breach_flag THEN 1 ELSE 0 END) / CAST(COUNT(*) AS DOUBLE)', 2)} AS breach_percentage,
+       sla_threshold_ms
+FROM sla WHERE environment = 'prod' AND {lookback_days(AS_OF_END, None)} AND latency_ms IS NOT NULL
+GROUP BY 1, 2, sla_threshold_ms""")
+
+ORACLE["latency_rollup_range"] = with_(["sla"], f"""
+SELECT query_name, COUNT(*) AS batch_count, CAST(SUM(CASE WHEN sla_breach_flag THEN 1 ELSE 0 END) AS BIGINT) AS breach_count,
+       MAX(latency_ms) AS max_latency_ms, true AS p50_within_bound, true AS p90_within_bound, true AS p99_within_bound
+FROM sla WHERE environment = 'prod' AND {lookback_days(AS_OF_END, None)} AND latency_ms IS NOT NULL
+GROUP BY 1""")

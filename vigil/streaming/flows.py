@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vigil.config import MonitorConfig
 from vigil.operators import maintain, silver
 from vigil.sources.event_log import read_event_log_stream
+from vigil.streaming.ordered import duration_spike_stream, stream_status_changes
 from vigil.streaming.state import backpressure_stream
 
 
@@ -136,6 +137,21 @@ def run_backpressure_stream(spark: SparkSession, bronze_dir: str, out_dir: str,
     return q
 
 
+def _progress_stream(spark: SparkSession, bronze_dir: str, cfg: MonitorConfig) -> DataFrame:
+    prog = silver.progress(read_event_log_stream(spark, bronze_dir), cfg)
+    return prog.filter(F.col("environment") == F.lit(cfg.environment))
+
+
+def run_spike_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig, delay: str = "10 minutes"):
+    """Drain the progress stream into the live spike detector."""
+    return _run_append(duration_spike_stream(_progress_stream(spark, bronze_dir, cfg), delay), "duration_spike_stream", out_dir, checkpoint)
+
+
+def run_status_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig, delay: str = "10 minutes"):
+    """A4: drain the progress stream into the live status changes."""
+    return _run_append(stream_status_changes(_progress_stream(spark, bronze_dir, cfg), delay, cfg), "stream_status_changes", out_dir, checkpoint)
+
+
 def rate_demo(spark: SparkSession, out_name: str, rows_per_second: int = 100, seconds: float = 3.0):
     """S5 + K3: rate source into a memory sink on the default trigger,
     stopped after ``seconds`` (a live demo to attach the listener to)."""
