@@ -170,3 +170,71 @@ def test_display_ranks_cross_partitions(spark):
     c = Context(spark, "/none")
     rows = _ranked(c, df).collect()
     assert len(rows) == 1000 and all(r.display_rank == r.x + 1 for r in rows)
+
+
+@pytest.mark.parametrize("lookback,step,block", [(10, 300, 3), (10, 3600, 3), (2, 60, None), (600, 60, 4)])
+def test_state_growth_sweep(spark, lookback, step, block):
+    """Against every instant's own lookback, with ties, gaps and nulls."""
+    rng = np.random.default_rng(4)
+    rows = [
+        (f"s{q}", T0 + dt.timedelta(seconds=int(s), milliseconds=int(ms)), int(b), None if m == 0 else int(m))
+        for q, s, ms, b, m in zip(rng.integers(0, 2, 60), rng.integers(-3000, 9000, 60), rng.integers(0, 2, 60) * 500, rng.permutation(60), rng.integers(0, 9, 60))
+    ]
+    rows += [(q, t, b + 100, m) for q, t, b, m in rows[:20]]
+    df = spark.createDataFrame(rows, "query_name string, timestamp timestamp, batch_id long, state_memory_bytes long")
+    got = evaluate.backtest_state_growth(df, lookback, step, T0, T0 + dt.timedelta(hours=2), block, 1800)
+    want = {}
+    for t in range(0, 7201, step):
+        for q in ("s0", "s1"):
+            seen = sorted((ts, b, m) for qq, ts, b, m in rows if qq == q and t - lookback * 60 <= (ts - T0) // dt.timedelta(seconds=1) <= t)
+            if seen and seen[0][2] and seen[-1][2] is not None:
+                want[q, t] = 100.0 * (seen[-1][2] - seen[0][2]) / seen[0][2]
+    have = {(r.entity, r.t): r.value for r in got.select("entity", (F.unix_seconds("evaluated_at") - 1704067200).alias("t"), "value").collect()}
+    assert have.keys() == want.keys()
+    assert all(abs(have[k] - want[k]) < 0.0051 for k in want)
+
+
+def _evolved(spark, tmp_path, lines_by_drop):
+    from vigil import schemas
+    from vigil.streaming import evolve
+
+    base = str(tmp_path)
+    for lines in lines_by_drop:
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{base}/landing")
+        evolve.run_evolving_ingest(spark, f"{base}/landing", f"{base}/rows", f"{base}/log", f"{base}/ckpt", schemas.SENSOR_SOURCE)
+    return spark.read.parquet(f"{base}/rows"), evolve.schema_changes(spark.read.parquet(f"{base}/log"))
+
+
+def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
+    import json
+
+    lines = ['{"sensor_id": "a", "temperature": 7}', '{"sensor_id": "b", "temperature": "7.5", "x": {"y": {"z": 1}}}', '{"sensor_id": "c", "temperature": "warm"}',
+             '{"sensor_id": null, "temperature": null}', "no json", "[1]", "7", "{}", '{"sensor_id": "d"} tail']
+    rows, changes = _evolved(spark, tmp_path, [lines[:2], lines[2:]])
+    got = {(r.sensor_id, r.corrupt): r for r in rows.collect()}
+    assert len(rows.collect()) == len(lines)
+    assert got["a", None].temperature == 7.0 and got["a", None].rescued is None
+    assert got["b", None].temperature == 7.5 and json.loads(got["b", None].rescued) == {"x": {"y": {"z": 1}}}
+    assert got["c", None].temperature is None and json.loads(got["c", None].rescued) == {"temperature": "warm"}
+    assert {r.corrupt for r in rows.collect()} >= {"no json", "[1]", "7"}
+    c = {(r.batch_id, r.path, r.type): r.change for r in changes.collect()}
+    assert c[0, "$.x.y.z", "NUMBER"] == "INITIAL" and c[1, "$.temperature", "STRING"] == "KNOWN" and c[1, "$.sensor_id", "NULL"] == "NEW TYPE"
+
+
+def test_drop_without_objects(spark, tmp_path):
+    rows, changes = _evolved(spark, tmp_path, [["x", "{}"], ['{"a": [1]}']])
+    assert rows.count() == 3
+    assert [(r.batch_id, r.path, r.type, r.row_count) for r in changes.collect()] == [(1, "$.a", "ARRAY", 1)]
+
+
+def test_marks_carry_between_calls(spark):
+    from vigil.operators import quality
+
+    rows = [("s", b, T0 + dt.timedelta(days=d)) for b, d in [(0, 10), (0, 1), (1, 12), (1, 3), (2, 2), (2, 30)]] + [("t", 2, T0)]
+    df = spark.createDataFrame(rows, "stream string, batch long, at timestamp")
+    whole = quality.late_fraction(df, "stream", "batch", "at", 5 * 86400)
+    first, rest = df.filter("batch = 0"), df.filter("batch > 0")
+    marks = quality.event_time_marks(first, "stream", "at")
+    parts = quality.late_fraction(first, "stream", "batch", "at", 5 * 86400).unionByName(quality.late_fraction(rest, "stream", "batch", "at", 5 * 86400, carried=marks))
+    assert sorted(whole.collect()) == sorted(parts.collect())
+    assert quality.event_time_marks(rest, "stream", "at", marks).count() == 2

@@ -2,12 +2,12 @@
 
 * ``evaluate``: detector rows -> (alert, entity, value) -> fired when the
   rule's condition holds (``value > threshold``; COUNT rules count rows).
-  Rules are a small configuration table (size-checked) attached by a map
-  lookup inside each task, not by a join.
+  Rules are a small configuration table, attached by an equi-join.
 * ``route``: severity -> channel, plus the notification text.
 * ``backtest``: replays an alert over history on its evaluation grid
-  (every ``schedule_interval_seconds``) without a cross join: each metric row
-  is sent to the few grid instants whose lookback covers it.
+  (every ``schedule_interval_seconds``) without a cross join.  Counts and the
+  state growth are swept (rows sent on do not grow with the lookback); for
+  the row frames each row goes to the grid instants whose lookback covers it.
 * ``rearm``: suppresses re-notification within ``rearm_seconds`` of the last
   notification of the same (alert, entity).
 """
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from vigil import config as C
 from vigil import schemas
+from vigil.operators import frames
 
 # ---------------------------------------------------------------------------
 # The five alert rules (name, detector, schedule s, operator,
@@ -175,17 +176,42 @@ def backtest_counts(rows: DataFrame, detector: str, entity_col: str, lookback_mi
     ).select("query_name", "entity", "value", F.timestamp_seconds("_t").alias("evaluated_at"))
 
 
-def backtest_state_growth(prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end) -> DataFrame:
+def backtest_state_growth(
+    prog: DataFrame, lookback_minutes: int, step_seconds: int, start, end, block_rows: int | None = 1 << 16, chunk_seconds: int = 86_400
+) -> DataFrame:
     """U9 for alert 5: per grid instant and stream, state memory at the first
-    and last batch of the lookback (``min_by`` / ``max_by``) and the growth
-    percentage (null when the first is not positive)."""
+    and last batch of the lookback and the growth percentage (null when the
+    first is not positive).
+
+    A sweep: with the times of the rows before and after it, a row knows the
+    instants at which it is the last row seen (until the next row comes, or
+    it leaves the lookback) and the first (once the row before it has left).
+    These spans do not overlap within a stream, so a stream gives at most two
+    rows per instant, however long the lookback is."""
     from vigil.functions.core import round_half_up
 
-    t = backtest_rows(prog, lookback_minutes, step_seconds, start, end).select("query_name", "timestamp", "batch_id", "state_memory_bytes", "_t")
-    order = F.struct("timestamp", "batch_id")
-    g = t.groupBy("query_name", "_t").agg(F.min_by("state_memory_bytes", order).alias("_s"), F.max_by("state_memory_bytes", order).alias("_e"))
-    s, e = F.col("_s").cast("double"), F.col("_e").cast("double")
-    growth = F.when(F.col("_s") > 0, round_half_up(F.lit(100.0) * (e - s) / s, 2))
+    step, lb = int(step_seconds), int(lookback_minutes) * 60
+    order = ["timestamp", "batch_id"]
+    day = F.floor(F.unix_seconds("timestamp") / F.lit(chunk_seconds))
+    rows = seen_rows(prog, lookback_minutes, start, end).select("query_name", "timestamp", "batch_id", "state_memory_bytes", F.unix_seconds("timestamp").alias("_s"))
+    rows = frames.neighbours(rows, ["query_name"], order, "_s", "_prev", "_after", block_rows, day)
+    lo = F.unix_seconds(F.to_timestamp(F.lit(str(start))))
+    hi = F.unix_seconds(F.to_timestamp(F.lit(str(end))))
+
+    def span(first, last, oldest, newest):
+        """Grid instants of a span of whole seconds within [start, end]."""
+        t0 = (F.ceil(F.greatest(first, lo) / F.lit(step)) * step).cast("bigint")
+        t1 = (F.floor(F.least(last, hi) / F.lit(step)) * step).cast("bigint")
+        return F.struct(t0.alias("t0"), t1.alias("t1"), oldest.alias("oldest"), newest.alias("newest"))
+
+    s, leaves = F.col("_s"), F.col("_s") + lb
+    value, none = F.col("state_memory_bytes"), F.lit(None).cast("bigint")
+    spans = F.array(span(s, F.least(leaves, F.col("_after") - 1), none, value), span(F.greatest(s, F.col("_prev") + lb + 1), leaves, value, none))
+    spans = rows.select("query_name", F.inline(spans)).filter(F.col("t0") <= F.col("t1"))
+    at = spans.select("query_name", "oldest", "newest", F.explode(F.sequence("t0", "t1", F.lit(step).cast("bigint"))).alias("_t"))
+    g = at.groupBy("query_name", "_t").agg(F.max("oldest").alias("_s"), F.max("newest").alias("_e"))
+    first, last = F.col("_s").cast("double"), F.col("_e").cast("double")
+    growth = F.when(F.col("_s") > 0, round_half_up(F.lit(100.0) * (last - first) / first, 2))
     return g.select(
         F.lit("alert_state_memory_growth").alias("query_name"),
         F.col("query_name").alias("entity"),

@@ -110,6 +110,23 @@ def rows_frame(
     return out.filter(~F.col(_HALO)).drop(_BLOCK, _HALO, _IDX)
 
 
+def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, before: str, after: str, block_rows: int | None, chunk: Column | None = None) -> DataFrame:
+    """Add ``value`` of the key's previous and next row (null at the ends).
+
+    As ``rows_frame``, with halo rows on both sides: the first row of a block
+    also goes to the block before, the last one to the block after."""
+    if block_rows is None:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.select("*", F.lag(value).over(w).alias(before), F.lead(value).over(w).alias(after))
+    idx = dense_index(df, keys, order, chunk)
+    own, place = F.floor(F.col(_IDX) / F.lit(block_rows)), F.col(_IDX) % F.lit(block_rows)
+    targets = F.array_compact(F.array(own, F.when((place == 0) & (own > 0), own - 1), F.when(place == block_rows - 1, own + 1)))
+    u = idx.withColumn(_BLOCK, F.explode(targets)).withColumn(_HALO, F.col(_BLOCK) != own)
+    w = Window.partitionBy(*keys, _BLOCK).orderBy(_IDX)
+    out = u.select("*", F.lag(value).over(w).alias(before), F.lead(value).over(w).alias(after))
+    return out.filter(~F.col(_HALO)).drop(_BLOCK, _HALO, _IDX)
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str, chunk: Column) -> DataFrame:
     """Sum of ``value`` over the key's rows up to each row (by ``order``).
 

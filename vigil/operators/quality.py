@@ -64,15 +64,29 @@ def schema_drift(df: DataFrame, stream: str, batch: str, doc: Column, block_rows
     )
 
 
-def late_fraction(df: DataFrame, stream: str, batch: str, event_time: str, delay_seconds: int, chunk: Column | None = None) -> DataFrame:
+def event_time_marks(df: DataFrame, stream: str, event_time: str, carried: DataFrame | None = None) -> DataFrame:
+    """Newest event time per stream (``stream``, ``mark``) of ``df`` and of
+    marks carried over from earlier rows."""
+    rows = df.select(F.col(stream).alias("stream"), F.col(event_time).alias("mark"))
+    return (rows if carried is None else rows.unionByName(carried.select("stream", "mark"))).groupBy("stream").agg(F.max("mark").alias("mark"))
+
+
+def late_fraction(
+    df: DataFrame, stream: str, batch: str, event_time: str, delay_seconds: int, chunk: Column | None = None, carried: DataFrame | None = None
+) -> DataFrame:
     """Fraction of a batch's rows whose event time is older than the
     watermark in force for that batch: (max event time of the stream's
     earlier batches) - delay.  Rows of the first batch are never late.
 
     The running maximum is taken over the per-batch maxima (one row per
-    batch), so no window ever holds raw rows."""
+    batch), so no window ever holds raw rows.  ``carried`` holds the marks
+    (``event_time_marks``) of batches before those in ``df``: the live form
+    passes the marks of all earlier micro-batches."""
     per_batch = df.groupBy(stream, batch).agg(F.max(event_time).alias("_bmax"))
     prior = frames.max_before(per_batch, [stream], batch, "_bmax", "_prior", chunk)
+    if carried is not None:
+        known = carried.select(F.col("stream").alias("_stream"), F.col("mark").alias("_mark"))
+        prior = prior.join(known, F.col(stream) == F.col("_stream"), "left").withColumn("_prior", F.greatest("_prior", "_mark"))
     marks = prior.select(stream, batch, (F.col("_prior") - F.make_dt_interval(secs=F.lit(delay_seconds))).alias("_wm"))
     joined = df.join(marks, [stream, batch])
     late = F.coalesce(F.col(event_time) < F.col("_wm"), F.lit(False))

@@ -320,18 +320,37 @@ def schema_drift(c: Context) -> DataFrame:
     return d.drop("key_set")
 
 
+def _order_arrivals(c: Context) -> DataFrame:
+    return c.table("orders").select(
+        F.col("o_orderstatus").alias("stream"),
+        F.floor(F.col("o_orderkey") / 1024).cast("bigint").alias("batch_id"),
+        F.col("o_orderdate").cast("timestamp").alias("event_time"),
+    )
+
+
 @check("late_fraction")
 def late_fraction(c: Context) -> DataFrame:
     """Orders arriving in order-key batches of 1 024, event time = order
     date, watermark delay 365 days, per order status."""
     from vigil.operators import quality
 
-    o = c.table("orders").select(
-        F.col("o_orderstatus").alias("stream"),
-        F.floor(F.col("o_orderkey") / 1024).cast("bigint").alias("batch_id"),
-        F.col("o_orderdate").cast("timestamp").alias("event_time"),
-    )
-    return quality.late_fraction(o, "stream", "batch_id", "event_time", 365 * 86400, F.floor(F.col("batch_id") / 64))
+    return quality.late_fraction(_order_arrivals(c), "stream", "batch_id", "event_time", 365 * 86400, F.floor(F.col("batch_id") / 64))
+
+
+@check("late_fraction_stream")
+def late_fraction_stream(c: Context) -> DataFrame:
+    """T7 live: the same orders arriving in three drops of a stream, late rows
+    counted against marks carried between micro-batches."""
+    from vigil.streaming import flows
+
+    base = _run_dir(c, "lateness")
+    o = _order_arrivals(c)
+    third = o.agg(F.max("batch_id")).first()[0] // 3 + 1
+    for k in range(3):
+        o.filter(F.floor(F.col("batch_id") / third) == k).write.mode("append").parquet(f"{base}/landing")
+        source = c.spark.readStream.schema(o.schema).parquet(f"{base}/landing")
+        flows.run_lateness_stream(source, f"{base}/late", f"{base}/marks", f"{base}/_ckpt", "stream", "batch_id", "event_time", 365 * 86400)
+    return c.spark.read.parquet(f"{base}/late").drop("micro_batch")
 
 
 # ------------------------------------------------------- inspection ---------
@@ -1029,3 +1048,46 @@ def latency_rollup_range(c: Context) -> DataFrame:
     # the asked rank lies between the share below the value and the share up to it
     near = [((below[p] <= q + 0.02) & (upto[p] >= q - 0.02)).alias(f"{p}_within_bound") for p, q in quantiles.items()]
     return j.groupBy("query_name", "batch_count", "breach_count", "max_latency_ms").agg(*near)
+
+
+def _evolving_runs(c: Context) -> str:
+    """Sensor drops of ten days whose schema changes: from the second drop on
+    humidity is a text and a nested field is new, from the third on that one
+    has a further field."""
+    from vigil import schemas
+    from vigil.streaming import evolve, sensors
+
+    base = _run_dir(c, "evolving")
+    for k, part in enumerate(_time_slices(sensors.readings_from_events(c.events), F.to_timestamp("event_time"))):
+        if k >= 1:
+            inner = [F.col("region").alias("channel")] + ([F.col("pressure").alias("build")] if k >= 2 else [])
+            part = part.withColumns({"firmware": F.struct(*inner), "humidity": F.concat(F.col("humidity").cast("string"), F.lit(" %"))})
+        part.select(F.to_json(F.struct(*part.columns)).alias("value")).write.mode("append").text(f"{base}/landing")
+        evolve.run_evolving_ingest(c.spark, f"{base}/landing", f"{base}/bronze", f"{base}/schema_log", f"{base}/_ckpt", schemas.SENSOR_SOURCE)
+    return base
+
+
+@check("schema_changes")
+def schema_changes(c: Context) -> DataFrame:
+    """New fields, new types and nested paths seen by one checkpoint
+    over drops of changing schema."""
+    from vigil.streaming import evolve
+
+    return evolve.schema_changes(c.spark.read.parquet(f"{_evolving_runs(c)}/schema_log").withColumn("batch_id", F.col("batch_id").cast("bigint")))
+
+
+@check("evolving_ingest")
+def evolving_ingest(c: Context) -> DataFrame:
+    """S3 / K1: every row of those drops lands; fields that do not fit the
+    declared schema are rescued."""
+    rows = c.spark.read.parquet(f"{_evolving_runs(c)}/bronze")
+    channel = F.get_json_object("rescued", "$.firmware.channel") == F.col("region")
+    return rows.groupBy(F.to_date(F.try_to_timestamp("event_time")).alias("day"), "region").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.count("humidity").alias("typed_humidity"),
+        F.count(F.get_json_object("rescued", "$.humidity")).alias("rescued_humidity"),
+        F.count_if(channel).alias("rescued_channel"),
+        F.count(F.get_json_object("rescued", "$.firmware.build")).alias("rescued_build"),
+        F.max("temperature").alias("max_temperature"),
+        F.count("corrupt").alias("corrupt_lines"),
+    )

@@ -725,3 +725,25 @@ SELECT query_name, COUNT(*) AS batch_count, CAST(SUM(CASE WHEN sla_breach_flag T
        MAX(latency_ms) AS max_latency_ms, true AS p50_within_bound, true AS p90_within_bound, true AS p99_within_bound
 FROM sla WHERE environment = 'prod' AND {lookback_days(AS_OF_END, None)} AND latency_ms IS NOT NULL
 GROUP BY 1""")
+
+SLICE = f"CAST(floor((epoch_us(ts) - {EPOCH_US}) / 864000000000) AS BIGINT)"
+
+ORACLE["schema_changes"] = f"""
+WITH s AS (SELECT {SLICE} AS k, COUNT(*) AS n FROM events GROUP BY 1),
+p(path, type, since, until, kind) AS (VALUES
+  ('$.sensor_id', 'STRING', 0, 1000, ''), ('$.temperature', 'NUMBER', 0, 1000, ''), ('$.pressure', 'NUMBER', 0, 1000, ''),
+  ('$.event_time', 'STRING', 0, 1000, ''), ('$.region', 'STRING', 0, 1000, ''), ('$.facility', 'STRING', 0, 1000, ''),
+  ('$.humidity', 'NUMBER', 0, 0, ''), ('$.humidity', 'STRING', 1, 1000, 'NEW TYPE'),
+  ('$.firmware', 'OBJECT', 1, 1000, 'NEW FIELD'), ('$.firmware.channel', 'STRING', 1, 1000, 'NEW FIELD'),
+  ('$.firmware.build', 'NUMBER', 2, 1000, 'NEW FIELD'))
+SELECT k AS batch_id, path, type, n AS row_count, CASE WHEN k = 0 THEN 'INITIAL' WHEN k = since THEN kind ELSE 'KNOWN' END AS change
+FROM s JOIN p ON k >= since AND k <= until"""
+
+ORACLE["evolving_ingest"] = f"""
+SELECT CAST(ts AS DATE) AS day, event_type AS region, COUNT(*) AS record_count,
+       COUNT(CASE WHEN k = 0 THEN 1 END) AS typed_humidity, COUNT(CASE WHEN k >= 1 THEN 1 END) AS rescued_humidity,
+       COUNT(CASE WHEN k >= 1 THEN 1 END) AS rescued_channel, COUNT(CASE WHEN k >= 2 THEN 1 END) AS rescued_build,
+       MAX(value) AS max_temperature, CAST(0 AS BIGINT) AS corrupt_lines
+FROM (SELECT *, {SLICE} AS k FROM events) e GROUP BY 1, 2"""
+
+ORACLE["late_fraction_stream"] = ORACLE["late_fraction"]

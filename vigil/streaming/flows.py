@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.config import MonitorConfig
-from vigil.operators import maintain, silver
+from vigil.operators import maintain, quality, silver
 from vigil.sources.event_log import read_event_log_stream
 from vigil.streaming.ordered import duration_spike_stream, stream_status_changes
 from vigil.streaming.state import backpressure_stream
@@ -120,6 +120,29 @@ def run_quality_stream(source: DataFrame, out_dir: str, checkpoint: str):
     return q
 
 
+def run_lateness_stream(source: DataFrame, out_dir: str, marks_dir: str, checkpoint: str, stream: str, batch: str, event_time: str, delay_seconds: int):
+    """T7 live: late rows counted per batch as they arrive, before any
+    watermark drops them.
+
+    The mark in force (newest event time of a stream's earlier batches) is
+    carried from one micro-batch to the next as a table of one row per stream;
+    micro-batch N reads the marks of N - 1 and overwrites its own results and
+    marks, so a repeated micro-batch gives the same.  Rows are aggregated in
+    their tasks: a busy stream is not sent to one.  A batch must not be spread
+    over several micro-batches."""
+
+    def count(df: DataFrame, n: int) -> None:
+        spark = df.sparkSession
+        carried = spark.read.parquet(f"{marks_dir}/micro_batch={n - 1}") if n > 0 else None
+        late = quality.late_fraction(df, stream, batch, event_time, delay_seconds, carried=carried)
+        late.write.mode("overwrite").parquet(f"{out_dir}/micro_batch={n}")
+        quality.event_time_marks(df, stream, event_time, carried).write.mode("overwrite").parquet(f"{marks_dir}/micro_batch={n}")
+
+    q = source.writeStream.foreachBatch(count).queryName("lateness").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
 def run_backpressure_stream(spark: SparkSession, bronze_dir: str, out_dir: str, checkpoint: str, cfg: MonitorConfig, max_files_per_trigger: int = 1):
     """Sustained backpressure on the live progress stream (per-stream
     state), appended as rows arrive."""
