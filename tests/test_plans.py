@@ -8,7 +8,7 @@ import pytest
 from sf_paths import SF0001
 
 import __spark_entry__ as E
-from vigil.plans.checks import REGISTRY
+from vigil.plans.checks import REGISTRY, SQL_READS
 from vigil.operators import alerts, gold
 from vigil.plans.context import BASE, Context
 from vigil.plans.datasets import materialize
@@ -20,7 +20,9 @@ SIDE_EFFECTS = {
     "listener_capture", "retention_filter", "compaction_preserves_rows", "materialize_datasets", "silver_flow_stream",
     "monitoring_tables", "streamed_table_lifecycle", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh", "data_quality_stream",
     "overview_by_delta", "backpressure_by_delta", "state_growth_by_delta", "infrastructure_datasets",
-}
+    "duration_spike_stream", "stream_status_changes", "late_fraction_stream", "schema_changes", "evolving_ingest",
+    "latency_rollup_day", "latency_rollup_range",
+} | set(SQL_READS)  # these write their ordered rows; the reads themselves are inspected below
 PANDAS_ALLOWED = {"alert_rearm"}
 
 
@@ -37,6 +39,14 @@ def test_no_cross_join_no_row_udf(spark, name):
         assert "FlatMapGroupsInPandas" not in p and "MapInPandas" not in p, name
 
 
+@pytest.mark.parametrize("name", sorted(SQL_READS))
+def test_dashboard_reads_scan_the_given_tables(spark, name):
+    p = plan(SQL_READS[name](Context.of(spark, SF0001)))
+    assert "FileScan parquet" in p and "testdata/sf0.001" in p, name
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert bad not in p, (name, bad)
+
+
 def test_top_k_per_stream_is_a_group_limit(spark):
     c = Context(spark, SF0001)
     p = plan(alerts.sustained_backpressure(c.prog, c.cfg, lookback_minutes=10080, min_count=0))

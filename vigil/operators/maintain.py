@@ -3,9 +3,9 @@
 
 Tables are parquet, partitioned by ``event_date`` and registered in the
 session catalog as external tables, so retention is a partition drop (no
-data file is rewritten) and compaction is "write a compacted copy, then
-point the table at it" (``ALTER TABLE ... SET LOCATION``): readers see the
-old or the new files, never a mix.
+data file is rewritten).  Compaction writes the compacted files beside the
+table and swaps them in under a journal; a query that lists the files during
+the swap can see rows of a day twice, so it belongs where no reader runs.
 """
 
 from __future__ import annotations

@@ -767,23 +767,31 @@ def _ranked(c: Context, df: DataFrame) -> DataFrame:
     return rows.join(offsets, "_part").withColumn("display_rank", (F.col("_off") + F.col("_place") + 1).cast("int")).drop("_part", "_place", "_off")
 
 
-def _sql_check(dataset: str, context, **params):
-    def fn(c: Context) -> DataFrame:
+#: check -> its read before ranks are added
+SQL_READS: dict[str, Callable[[Context], DataFrame]] = {}
+
+
+def _sql_check(name: str, dataset: str, context, **params):
+    def read(c: Context) -> DataFrame:
         from vigil.plans import dashboard_sql
 
         m = context(c)
         views = {"stream_progress": m.prog, "stream_errors": m.errors if dataset == "alert_stream_terminated" else m.errors_raw, "sla_latency_metrics": m.sla, "data_quality_metrics": m.dq, "infrastructure_metrics": m.infra}
-        return _ranked(c, dashboard_sql.run(c.spark, dataset, views, m.cfg, **params))
+        return dashboard_sql.run(c.spark, dataset, views, m.cfg, **params)
+
+    def fn(c: Context) -> DataFrame:
+        return _ranked(c, read(c))
 
+    SQL_READS[name] = read
     fn.__doc__ = f"P20 / O1 / O2 / O5: the {dataset} read as parameterised Spark SQL, in display order."
-    return fn
+    check(name)(fn)
 
 
-check("sql_stream_overview")(_sql_check("stream_overview", _overview_ctx))
+_sql_check("sql_stream_overview", "stream_overview", _overview_ctx)
 for _name in ("throughput_trends", "latency_sla", "data_quality_hourly", "infra_cost_hourly"):
-    check(f"sql_{_name}")(_sql_check(_name, lambda c: c))
+    _sql_check(f"sql_{_name}", _name, lambda c: c)
 for _name in ("backpressure", "state_store_health"):
-    check(f"sql_{_name}")(_sql_check(_name, _month))
+    _sql_check(f"sql_{_name}", _name, _month)
 
 
 @check("alert_backtest_terminated")
@@ -940,11 +948,11 @@ def infrastructure_datasets(c: Context) -> DataFrame:
 
 # --------------------------------------------------------- alert SQL --------
 
-check("sql_alert_sla_breach")(_sql_check("alert_sla_breach", lambda c: c, lookback_minutes=DAY))
-check("sql_alert_backpressure")(_sql_check("alert_sustained_backpressure", lambda c: c, lookback_minutes=WEEK, min_count=4))
-check("sql_alert_duration_spike")(_sql_check("alert_batch_duration_spike", lambda c: c, lookback_minutes=MONTH))
-check("sql_alert_terminated")(_sql_check("alert_stream_terminated", lambda c: c, lookback_minutes=DAY))
-check("sql_alert_state_growth")(_sql_check("alert_state_memory_growth", lambda c: c, lookback_minutes=WEEK))
+_sql_check("sql_alert_sla_breach", "alert_sla_breach", lambda c: c, lookback_minutes=DAY)
+_sql_check("sql_alert_backpressure", "alert_sustained_backpressure", lambda c: c, lookback_minutes=WEEK, min_count=4)
+_sql_check("sql_alert_duration_spike", "alert_batch_duration_spike", lambda c: c, lookback_minutes=MONTH)
+_sql_check("sql_alert_terminated", "alert_stream_terminated", lambda c: c, lookback_minutes=DAY)
+_sql_check("sql_alert_state_growth", "alert_state_memory_growth", lambda c: c, lookback_minutes=WEEK)
 
 
 @check("observed_metrics")

@@ -105,13 +105,12 @@ def schema_changes(log: DataFrame) -> DataFrame:
     """U5 with types and nested paths: each (batch, path, type) of the schema
     log and what it means against all earlier batches: INITIAL (first batch of
     the log), NEW FIELD, NEW TYPE or KNOWN.  The log has a few rows per batch."""
-    begin = log.agg(F.min("batch_id").alias("_begin"))
+    begin = log.agg(F.min("batch_id")).first()[0]
     first_path = log.groupBy("path").agg(F.min("batch_id").alias("_first_path"))
     first_type = log.groupBy("path", "type").agg(F.min("batch_id").alias("_first_type"))
     b = F.col("batch_id")
     change = (
-        F.when(b == F.col("_begin"), "INITIAL").when(b == F.col("_first_path"), "NEW FIELD").when(b == F.col("_first_type"), "NEW TYPE").otherwise("KNOWN")
+        F.when(b == F.lit(begin), "INITIAL").when(b == F.col("_first_path"), "NEW FIELD").when(b == F.col("_first_type"), "NEW TYPE").otherwise("KNOWN")
     )
     j = log.join(first_path, "path").join(first_type, ["path", "type"])
-    # one row, so its broadcast is bounded
-    return j.withColumn("_one", F.lit(1)).join(F.broadcast(begin.withColumn("_one", F.lit(1))), "_one").select("batch_id", "path", "type", "row_count", change.alias("change"))
+    return j.select("batch_id", "path", "type", "row_count", change.alias("change"))
