@@ -41,26 +41,59 @@ def test_pipeline_then_alerts_then_maintenance(spark):
         assert counts["stream_errors"] == rows == spark.read.parquet(out["stream_errors"]).count() and counts["mv_stream_overview"] == 5
 
 
-def test_batches_and_swaps_are_idempotent(spark):
+def test_batches_and_merges_are_idempotent(spark):
     root = tempfile.mkdtemp(prefix="vigil-batch-")
     db = "vigil_swap_db"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.t (x bigint, event_date date) USING parquet PARTITIONED BY (event_date) LOCATION '{root}/t'")
+    schema = spark.range(1).select(F.col("id").alias("x")).schema
+    maintain.create_table(spark, f"{db}.t", schema, f"{root}/t")
     df = spark.range(100).select(F.col("id").alias("x"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("event_date"))
     for batch in (0, 1, 1, 0, 2):  # batches 0 and 1 are repeated
-        days = maintain.write_batch(df.repartition(3), f"{root}/t", "src", batch)
-        maintain.register_days(spark, f"{db}.t", days)
-    assert spark.table(f"{db}.t").count() == 300
-    # a swap cut off after its journal is finished by the next run
-    store = maintain._Store(spark, f"{root}/t")
-    old = [f"{d}/{f}" for d, f, _ in store.files("event_date=2024-01-01/*.parquet")]
-    spark.table(f"{db}.t").where("event_date = '2024-01-01'").coalesce(1).write.partitionBy("event_date").parquet(f"{root}/t/_compact/new")
-    import json
-
-    store.write("_compact/journal.json", json.dumps(old))
-    assert maintain.compact(spark, f"{db}.t", ["x"]) == ["2024-01-02", "2024-01-03"]
-    assert spark.table(f"{db}.t").count() == 300 and len(store.files("event_date=*/*.parquet")) == 3
+        maintain.insert_batch(df.repartition(3), f"{db}.t", maintain.stream_batch("src", batch))
+    t = lambda: spark.table(f"{db}.t")
+    assert t().count() == 300
+    # the newest batch of the stream stays as it is, the others become one
+    assert maintain.compact(spark, f"{db}.t", ["x"]) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert t().count() == 300 and t().agg(F.sum("x")).first()[0] == 3 * 4950
+    assert {r[0].split("-")[0] for r in t().select("write_batch").distinct().collect()} == {"src", "merge"}
     assert maintain.compact(spark, f"{db}.t", ["x"]) == []
+    # a restart writes its last batch again
+    maintain.insert_batch(df, f"{db}.t", maintain.stream_batch("src", 2))
+    assert t().count() == 300
+
+
+def test_cut_off_merges_lose_and_repeat_nothing(spark):
+    root = tempfile.mkdtemp(prefix="vigil-cut-")
+    spark.sql("CREATE DATABASE IF NOT EXISTS vigil_cut_db")
+    name, loc = "vigil_cut_db.t", f"{root}/t"
+    maintain.create_table(spark, name, spark.range(1).select(F.col("id").alias("x")).schema, loc)
+    df = spark.range(60).select(F.col("id").alias("x"), F.lit("2024-01-01").cast("date").alias("event_date"))
+    for b in ("load-a", "load-b"):
+        maintain.insert_batch(df, name, b)
+    log = spark.createDataFrame([("merge-1", "2024-01-01", "load-a"), ("merge-1", "2024-01-01", "load-b")], "run string, day string, batch string")
+    # cut off before the rewrite: nothing changes
+    log.write.parquet(f"{loc}/_merges/merge-1")
+    maintain._finish_merges(spark, name, loc)
+    assert spark.table(name).count() == 120 and not os.path.exists(f"{loc}/_merges")
+    # cut off after the rewrite: the next run puts it in place
+    log.write.parquet(f"{loc}/_merges/merge-1")
+    maintain.write_batch(spark.table(name).drop("write_batch").coalesce(1), loc, "merge-1")
+    assert spark.table(name).count() == 120  # not yet registered
+    maintain._finish_merges(spark, name, loc)
+    assert spark.table(name).count() == 120 and [r[0] for r in spark.table(name).select("write_batch").distinct().collect()] == ["merge-1"]
+    assert sorted(os.listdir(f"{loc}/event_date=2024-01-01")) == ["write_batch=merge-1"]
+
+
+def test_cluster_key(spark):
+    import datetime as dt
+
+    rows = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"), F.lit(None).cast("string").alias("c"))
+    keys = rows.withColumn("z", maintain.cluster_key(rows, ["a", "b"], 2)).groupBy("z").agg(F.count("*").alias("n"), F.max("a") - F.min("a"), F.max("b") - F.min("b")).collect()
+    assert len(keys) == 16 and all(tuple(k[1:]) == (256, 15, 15) for k in keys)  # 16 squares
+    assert rows.select(maintain.cluster_key(rows, ["c"])).distinct().collect() == [(0,)]
+    assert rows.limit(0).select(maintain.cluster_key(rows.limit(0), ["a"])).count() == 0
+    stamped = rows.withColumn("t", F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(F.col("a")))
+    assert stamped.select(maintain.cluster_key(stamped, ["t", "a"])).distinct().count() > 16
 
 
 def test_alerts_job_rearm_across_runs(spark):

@@ -21,7 +21,7 @@ SIDE_EFFECTS = {
     "monitoring_tables", "streamed_table_lifecycle", "throughput_trends_stream", "latency_sla_stream", "gold_incremental_refresh", "data_quality_stream",
     "overview_by_delta", "backpressure_by_delta", "state_growth_by_delta", "infrastructure_datasets",
     "duration_spike_stream", "stream_status_changes", "late_fraction_stream", "schema_changes", "evolving_ingest",
-    "latency_rollup_day", "latency_rollup_range",
+    "latency_rollup_day", "latency_rollup_range", "history_duplicates", "clustered_layout",
 } | set(SQL_READS)  # these write their ordered rows; the reads themselves are inspected below
 PANDAS_ALLOWED = {"alert_rearm"}
 

@@ -1,24 +1,31 @@
 """Table lifecycle: DDL, row counts, retention, compaction, inspection
 (K6, K8-K11, S12, O4).
 
-Tables are parquet, partitioned by ``event_date`` and registered in the
-session catalog as external tables, so retention is a partition drop (no
-data file is rewritten).  Compaction writes the compacted files beside the
-table and swaps them in under a journal; a query that lists the files during
-the swap can see rows of a day twice, so it belongs where no reader runs.
+Tables are parquet, partitioned by ``event_date`` and ``write_batch`` and
+registered in the session catalog as external tables.  Every load and every
+micro-batch is partitions of its own, written by dynamic partition overwrite,
+so a repeated batch replaces itself; retention is a partition drop.
+
+Compaction is a Spark rewrite of many small batches of a day into one new
+batch.  The catalog then drops the old partitions of the day and adds the new
+one: two commands, so a query planned between them misses that day's merged
+rows, and one that reads the folder rather than the table sees them twice
+until the old folders are gone.  It belongs where no reader runs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-from collections.abc import Mapping
+import hashlib
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 PARTITION = "event_date"
+BATCH = "write_batch"
 
 # Clustering columns of the monitoring tables (file sort order
 # used by compaction, so min/max statistics prune by these columns).
@@ -36,22 +43,42 @@ def _ddl_type(t) -> str:
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, location: str, comment: str | None = None) -> None:
-    """K6: CREATE TABLE ... USING parquet PARTITIONED BY (event_date),
-    NOT NULL columns as declared, with a table comment."""
+    """K6: CREATE TABLE ... USING parquet PARTITIONED BY (event_date,
+    write_batch), NOT NULL columns as declared, with a table comment."""
     cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
     cmt = f" COMMENT '{comment}'" if comment else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `{PARTITION}` date) USING parquet "
-        f"PARTITIONED BY (`{PARTITION}`) LOCATION '{location}'{cmt}"
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `{PARTITION}` date, `{BATCH}` string) USING parquet "
+        f"PARTITIONED BY (`{PARTITION}`, `{BATCH}`) LOCATION '{location}'{cmt}"
     )
 
 
 def append(df: DataFrame, name: str, ts: str = "timestamp") -> None:
-    """Append rows to a registered table, deriving the partition column
-    (columns are matched by name; extra columns are left out)."""
-    spark = df.sparkSession
-    target = spark.table(name).columns
-    df.withColumn(PARTITION, F.to_date(F.col(ts))).select(*target).write.insertInto(name)
+    """Append rows to a registered table as one load, deriving the partition
+    columns (columns are matched by name; extra columns are left out)."""
+    insert_batch(df.withColumn(PARTITION, F.to_date(F.col(ts))), name, f"load-{uuid.uuid4().hex[:12]}")
+
+
+def insert_batch(df: DataFrame, name: str, batch: str) -> None:
+    """Rows with their ``event_date`` as the partitions of one batch of a
+    catalog table (which registers them); a repeated batch replaces itself."""
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.withColumn(BATCH, F.lit(batch)).select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def stream_batch(source: str, batch_id: int) -> str:
+    """Batch name of a stream's micro-batch; names of one stream sort by id."""
+    return f"{source}-{batch_id:012d}"
+
+
+def write_batch(df: DataFrame, location: str, batch: str) -> None:
+    """The same into a folder that no catalog table registers."""
+    df.withColumn(BATCH, F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(location)
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
@@ -84,17 +111,24 @@ def apply_retention(spark: SparkSession, name: str, as_of: dt.datetime | str, da
     read or rewritten.  Returns the dropped partition values."""
     cutoff = retention_cutoff(as_of, days)
     parts = _partitions(spark, name)
-    location = table_location(spark, name)
-    dropped = []
-    for p in parts:
-        value = p.split("=", 1)[1]
-        if dt.date.fromisoformat(value) < cutoff:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION} = DATE'{value}')")
-            _delete_path(spark, f"{location.rstrip('/')}/{PARTITION}={value}")
-            dropped.append(value)
+    location = table_location(spark, name).rstrip("/")
+    old = [p for p in parts if p[PARTITION] != "__HIVE_DEFAULT_PARTITION__" and dt.date.fromisoformat(p[PARTITION]) < cutoff]
+    _drop_partitions(spark, name, old)
+    dropped = sorted({p[PARTITION] for p in old})
+    for value in dropped:
+        _delete_path(spark, f"{location}/{PARTITION}={value}")
     return dropped
 
 
+def _spec(part: Mapping[str, str]) -> str:
+    return "PARTITION (" + ", ".join(f"{k} = DATE'{v}'" if k == PARTITION else f"{k} = '{v}'" for k, v in part.items()) + ")"
+
+
+def _drop_partitions(spark: SparkSession, name: str, parts: Sequence[Mapping[str, str]]) -> None:
+    if parts:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(_spec, parts))}")
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     return next(r[1] for r in rows if r[0] == "Location")
@@ -110,8 +144,8 @@ def _delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _partitions(spark: SparkSession, name: str) -> list[str]:
-    """Partition values of a table, after registering partitions written
+def _partitions(spark: SparkSession, name: str) -> list[dict[str, str]]:
+    """Partitions (column -> value) of a table, after registering partitions written
     straight into its folder (by streams).  A table whose folder does not
     exist yet has none."""
     try:
@@ -120,7 +154,7 @@ def _partitions(spark: SparkSession, name: str) -> list[str]:
         if "FileNotFoundException" not in str(e) and "PATH_NOT_FOUND" not in str(e):
             raise
         return []
-    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return [dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
 
 def retained(df: DataFrame, as_of: dt.datetime | str, days: int) -> DataFrame:
@@ -132,107 +166,123 @@ def retained(df: DataFrame, as_of: dt.datetime | str, days: int) -> DataFrame:
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 
-class _Store:
-    """File metadata operations of a table folder on the cluster's file
-    system, from the driver."""
-
-    def __init__(self, spark: SparkSession, location: str):
-        self.jvm = spark.sparkContext._jvm
-        self.root = location.rstrip("/")
-        self.fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-
-    def files(self, pattern: str) -> list[tuple[str, str, int]]:
-        """(folder, file, bytes) of the files below the root that match."""
-        found = self.fs.globStatus(self._path(pattern)) or []
-        return sorted((f.getPath().getParent().getName(), f.getPath().getName(), f.getLen()) for f in found if f.isFile())
-
-    def move(self, source: str, target: str) -> None:
-        self.fs.mkdirs(self._path(target).getParent())
-        if not self.fs.rename(self._path(source), self._path(target)):
-            raise OSError(f"cannot move {source} to {target} in {self.root}")
-
-    def delete(self, name: str) -> None:
-        self.fs.delete(self._path(name), True)
-
-    def write(self, name: str, text: str) -> None:
-        out = self.fs.create(self._path(name), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-
-    def read(self, name: str) -> str | None:
-        if not self.fs.exists(self._path(name)):
-            return None
-        size = self.fs.getFileStatus(self._path(name)).getLen()
-        data = self.fs.open(self._path(name)).readNBytes(size)
-        return bytes(data).decode()
-
-
-def write_batch(df: DataFrame, location: str, source: str, batch_id: int) -> list[str]:
-    """One micro-batch into plain day partitions, idempotent: the batch is
-    written beside the table and its files are moved into the days under
-    names that hold ``source`` and ``batch_id``; a repeated batch first takes
-    away what an earlier attempt moved.  No sink log is kept, so retention and
-    compaction may replace any file.  Returns the days."""
-    store = _Store(df.sparkSession, location)
-    staging, prefix = f"_staging-{source}", f"{source}-{batch_id:012d}-"
-    store.delete(staging)
-    df.write.mode("overwrite").partitionBy(PARTITION).parquet(f"{store.root}/{staging}")
-    for day, name, _ in store.files(f"{PARTITION}=*/{prefix}*"):
-        store.delete(f"{day}/{name}")
-    moved = store.files(f"{staging}/{PARTITION}=*/part-*")
-    for day, name, _ in moved:
-        store.move(f"{staging}/{day}/{name}", f"{day}/{prefix}{name}")
-    store.delete(staging)
-    return sorted({day.split("=", 1)[1] for day, _, _ in moved})
-
-
-def register_days(spark: SparkSession, name: str, days: list[str]) -> None:
-    for d in days:
-        if d != "__HIVE_DEFAULT_PARTITION__":
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({PARTITION} = DATE'{d}')")
-    spark.catalog.refreshTable(name)
-
+#: Bits per clustering column, and rows that place the boundaries.
+CLUSTER_BITS = 5
+BOUNDARY_ROWS = 4096
+
+
+def cluster_key(rows: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS) -> Column:
+    """K9: a Z-order key over several columns: their quantile ranks (2^bits
+    steps, nulls first), bits interleaved, first column highest.
+
+    Boundaries come from a sample of at most ``BOUNDARY_ROWS`` rows (by hash,
+    so any number of partitions gives the same); they place rows in files and
+    change no result."""
+    # a value of its own per row, so that repeated values keep their weight
+    salt = F.xxhash64(*columns, F.monotonically_increasing_id())
+    sample = rows.select(*columns).orderBy(salt).limit(BOUNDARY_ROWS).collect()
+    ranks = []
+    for c in columns:
+        values = sorted(r[c] for r in sample if r[c] is not None)
+        cuts = sorted({values[len(values) * i >> bits] for i in range(1, 1 << bits)}) if values else []
+        above = [(F.col(c) >= F.lit(x)).cast("int") for x in cuts]
+        # few values are spread over all steps, so that their high bits differ
+        rank = sum(above, F.lit(0)) * F.lit(1 << bits) / F.lit(len(cuts) + 1)
+        ranks.append(F.coalesce(F.floor(rank).cast("int"), F.lit(0)))
+    key = F.lit(0).cast("bigint")
+    for bit in reversed(range(bits)):
+        for rank in ranks:
+            key = F.shiftleft(key, 1).bitwiseOR(F.shiftright(rank, bit).bitwiseAND(F.lit(1)))
+    return key
+
+
+def files_touched(rows: DataFrame, column: str, values: Sequence) -> float:
+    """Mean share of files whose range of ``column`` holds a value: what a
+    filter on it reads by file statistics."""
+    ranges = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    shares = [F.avg(((F.col("lo") <= F.lit(v)) & (F.col("hi") >= F.lit(v))).cast("double")) for v in values]
+    return ranges.select((sum(shares, F.lit(0.0)) / len(values)).alias("share")).first()[0]
+
+
+def _file_sizes(spark: SparkSession, location: str) -> dict[tuple[str, str], list[int]]:
+    """Bytes of the files of each (day, batch), from file-system metadata."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{location}/{PARTITION}=*/{BATCH}=*/[!_.]*")
+    out: dict[tuple[str, str], list[int]] = {}
+    for f in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []:
+        folder = f.getPath().getParent()
+        key = (folder.getParent().getName().split("=", 1)[1], folder.getName().split("=", 1)[1])
+        out.setdefault(key, []).append(f.getLen())
+    return out
 
-def compact(spark: SparkSession, name: str, sort_cols: list[str], target_file_bytes: int = TARGET_FILE_BYTES) -> list[str]:
-    """K9: rewrite, in place, the days that have more files than their size
-    asks for; returns those days.
 
-    File sizes come from file-system metadata.  The days' rows are range
-    partitioned by (event_date, sort keys), so one busy day is written by
-    several tasks and min/max statistics prune well.  The new files are
-    written beside the table; a journal names the files they replace before
-    any is touched, and the next run finishes a swap that was cut off."""
-    if not _partitions(spark, name):
+def _mergeable(batches: Sequence[str]) -> set[str]:
+    """Batches a merge may take: all but the newest of each stream, which a
+    restart may write again."""
+    newest: dict[str, str] = {}
+    for b in batches:
+        source, number = b.rsplit("-", 1)
+        if source not in ("load", "merge"):
+            newest[source] = max(newest.get(source, b), b)
+    return set(batches) - set(newest.values())
+
+
+def compact(spark: SparkSession, name: str, sort_cols: list[str], target_file_bytes: int = TARGET_FILE_BYTES, layout: str = "linear") -> list[str]:
+    """K9: rewrite the days whose mergeable batches have more files than their
+    size asks for into one new batch each; returns those days.
+
+    Rows are range partitioned by (event_date, sort columns), or with
+    ``layout="z"`` by (event_date, Z-order key of the sort columns), so one
+    busy day is written by several tasks and file statistics prune.  What the
+    merge replaces is written down first: a run that is cut off leaves either
+    an unused new batch or old partitions that the next run drops.  Tables
+    without a ``write_batch`` column are left as they are."""
+    if BATCH not in spark.table(name).columns or not _partitions(spark, name):
         return []
-    store = _Store(spark, table_location(spark, name))
-    _finish_swap(store)
-    by_day: dict[str, list[tuple[str, int]]] = {}
-    for day, file, size in store.files(f"{PARTITION}=*/[!_.]*"):
-        by_day.setdefault(day, []).append((file, size))
-    due = {d: fs for d, fs in by_day.items() if len(fs) > max(1, -(-sum(x for _, x in fs) // target_file_bytes))}
+    location = table_location(spark, name).rstrip("/")
+    _finish_merges(spark, name, location)
+    sizes = _file_sizes(spark, location)
+    free = _mergeable([b for _, b in sizes])
+    by_day: dict[str, list[tuple[str, list[int]]]] = {}
+    for (day, batch), files in sizes.items():
+        if batch in free:
+            by_day.setdefault(day, []).append((batch, files))
+    wanted = {d: max(1, -(-sum(sum(f) for _, f in bs) // target_file_bytes)) for d, bs in by_day.items()}
+    due = sorted(d for d, bs in by_day.items() if sum(len(f) for _, f in bs) > wanted[d])
     if not due:
         return []
-    schema = spark.table(name).schema
-    rows = spark.read.schema(schema).option("basePath", store.root).parquet(*[f"{store.root}/{d}" for d in sorted(due)])
-    n = max(len(due), -(-sum(x for fs in due.values() for _, x in fs) // target_file_bytes))
-    rows.repartitionByRange(n, PARTITION, *sort_cols).sortWithinPartitions(PARTITION, *sort_cols).write.mode("overwrite").partitionBy(PARTITION).parquet(f"{store.root}/_compact/new")
-    store.write("_compact/journal.json", json.dumps([f"{d}/{f}" for d, fs in due.items() for f, _ in fs]))
-    _finish_swap(store)
+    replaced = sorted((d, b) for d in due for b, _ in by_day[d])
+    run = "merge-" + hashlib.sha1(repr(replaced).encode()).hexdigest()[:12]
+    spark.createDataFrame([(run, d, b) for d, b in replaced], "run string, day string, batch string").write.mode("overwrite").parquet(f"{location}/_merges/{run}")
+    rows = spark.read.schema(spark.table(name).schema).option("basePath", location).parquet(*[f"{location}/{PARTITION}={d}/{BATCH}={b}" for d, b in replaced]).drop(BATCH)
+    order = [F.col(c) for c in sort_cols]
+    if layout == "z":
+        rows = rows.withColumn("_z", cluster_key(rows, sort_cols))
+        order = [F.col("_z"), *order]
+    rows = rows.repartitionByRange(sum(wanted[d] for d in due), PARTITION, *order).sortWithinPartitions(PARTITION, *order).drop("_z")
+    write_batch(rows, location, run)
+    _finish_merges(spark, name, location)
+    return due
+
+
+def _finish_merges(spark: SparkSession, name: str, location: str) -> None:
+    """Put finished merges in the place of what they replaced, then delete it."""
+    jvm = spark.sparkContext._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{location}/_merges")
+    fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(log):
+        return
+    merges: dict[tuple[str, str], list[str]] = {}
+    for r in spark.read.schema("run string, day string, batch string").parquet(f"{location}/_merges/*").collect():  # one row per replaced partition
+        merges.setdefault((r["run"], r["day"]), []).append(r["batch"])
+    for (run, day), batches in merges.items():
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{location}/{PARTITION}={day}/{BATCH}={run}")):
+            _drop_partitions(spark, name, [{PARTITION: day, BATCH: b} for b in batches])
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {_spec({PARTITION: day, BATCH: run})}")
+            for b in batches:
+                _delete_path(spark, f"{location}/{PARTITION}={day}/{BATCH}={b}")
+    fs.delete(log, True)
     spark.catalog.refreshTable(name)
-    return sorted(d.split("=", 1)[1] for d in due)
-
-
-def _finish_swap(store: _Store) -> None:
-    journal = store.read("_compact/journal.json")
-    if journal is not None:
-        for day, file, _ in store.files(f"_compact/new/{PARTITION}=*/part-*"):
-            store.move(f"_compact/new/{day}/{file}", f"{day}/compact-{file}")
-        for old in json.loads(journal):
-            store.delete(old)
-    store.delete("_compact")
 
 
 def latest(df: DataFrame, n: int, order: list[str]) -> DataFrame:
@@ -242,7 +292,8 @@ def latest(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 def create_monitoring_tables(spark: SparkSession, database: str, root: str) -> list[str]:
     """K6 / K7: the database and every monitoring table (bronze, five silver,
-    sensor bronze and gold) as external parquet tables partitioned by day."""
+    sensor bronze and gold) as external parquet tables partitioned by day and
+    batch."""
     from vigil import schemas
 
     tables = {

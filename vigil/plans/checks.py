@@ -510,7 +510,7 @@ def retention_filter(c: Context) -> DataFrame:
 
 @check("compaction_preserves_rows")
 def compaction_preserves_rows(c: Context) -> DataFrame:
-    """K9: the many small files of each day compacted in place; per day the
+    """K9: the many small files of each day rewritten as one batch; per day the
     row count and id range are unchanged."""
     from vigil import schemas
     from vigil.operators import maintain
@@ -524,6 +524,32 @@ def compaction_preserves_rows(c: Context) -> DataFrame:
     )
 
 
+@check("clustered_layout")
+def clustered_layout(c: Context) -> DataFrame:
+    """K9 by several columns: the SLA rows in one table compacted by
+    (latency_ms, timestamp) in Z order and in another in linear order; rows
+    per stream of the first, and whether a filter on the second column then
+    touches less than two thirds of the share of files it touches in the second
+    (from the range of values in each file)."""
+    from vigil import schemas
+    from vigil.operators import maintain
+
+    tables, rows = {}, c.sla.withColumn("event_date", F.date_trunc("MONTH", "timestamp").cast("date"))
+    for layout in ("linear", "z"):
+        tables[layout], loc = _table_location(c, f"layout_{layout}")
+        maintain.create_table(c.spark, tables[layout], schemas.SLA_LATENCY_METRICS, loc)
+        maintain.insert_batch(rows.repartition(64), tables[layout], "load-0")
+        maintain.compact(c.spark, tables[layout], ["latency_ms", "timestamp"], target_file_bytes=24 * 1024, layout=layout)
+    stored = {k: c.spark.table(t) for k, t in tables.items()}
+    ends = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    instants = [ends[0] + (ends[1] - ends[0]) * (i / 16) for i in range(1, 16)]
+    share = {k: maintain.files_touched(df, "timestamp", instants) for k, df in stored.items()}
+    per_stream = stored["z"].groupBy("query_name").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"), F.sum("latency_ms").alias("total_latency_ms")
+    )
+    return per_stream.withColumn("fewer_files_by_time", F.lit(3 * share["z"] < 2 * share["linear"]))
+
+
 @check("streamed_table_lifecycle")
 def streamed_table_lifecycle(c: Context) -> DataFrame:
     """S2 / K9 / K10 on one table: the errors flow streams into a catalog
@@ -720,7 +746,7 @@ def silver_flow_stream(c: Context) -> DataFrame:
     for part in _time_slices(c.bronze, F.col("timestamp")):
         append_event_log(part, bronze)
         flows.run_silver_flow(c.spark, bronze, out, f"{base}/_ckpt", "sla_latency_metrics", c.cfg)
-    return c.spark.read.parquet(out).drop("ingestion_ts", "event_date")
+    return c.spark.read.parquet(out).drop("ingestion_ts", "event_date", "write_batch")
 
 
 @check("monitoring_tables")
@@ -1099,3 +1125,18 @@ def evolving_ingest(c: Context) -> DataFrame:
         F.max("temperature").alias("max_temperature"),
         F.count("corrupt").alias("corrupt_lines"),
     )
+
+
+@check("history_duplicates")
+def history_duplicates(c: Context) -> DataFrame:
+    """U3 against history: events in ten-day batches, each met with the sketch
+    of all before it; repeated keys (user and whole value) counted exactly
+    where the estimate is above 5 %."""
+    from vigil.operators import history
+
+    root = f"{_run_dir(c, 'history')}/events"
+    rows = c.events.withColumn("whole_value", F.floor("value"))
+    for k, part in enumerate(_time_slices(rows, F.col("ts").cast("timestamp"))):
+        history.record_batch(part, root, k, "event_type", ["user_id", "whole_value"], tolerance=0.05, lg_entries=16)
+    out = c.spark.read.parquet(f"{root}/repeats")
+    return out.select(F.col("source").alias("event_type"), F.col("batch_id").cast("bigint").alias("batch_id"), "record_count", "distinct_estimate", "repeated_estimate", "confirmed", "repeated_rows")

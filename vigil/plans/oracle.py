@@ -747,3 +747,18 @@ SELECT CAST(ts AS DATE) AS day, event_type AS region, COUNT(*) AS record_count,
 FROM (SELECT *, {SLICE} AS k FROM events) e GROUP BY 1, 2"""
 
 ORACLE["late_fraction_stream"] = ORACLE["late_fraction"]
+
+ORACLE["history_duplicates"] = f"""
+WITH e AS (SELECT event_type, {SLICE} AS k, user_id, CAST(floor(value) AS BIGINT) AS v FROM events),
+f AS (SELECT event_type, user_id, v, MIN(k) AS first_k FROM e GROUP BY 1, 2, 3),
+x AS (SELECT e.*, f.first_k < e.k AS again FROM e JOIN f ON e.event_type = f.event_type AND e.user_id = f.user_id AND e.v = f.v),
+g AS (SELECT event_type, k AS batch_id, COUNT(*) AS record_count, COUNT(DISTINCT (user_id, v)) AS distinct_estimate,
+             COUNT(DISTINCT (user_id, v)) FILTER (WHERE again) AS repeated_estimate, COUNT(*) FILTER (WHERE again) AS n
+      FROM x GROUP BY 1, 2)
+SELECT event_type, batch_id, record_count, distinct_estimate, repeated_estimate,
+       repeated_estimate > 0.05 * distinct_estimate AS confirmed,
+       CASE WHEN repeated_estimate > 0.05 * distinct_estimate THEN n END AS repeated_rows FROM g"""
+
+ORACLE["clustered_layout"] = with_(["sla"], """
+SELECT query_name, COUNT(*) AS row_count, MIN(timestamp) AS first_ts, MAX(timestamp) AS last_ts,
+       CAST(SUM(latency_ms) AS BIGINT) AS total_latency_ms, true AS fewer_files_by_time FROM sla GROUP BY 1""")

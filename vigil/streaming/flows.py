@@ -33,9 +33,9 @@ def run_silver_flow(
 ):
     """One stateless silver flow (streaming_metrics / stream_progress /
     stream_errors / sla_latency_metrics / data_quality_metrics) from the
-    bronze stream, with its own checkpoint.  Each micro-batch goes into plain
-    day partitions (``maintain.write_batch``: idempotent, no sink log), which
-    retention and compaction may rewrite.  Default: drain what is there
+    bronze stream, with its own checkpoint.  Each micro-batch goes into
+    partitions of its own below its days (``maintain.write_batch``: idempotent,
+    no sink log), which retention and compaction may rewrite.  Default: drain what is there
     (``availableNow``) and stop; with ``processing_time`` (T6) the flow runs
     continuously and the running query is returned.
 
@@ -61,13 +61,14 @@ def run_silver_flow(
         out = silver.data_quality_metrics(silver.progress(bronze, cfg), cfg)
     else:
         raise ValueError(table)
-    location = maintain.table_location(spark, to_table) if to_table else out_dir
     source = hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        days = maintain.write_batch(batch, location, source, batch_id)
+        name = maintain.stream_batch(source, batch_id)
         if to_table:
-            maintain.register_days(batch.sparkSession, to_table, days)
+            maintain.insert_batch(batch, to_table, name)
+        else:
+            maintain.write_batch(batch, out_dir, name)
 
     q = out.withColumn("event_date", F.to_date("timestamp")).writeStream.foreachBatch(write).queryName(f"silver_{table}").option("checkpointLocation", checkpoint)
     q = q.trigger(processingTime=processing_time) if processing_time else q.trigger(availableNow=True)
