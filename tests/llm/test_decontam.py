@@ -70,10 +70,10 @@ def test_substitutions_and_edges(spark):
     bench = items_df(spark, [(10, " ".join(item)), (10, " ".join(item)), (11, "short item of six words"), (12, "tiny item"), (13, None), (None, "a b c d e f")])
     got = {r.doc_id: (r.contaminated, list(r["items"])) for r in decontam.contamination(docs_df(spark, rows), bench).collect()}
     yes, no = (True, [10]), (False, [])
-    assert got == {1: yes, 2: no, 3: yes, 4: no, 5: no, 6: no, None: yes, 7: (True, [11]), 8: no, 9: (True, [])}
+    assert got == {1: yes, 2: no, 3: yes, 4: no, 5: no, 6: no, None: yes, 7: (True, [11]), 8: (True, [12]), 9: (True, [])}
     clean = decontam.clean_documents(docs_df(spark, rows), bench)
     assert clean.columns == docs_df(spark, rows).columns
-    assert sorted((r.doc_id, (r.text or "")[:8]) for r in clean.collect()) == [(1, "harmless"), (2, "f0 f1 f2"), (4, "q0 q1 q2"), (5, ""), (6, ""), (8, "tiny ite")]
+    assert sorted((r.doc_id, (r.text or "")[:8]) for r in clean.collect()) == [(1, "harmless"), (2, "f0 f1 f2"), (4, "q0 q1 q2"), (5, ""), (6, "")]
     assert decontam.contamination(docs_df(spark, rows), bench.limit(0)).where("contaminated").count() == 0
     assert decontam.contamination(docs_df(spark, rows).limit(0), bench).count() == 0
 
@@ -85,6 +85,34 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, decontam.overlaps(docs, bench).collect())) == sorted(map(tuple, want))
 
 
+def test_every_allowed_substitution_of_every_length_is_found(spark):
+    from itertools import combinations
+
+    rules = decontam.SeedRules()
+    assert [n for n in range(1, 14) if decontam.missed(rules, n)] == [1, 2, 3, 4, 5, 6, 7, 8, 10]
+    items, docs = [], []
+    for n in range(1, 15):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        span = min(n, rules.min_words)
+        for count in (rules.substitutions(span), rules.substitutions(span) + 1):
+            for changed in combinations(range(span), count):
+                docs.append((len(docs), " ".join(["before"] * 3 + ["other" if i in changed else w for i, w in enumerate(words)] + ["after"])))
+    want = brute(docs, items)
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(docs_df(spark, docs), items_df(spark, items)).collect()}
+    assert got == want and len(want) > 200
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.7, 1.0])
+def test_own_masks_leave_one_intact(similarity):
+    from itertools import combinations
+
+    rules = decontam.SeedRules(similarity=similarity)
+    for n in range(1, rules.min_words + 1):
+        for changed in combinations(range(n), rules.substitutions(n)):
+            assert any(all(m[i] == "0" for i in changed) for m in decontam.own_masks(rules, n)), (n, changed)
+
+
 def test_masks_are_checked():
     with pytest.raises(ValueError):
         decontam.SeedRules(masks=("0110",))

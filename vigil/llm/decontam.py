@@ -3,6 +3,10 @@
 A mask is a pattern of used and ignored token places.  Every place of every
 benchmark item and of every document gives one hash per mask over the used
 places, so a window with substituted words at ignored places still hits.
+Lengths at which some allowed choice of substituted words would leave no mask
+intact (found by going through all choices: with the given masks items below
+nine words and those of ten) get masks of that very length in place of the
+general ones, one of which every allowed choice leaves intact.
 The item side is broadcast if its counted size is within a bound (else both
 sides are shuffled by hash).  Only document places that hit leave the scan,
 each with the token hashes around it.
@@ -14,7 +18,10 @@ shorter) has at least ``similarity`` equal words.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import cache
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,14 +41,48 @@ class SeedRules:
     masks: tuple[str, ...] = ("1101011", "11100101", "110010011")
     min_words: int = 13
     similarity: float = 0.8
-    #: Items of fewer words are not looked for.
-    least_item_words: int = 5
+    #: Items of fewer words are not looked for (1: all items with a word).
+    least_item_words: int = 1
 
     def __post_init__(self):
         if any(m[0] != "1" or m[-1] != "1" or set(m) - {"0", "1"} for m in self.masks):
             raise ValueError("a mask starts and ends with 1")
         if max(map(len, self.masks)) > self.min_words:
             raise ValueError("a mask is no longer than the shortest overlap")
+        if not 0 < self.similarity <= 1:
+            raise ValueError("similarity lies above 0, up to 1")
+
+    def substitutions(self, length: int) -> int:
+        """Words of an overlap of this length that may differ."""
+        return length - math.ceil(length * self.similarity - 1e-9)
+
+
+@cache
+def missed(rules: SeedRules, length: int) -> bool:
+    """Whether some allowed substitution in an overlap of this length leaves
+    no general mask intact."""
+    placed = [{i + u for u, c in enumerate(m) if c == "1"} for m in rules.masks for i in range(length - len(m) + 1)]
+    return any(all(p & set(changed) for p in placed) for changed in combinations(range(length), rules.substitutions(length)))
+
+
+def own_masks(rules: SeedRules, length: int) -> list[str]:
+    """Masks over a whole overlap of this length, one of which stays intact
+    whatever words are substituted: places are dealt to classes in turn, and
+    each mask ignores one class of three (one substitution) or uses one class
+    of k + 1 (k substitutions)."""
+    k = rules.substitutions(length)
+    if k == 0:
+        return ["1" * length]
+    if k == 1:
+        masks = ["".join("0" if i % 3 == r else "1" for i in range(length)) for r in range(3)]
+    else:
+        masks = ["".join("1" if i % (k + 1) == r else "0" for i in range(length)) for r in range(k + 1)]
+    return [m for m in dict.fromkeys(masks) if "1" in m]
+
+
+def _own(rules: SeedRules, length: int) -> list[tuple[str, int]]:
+    """Those masks with their numbers."""
+    return [(m, 1000 * length + r) for r, m in enumerate(own_masks(rules, length))]
 
 
 def word_hashes(text: Column) -> Column:
@@ -61,29 +102,31 @@ def _seeds(words: Column, mask: str, number: int) -> Column:
 def item_seeds(benchmark: DataFrame, rules: SeedRules) -> tuple[DataFrame, DataFrame]:
     """Items (item_id, item) and their seeds (h, item_no, ipos).
 
-    Items of fewer words than the longest mask get contiguous seeds of their
-    own length in place of the masks."""
+    Items of a length (``min_words`` for longer ones) at which the general
+    masks miss an allowed substitution get the masks of that length."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(benchmark["text"]).alias("item")).where(F.size("item") >= rules.least_item_words).distinct()
     items = items.withColumn("item_no", F.xxhash64("item_id", "item"))
-    span = max(map(len, rules.masks))
+    length = F.least(F.size("item"), F.lit(rules.min_words))
+    special = [n for n in range(rules.least_item_words, rules.min_words + 1) if missed(rules, n)]
+    general = items.where(~length.isin(special)) if special else items
     seeds = None
     for number, mask in enumerate(rules.masks):
-        one = items.where(F.size("item") >= span).select("item_no", F.posexplode(_seeds(F.col("item"), mask, number)).alias("ipos", "h"))
+        one = general.select("item_no", F.posexplode(_seeds(F.col("item"), mask, number)).alias("ipos", "h"))
         seeds = one if seeds is None else seeds.unionAll(one)
-    for length in range(rules.least_item_words, span):
-        short = items.where(F.size("item") == length)
-        seeds = seeds.unionAll(short.select("item_no", F.posexplode(_seeds(F.col("item"), "1" * length, 1000 + length)).alias("ipos", "h")))
+    for n in special:
+        own = F.concat(*[F.transform(_seeds(F.col("item"), m, i), lambda h, at: F.struct(at.alias("ipos"), h.alias("h"))) for m, i in _own(rules, n)])
+        seeds = seeds.unionAll(items.where(length == n).select("item_no", F.inline(own)))
     return items, seeds.select("h", "item_no", "ipos")
 
 
-def _document_seeds(docs: DataFrame, rules: SeedRules, short_lengths: list[int]) -> DataFrame:
-    """(doc_id, words, h, mask, at): a row per place and mask; ``words`` are
-    those of its segment."""
+def _document_seeds(docs: DataFrame, rules: SeedRules, special: list[int]) -> DataFrame:
+    """(doc_id, words, h, at): a row per place and mask (the general ones and
+    those of the ``special`` lengths); ``words`` are those of its segment."""
     lap = 2 * rules.min_words + max(map(len, rules.masks))
     w = docs.select(F.col("doc_id"), word_hashes(docs["text"]).alias("w"))
     last = F.greatest(F.floor((F.size("w") - lap) / SEGMENT), F.lit(0)).cast("int")
     segs = w.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("w", k * SEGMENT + 1, F.lit(SEGMENT + lap)))).alias("words"))
-    masks = [(m, i) for i, m in enumerate(rules.masks)] + [("1" * n, 1000 + n) for n in short_lengths]
+    masks = [(m, i) for i, m in enumerate(rules.masks)] + [m for n in special for m in _own(rules, n)]
     arrays = F.array(*[_seeds(F.col("words"), m, i) for m, i in masks])
     rows = segs.select("doc_id", "words", F.explode(arrays).alias("hashes"))
     return rows.select("doc_id", "words", F.posexplode("hashes").alias("at", "h"))
@@ -97,8 +140,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rules: SeedRules = SeedRules
     seeds = scratch.save(seeds.distinct(), "seeds")
     n_seeds = seeds.count()
     span = max(map(len, rules.masks))
-    short = sorted(r[0] for r in items.where(F.size("item") < span).select(F.size("item")).distinct().collect())  # at most span values
-    places = _document_seeds(docs, rules, short)
+    lengths = items.select(F.least(F.size("item"), F.lit(rules.min_words))).distinct().collect()  # at most min_words values
+    places = _document_seeds(docs, rules, sorted(r[0] for r in lengths if missed(rules, r[0])))
     keys = seeds.select(F.col("h").alias("_h"), "item_no", "ipos")
     hits = places.join(broadcast_if_small(keys, n_seeds, BROADCAST_ROWS), F.col("h") == F.col("_h"))
     # the words around the hit, and the place in them that aligns with item place ipos
@@ -132,7 +175,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rules: SeedRules = Seed
     is contaminated if one of them is, and so are rows without a doc_id taken
     together; items that repeat are reported once per item_id (null item_ids
     count in ``contaminated`` but are not listed); other columns are ignored;
-    an empty benchmark contaminates nothing.
+    an empty benchmark contaminates nothing.  Items of fewer than five words
+    allow no substitution: they are found where all their words stand.
     """
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     found = overlaps(src, benchmark, rules).groupBy(F.col("doc_id").alias("_doc")).agg(F.sort_array(F.collect_set("item_id")).alias("items"))
