@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
+
+from pyspark.sql import functions as F
 
 from vigil.llm import warc
 from vigil.llm.common import Scratch
@@ -41,6 +44,21 @@ def test_pushdown_and_uncommitted_files(spark):
     assert df.sparkSession.read.format("warc").load(path).where("record_type <> 'warcinfo'").count() == 11
 
 
+def test_every_record_is_dated_once(spark):
+    path = Scratch(spark, "warc-test").path("dated")
+    warc.write_pages(pages_df(spark, ROWS), path)
+    rows = spark.read.format("warc").load(path)
+    dates = [r[0] for r in rows.select("headers.WARC-Date").collect()]
+    assert len(dates) > 10 and all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", d or "") for d in dates)
+    own = warc.page_records(pages_df(spark, ROWS[:1])).withColumn("headers", F.create_map(F.lit("WARC-Date"), F.lit("2001-02-03T04:05:06Z")))
+    own.write.format("warc").mode("append").save(path + "-own")
+    again = spark.read.format("warc").load(path + "-own").where("record_type <> 'warcinfo'")
+    assert [r[0] for r in again.select("headers.WARC-Date").collect()] == ["2001-02-03T04:05:06Z"]
+    store, root = warc._open_fs(path + "-own")
+    raw = b"".join(store.open_input_stream(f.path).read() for f in store.get_file_info(warc.fs.FileSelector(root)) if f.path.endswith(".warc"))
+    assert raw.count(b"\r\nWARC-Date: ") == 2
+
+
 def test_unwanted_blocks_are_not_read():
     class Counting(io.BytesIO):
         read_bytes = 0

@@ -21,6 +21,7 @@ import posixpath
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -58,6 +59,11 @@ def header_value(text: str) -> str:
     return "".join(quote(c, safe="") if ord(c) < 32 or ord(c) == 127 else c for c in text)
 
 
+def record_date() -> str:
+    """The time of writing, which a record must carry if its row names none."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
 def write_record(out, headers: Iterable[tuple[str, str]], block: bytes) -> int:
     head = VERSION + b"\r\n" + b"".join(f"{k}: {header_value(v)}\r\n".encode() for k, v in headers) + f"Content-Length: {len(block)}\r\n\r\n".encode()
     out.write(head)
@@ -211,8 +217,10 @@ class WarcWriter(DataSourceArrowWriter):
                     files.append(f"part-{uuid.uuid4().hex}.warc")
                     out = io.BufferedWriter(store.open_output_stream(posixpath.join(root, files[-1])), 1 << 20)
                     info = b"format: WARC File Format 1.1\r\n"
-                    size = write_record(out, [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("Content-Type", "application/warc-fields")], info)
+                    size = write_record(out, [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", record_date()), ("Content-Type", "application/warc-fields")], info)
                 headers = [(h, row[c]) for c, h in HEADERS.items() if row[c] is not None] + list(row["headers"] or [])
+                if not any(h.lower() == "warc-date" for h, _ in headers):
+                    headers.append(("WARC-Date", record_date()))
                 size += write_record(out, [*headers, ("Content-Type", "application/http; msgtype=response")], http_block(row["payload"]))
                 if size >= self.max_file_bytes:
                     out.close()
