@@ -238,3 +238,29 @@ def test_marks_carry_between_calls(spark):
     parts = quality.late_fraction(first, "stream", "batch", "at", 5 * 86400).unionByName(quality.late_fraction(rest, "stream", "batch", "at", 5 * 86400, carried=marks))
     assert sorted(whole.collect()) == sorted(parts.collect())
     assert quality.event_time_marks(rest, "stream", "at", marks).count() == 2
+
+
+def test_batch_schema_reads_a_batch_once(spark):
+    from pyspark.sql.types import StringType
+
+    from vigil.streaming import evolve
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    text = ['{"a": 1, "o": {"x": "s", "y": 2.5}, "e": {}}', '{"a": null, "o": {"y": 1}, "l": [1]}', "{}"]
+    rows = spark.createDataFrame([(x,) for x in text], "line string").withColumn("line", F.udf(seen, StringType()).asNondeterministic()("line"))
+    got = {(r.path, r.type): r.row_count for r in evolve.batch_schema(rows.withColumn("payload", F.try_parse_json("line"))).collect()}
+    assert got == {("$.a", "NUMBER"): 1, ("$.a", "NULL"): 1, ("$.o", "OBJECT"): 2, ("$.o.x", "STRING"): 1, ("$.o.y", "NUMBER"): 2, ("$.e", "OBJECT"): 1, ("$.l", "ARRAY"): 1}
+    assert read.value == len(text)
+
+
+def test_batch_schema_of_deep_objects(spark, tmp_path):
+    deep = '{"a": ' * 9 + "7" + "}" * 9
+    _, changes = _evolved(spark, tmp_path, [[deep, f" \t{deep}", '{"a": {"b": 1, "a": {}}, "a.a": true}']])
+    got = {(r.path, r.type, r.row_count) for r in changes.collect()}
+    want = {("$" + ".a" * k, "OBJECT", 2 + (k < 3)) for k in range(1, 9)} | {("$" + ".a" * 9, "NUMBER", 2), ("$.a.b", "NUMBER", 1), ("$.a.a", "BOOLEAN", 1)}
+    assert got == want

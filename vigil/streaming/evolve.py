@@ -11,7 +11,6 @@ any depth.
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +28,17 @@ def landed_lines(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     parsed = r.load(landing_dir).select(F.col("value").alias("line"), F.try_parse_json("value").alias("payload"))
-    return parsed.withColumn("payload", F.when(_kind(F.col("payload")) == "OBJECT", F.col("payload")))
+    # what parses and begins with a brace is an object; only the rest is asked for its schema
+    is_object = F.col("line").startswith("{") | (_head(F.col("payload")) == "OBJECT")
+    return parsed.withColumn("payload", F.when(is_object, F.col("payload")))
 
 
-def _kind(value: Column) -> Column:
-    """JSON type of a variant value."""
-    head = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+def _head(value: Column) -> Column:
+    """Outermost type of a variant value as Spark names it."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+
+
+def _json_type(head: Column) -> Column:
     return reduce(lambda e, kv: e.when(head == kv[0], kv[1]), JSON_TYPES.items(), F.when(head.isNull(), F.lit(None))).otherwise(head)
 
 
@@ -53,39 +57,47 @@ def typed(lines: DataFrame, declared: StructType) -> DataFrame:
             keep = F.when(name == f.name, lost).otherwise(keep)
         return keep
 
-    rest = F.map_filter(fields, unfit)
-    return lines.select(
+    # a column of its own, as it is read twice
+    rows = lines.select("line", "payload", F.map_filter(fields, unfit).alias("rest"))
+    return rows.select(
         *[F.try_variant_get("payload", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in declared.fields],
-        F.when(F.size(rest) > 0, F.to_json(rest)).alias("rescued"),
+        F.when(F.size("rest") > 0, F.to_json("rest")).alias("rescued"),
         F.when(F.col("payload").isNull(), F.col("line")).alias("corrupt"),
     )
 
 
-def _depth(schema: str | None) -> int:
-    """Deepest nesting of objects in the text of a merged variant schema."""
-    depth = most = 0
-    for opened in re.findall(r"OBJECT<|ARRAY<|>", schema or ""):
-        depth += -1 if opened == ">" else 1
-        most = max(most, depth)
-    return most
+def _levels(payloads: DataFrame, depth: int) -> DataFrame:
+    """Counts by ``path1``, ``later1``, ``type1`` .. to ``depth``: objects
+    opened level by level in one pass over ``payloads`` (column ``v``), counted
+    per task before the shuffle.  ``later`` is true for the fields of an object
+    after its first."""
+    spark, kept, rows = payloads.sparkSession, [], payloads.select(F.lit("$").alias("path"), F.col("v").alias("open"))
+    for k in range(1, depth + 1):
+        inner = ", ".join(["path", *kept, "e.pos", "e.key", "e.value"])
+        rows = spark.sql(f"SELECT {inner} FROM {{rows}}, LATERAL variant_explode_outer(open) AS e(pos, key, value)", rows=rows)
+        rows = rows.select(*kept, F.concat("path", F.lit("."), "key").alias(f"path{k}"), F.coalesce(F.col("pos") > 0, F.lit(False)).alias(f"later{k}"), _head(F.col("value")).alias(f"type{k}"), "value")
+        kept += [f"path{k}", f"later{k}", f"type{k}"]
+        rows = rows.select(*kept, F.col(f"path{k}").alias("path"), F.when(F.col(f"type{k}") == "OBJECT", F.col("value")).alias("open"))
+    return rows.groupBy(*kept).agg(F.count(F.lit(1)).alias("n"))
 
 
-def batch_schema(lines: DataFrame) -> DataFrame:
+def batch_schema(lines: DataFrame, depth: int = 2) -> DataFrame:
     """``path``, ``type``, ``row_count`` of every field of a micro-batch.
 
-    The merged schema of the batch (one small row) tells how deep objects
-    nest; each level is then one ``variant_explode``, counted per task before
-    the shuffle.  Arrays are not entered."""
-    spark = lines.sparkSession
-    payloads = lines.filter(F.col("payload").isNotNull()).select(F.lit("$").alias("path"), F.col("payload").alias("v"))
-    merged = payloads.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
-    level, seen = payloads, None
-    for _ in range(_depth(merged)):
-        inside = level.filter(_kind(F.col("v")) == "OBJECT")
-        level = spark.sql("SELECT concat(path, '.', key) AS path, value AS v FROM {inside}, LATERAL variant_explode(v)", inside=inside)
-        counts = level.select("path", _kind(F.col("v")).alias("type")).groupBy("path", "type").agg(F.count(F.lit(1)).alias("row_count"))
-        seen = counts if seen is None else seen.unionByName(counts)
-    return seen if seen is not None else spark.createDataFrame([], "path string, type string, row_count bigint")
+    ``depth`` levels are read in one pass; if objects remain below them, a
+    pass of twice as many levels follows.  Arrays are not entered."""
+    payloads = lines.filter(F.col("payload").isNotNull()).select(F.col("payload").alias("v"))
+    while True:
+        counts = _levels(payloads, depth).persist()  # a few rows per path
+        if counts.filter(F.col(f"type{depth}") == "OBJECT").isEmpty():
+            break
+        counts.unpersist()
+        depth *= 2
+    # a field is repeated in the rows of all fields inside it: count it at the first of them
+    inside = lambda k: reduce(lambda x, j: x & ~F.col(f"later{j}"), range(k + 1, depth + 1), F.lit(True))
+    fields = [F.when(inside(k), F.struct(F.lit(k).alias("level"), F.col(f"path{k}").alias("path"), _json_type(F.col(f"type{k}")).alias("type"))) for k in range(1, depth + 1)]
+    seen = counts.select("n", F.explode(F.array(*fields)).alias("f")).filter(F.col("f.path").isNotNull())
+    return seen.groupBy("f.level", "f.path", "f.type").agg(F.sum("n").alias("row_count")).select("path", "type", "row_count")
 
 
 def run_evolving_ingest(spark: SparkSession, landing_dir: str, out_dir: str, log_dir: str, checkpoint: str, declared: StructType):
